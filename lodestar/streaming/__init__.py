@@ -1,0 +1 @@
+"""lodestar.streaming."""
