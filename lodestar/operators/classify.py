@@ -43,13 +43,18 @@ def fit_forest(train: DataFrame, cols: Sequence[str], label: str = "label",
     all rows before the split, as the original workload does).  The forest
     is fitted on ``train`` either way.
     """
+    from lodestar.session import persisted
     stages = scaler_stages(cols, with_mean, handle_invalid)
     rf = forest_estimator(label=label, **forest)
-    if scaler_data is None:
-        return Pipeline(stages=[*stages, rf]).fit(train)
-    scaler = Pipeline(stages=stages).fit(scaler_data)
-    forest_model = rf.fit(scaler.transform(train))
-    return PipelineModel(stages=[*scaler.stages, forest_model])
+    # The fit reads its input several times (scaler statistics, forest
+    # metadata, split candidates, the binned training set): persist the few
+    # columns it needs instead of recomputing the input each time.
+    with persisted(train.select(*cols, label)) as tr:
+        if scaler_data is None:
+            return Pipeline(stages=[*stages, rf]).fit(tr)
+        scaler = Pipeline(stages=stages).fit(scaler_data)
+        forest_model = rf.fit(scaler.transform(tr))
+        return PipelineModel(stages=[*scaler.stages, forest_model])
 
 
 def score(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -65,6 +70,12 @@ def metrics(scored: DataFrame, label: str = "label", eps: float = 1e-15) -> Data
     """One row: ``n, accuracy, log_loss, auc`` of a scored DataFrame
     (``prediction``, ``p1``).  Accuracy and log-loss are one aggregate; AUC
     comes from MLlib's distributed ROC computation."""
+    from lodestar.session import persisted
+    with persisted(scored.select(label, "prediction", "p1")) as sc:
+        return _metrics(sc, label, eps)
+
+
+def _metrics(scored: DataFrame, label: str, eps: float) -> DataFrame:
     p = F.least(F.greatest(F.col("p1"), F.lit(eps)), F.lit(1.0 - eps))
     y = F.col(label).cast("double")
     agg = scored.agg(F.count(F.lit(1)).alias("n"),

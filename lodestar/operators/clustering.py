@@ -112,6 +112,25 @@ def lloyd_kmeans(df: DataFrame, cols: Sequence[str], k: int = 2, max_iters: int
     return LloydResult(centers, it, converged, times)
 
 
+def lloyd_standardized(df: DataFrame, cols: Sequence[str], key: Sequence[str], k: int = 2,
+                       max_iters: int = 10, tol: float = 1e-5, ddof: int = 0,
+                       exact_scale: int | None = 10) -> tuple[LloydResult, list, list]:
+    """The whole Lloyd workload: standardize (mean, ``ddof`` std), cluster
+    with first-k init by ``key``, count cluster sizes with the returned
+    centers.  The projected raw points are persisted once; the statistics
+    pass fills the cache and every later pass (init, iterations, sizes)
+    reads it, standardizing on the fly.  Returns ``(result, sizes, stats)``
+    with ``sizes`` as ``[(cluster, n)]`` (k rows)."""
+    from lodestar.operators.features import apply_standardizer, fit_standardizer
+    from lodestar.session import persisted
+    with persisted(df.select(*key, *cols)) as pts:
+        stats = fit_standardizer(pts, cols, ddof, exact_scale)
+        scaled = apply_standardizer(pts, cols, stats)
+        res = lloyd_kmeans(scaled, cols, k=k, max_iters=max_iters, tol=tol, key=key, cache=False)
+        sizes = [(int(r["cluster"]), int(r["n"])) for r in cluster_sizes(scaled, cols, res.centers).collect()]
+    return res, sizes, stats
+
+
 def cluster_sizes(df: DataFrame, cols: Sequence[str], centers: Sequence[Sequence[float]],
                   cluster: str = "cluster") -> DataFrame:
     """``(cluster, n)`` ordered by cluster, from assigning with ``centers``."""
@@ -134,14 +153,17 @@ def fit_kmeans(df: DataFrame, cols: Sequence[str], k: int = 2, max_iter: int = 3
                handle_invalid: str = "error") -> PipelineModel:
     """Assemble -> standardize (sample std) -> MLlib ``KMeans``.  Results
     depend on the input partitioning (k-means|| sampling), so compare them by
-    invariants, not by value."""
+    invariants, not by value.  The input columns are persisted for the fit
+    (scaler statistics, k-means|| init and every iteration read them)."""
     stages = [
         VectorAssembler(inputCols=list(cols), outputCol="raw_features", handleInvalid=handle_invalid),
         StandardScaler(inputCol="raw_features", outputCol="features", withMean=with_mean, withStd=with_std),
         KMeans(k=k, maxIter=max_iter, seed=seed, initMode=init_mode,
                featuresCol="features", predictionCol="prediction"),
     ]
-    return Pipeline(stages=stages).fit(df)
+    from lodestar.session import persisted
+    with persisted(df.select(*cols)) as pts:
+        return Pipeline(stages=stages).fit(pts)
 
 
 def kmeans_centers(model: PipelineModel, cols: Sequence[str]) -> list[list[float]]:

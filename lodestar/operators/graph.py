@@ -69,8 +69,11 @@ def oriented_edges(canon: DataFrame, order: str = "degree") -> DataFrame:
 
 
 def adjacency(oriented: DataFrame) -> DataFrame:
-    """``(u, nbrs)``: out-neighbour list of every vertex with an out-edge."""
-    return oriented.groupBy("u").agg(F.collect_list("v").alias("nbrs"))
+    """``(u, nbrs)``: out-neighbour list of every vertex with an out-edge.
+
+    The not-null filter is explicit so that both consumers of ``adj`` in
+    :func:`closing_corners` see the same plan and share one computation."""
+    return oriented.filter(F.col("u").isNotNull()).groupBy("u").agg(F.collect_list("v").alias("nbrs"))
 
 
 def closing_corners(edges: DataFrame, src: str = "src", dst: str = "dst",

@@ -17,6 +17,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -74,7 +75,8 @@ def _range_bucket(key: Sequence[str], bounds: list[tuple], types: Sequence) -> C
 
 
 def with_tail_side(df: DataFrame, key: Sequence[str], test_fraction: float = 0.3,
-                   num_buckets: int = 64, sample_per_bucket: int = 64, seed: int = 7) -> DataFrame:
+                   num_buckets: int = 64, sample_per_bucket: int = 64, seed: int = 7,
+                   persist: bool = True) -> DataFrame:
     """Add ``is_train``: true for the first ``int(n * (1 - test_fraction))``
     rows in ``key`` order.
 
@@ -83,6 +85,10 @@ def with_tail_side(df: DataFrame, key: Sequence[str], test_fraction: float = 0.3
     ``num_buckets + 1`` rows), then a single pass that filters whole buckets
     and ranks only the bucket holding the cut.  Rows with equal keys at the
     cut are taken in an arbitrary order.
+
+    With ``persist`` the bucketed input is kept (memory, spilling to disk)
+    for the result to read; ``unpersist()`` the input's plan or clear the
+    cache when done with the split.
     """
     if not 0.0 < test_fraction < 1.0:
         raise ValueError("test_fraction must be in (0, 1)")
@@ -101,6 +107,10 @@ def with_tail_side(df: DataFrame, key: Sequence[str], test_fraction: float = 0.3
             bounds.append(b)
     types = [df.schema[c].dataType for c in key]
     keyed = df.withColumn("_bucket", _range_bucket(key, bounds, types) if bounds else F.lit(0))
+    if persist:
+        # The bucket counts and both branches of the result read ``keyed``;
+        # computing the input once is cheaper than three times.
+        keyed = keyed.persist(StorageLevel.MEMORY_AND_DISK)
     counts = sorted((r["_bucket"], r["n"]) for r in
                     keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n")).collect())
     cut_bucket, before = None, 0

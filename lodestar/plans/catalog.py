@@ -104,21 +104,19 @@ def _lloyd(spark, sf):
     # Exact moments: the scaled points are then the same to the last bit on
     # any partitioning, so exact distance ties between the first-k centers
     # (the features are on a discrete grid) always break the same way.
-    scaled = features.standardize(points_view(spark, sf).select(*POINT_KEY, *FEATURES), FEATURES,
-                                  ddof=0, exact_scale=LLOYD_EXACT_SCALE)
-    res = clustering.lloyd_kmeans(scaled, FEATURES, k=LLOYD_K, max_iters=LLOYD_ITERS, key=POINT_KEY)
-    return scaled, res
+    return clustering.lloyd_standardized(points_view(spark, sf), FEATURES, POINT_KEY, k=LLOYD_K,
+                                         max_iters=LLOYD_ITERS, ddof=0, exact_scale=LLOYD_EXACT_SCALE)
 
 
 def lloyd_centers(spark, sf):
-    _, res = _lloyd(spark, sf)
+    res, _, _ = _lloyd(spark, sf)
     c = clustering.centers_frame(spark, res.centers, FEATURES)
     return c.select("cluster", *[_r(x) for x in FEATURES])
 
 
 def lloyd_cluster_sizes(spark, sf):
-    scaled, res = _lloyd(spark, sf)
-    return clustering.cluster_sizes(scaled, FEATURES, res.centers)
+    _, sizes, _ = _lloyd(spark, sf)
+    return spark.createDataFrame(sizes, "cluster INT, n BIGINT").orderBy("cluster")
 
 
 def kmeans_cluster_sizes(spark, sf):

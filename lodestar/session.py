@@ -13,7 +13,10 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULTS = {
     "spark.ui.enabled": "false",
@@ -21,6 +24,12 @@ _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcast a join side only on its measured size: the static planner's
+    # estimate for a file is its compressed size, far below its size in
+    # memory, so static broadcasting is off and adaptive execution decides
+    # from the actual shuffle output.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "16MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
@@ -36,6 +45,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     if master:
         b = b.master(master)
     conf = dict(_DEFAULTS)
+    if master and master.startswith("local"):
+        # Local mode: the driver JVM is the whole cluster.
+        conf["spark.driver.memory"] = "16g"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -85,3 +97,14 @@ def shared_dir(spark: SparkSession, name: str | None = None) -> str:
         return base.rstrip("/") + "/" + leaf
     path = os.path.join(base.removeprefix("file:"), leaf)
     return path
+
+
+@contextmanager
+def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
+    """Keep ``df`` (memory, spilling to disk) for the passes made inside the
+    block; a lost executor's blocks are recomputed from the lineage."""
+    df = df.persist(level)
+    try:
+        yield df
+    finally:
+        df.unpersist()
