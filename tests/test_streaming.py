@@ -1,0 +1,32 @@
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from lodestar.operators import clustering as CL
+from lodestar.session import shared_dir
+from lodestar.sources.points import POINTS_SCHEMA, write_points
+from lodestar.sources.tables import FEATURES, points_view
+from lodestar.streaming import points as ST
+
+CENTERS = [(10.0, 0.02, 0.02), (40.0, 0.08, 0.06)]
+
+
+def test_stream_assignment_matches_batch(spark):
+    src = shared_dir(spark, "stream-src")
+    p = points_view(spark, SF_SMALL).select(*[f.name for f in POINTS_SCHEMA])
+    write_points(p.repartition(3), src)
+    stream = ST.read_points_stream(spark, src, max_files_per_trigger=1)
+    out = shared_dir(spark, "stream-out")
+    ST.run_available(ST.assign_stream(stream, FEATURES, CENTERS), shared_dir(spark, "ckpt"),
+                     sink=lambda b, i: b.write.mode("append").parquet(out))
+    got = spark.read.parquet(out).groupBy("cluster").count().orderBy("cluster").collect()
+    want = CL.cluster_sizes(p, FEATURES, CENTERS).collect()
+    assert [(r["cluster"], r["count"]) for r in got] == [(r["cluster"], r["n"]) for r in want]
+
+    sizes = {}
+
+    def keep(b, i):
+        for r in b.collect():  # one row per cluster
+            sizes[r["cluster"]] = r["n"]
+    ST.run_available(ST.cluster_sizes_stream(ST.read_points_stream(spark, src), FEATURES, CENTERS),
+                     shared_dir(spark, "ckpt2"), mode="complete", sink=keep)
+    assert sorted(sizes.items()) == [(r["cluster"], r["n"]) for r in want]
