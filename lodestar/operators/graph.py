@@ -20,6 +20,19 @@ The oriented edges come from exploding ``adj`` itself, which carries
 ``adj(u)`` along without a join; a single shuffle (by ``v``) brings
 ``adj(v)`` next to it.  Nothing is collected on the driver; the total is one
 aggregate.
+
+Hot vertices.  A hub can hold a large share of all edges, and a join keyed
+by it would put that share in one task (adaptive skew handling does not
+apply when one join side is an aggregate).  So in degree order the
+vertices of highest degree -- at most ``max_hot`` of them, those above a
+threshold ``T`` -- are joined by broadcast, and only the others by shuffle:
+
+* their degrees are ``max_hot`` rows;
+* their out-neighbours all have a degree at least as high, so they are hot
+  too: the adjacency of the hot set has at most ``max_hot**2`` ids
+  (32 MB for the default 2000);
+* every other key has at most ``T`` edges, and ``T`` is no larger than
+  ``2m / max_hot``.
 """
 
 from __future__ import annotations
@@ -53,19 +66,69 @@ def degrees(canon: DataFrame) -> DataFrame:
     return ends.groupBy("id").agg(F.count(F.lit(1)).alias("deg"))
 
 
-def oriented_edges(canon: DataFrame, order: str = "degree") -> DataFrame:
-    """Each canonical edge as ``(u, v)`` with ``rank(u) < rank(v)``."""
+HOT_DEGREE = 10_000   # a vertex above this degree is joined by broadcast...
+MAX_HOT = 2_000       # ...but never more than this many vertices
+
+
+def hot_vertices(deg: DataFrame, hot_degree: int = HOT_DEGREE,
+                 max_hot: int = MAX_HOT) -> tuple[DataFrame, int, int]:
+    """``(hot, T, n_hot)``: the vertices with degree above ``T`` (``id,
+    deg``), where ``T`` is ``hot_degree`` raised, if needed, to the
+    ``max_hot + 1``-th largest degree so that at most ``max_hot`` vertices
+    are hot.  One top-k job; ``max_hot + 1`` degrees reach the driver."""
+    top = [r["deg"] for r in deg.select("deg").orderBy(F.desc("deg")).limit(max_hot + 1).collect()]
+    t = hot_degree if len(top) <= max_hot else max(hot_degree, top[-1])
+    n_hot = sum(1 for d in top if d > t)
+    return deg.filter(F.col("deg") > F.lit(t)), t, n_hot
+
+
+def _materialize(df: DataFrame, name: str) -> DataFrame:
+    from lodestar.session import shared_dir
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _split_join(big: DataFrame, table: DataFrame, key: str, hot_ids: DataFrame | None) -> DataFrame:
+    """``big JOIN table USING (key)`` where ``table`` has one row per key.
+    Keys in ``hot_ids`` (bounded) join by broadcast, so their rows are never
+    shuffled to one task; the others by an ordinary (shuffled or adaptive)
+    join in which no key is hot."""
+    if hot_ids is None:
+        return big.join(table, key)
+    ids = F.broadcast(hot_ids.select(F.col("id").alias(key)))
+    hot_part = big.join(F.broadcast(table.join(ids, key, "left_semi")), key)
+    cold_part = big.join(ids, key, "left_anti").join(table.join(ids, key, "left_anti"), key)
+    return hot_part.unionByName(cold_part)
+
+
+def _orient(canon: DataFrame, order: str, hot_degree: int, max_hot: int):
+    """``(oriented edges (u, v), hot ids or None)``."""
     if order == "id":
-        return canon.select(F.col("a").alias("u"), F.col("b").alias("v"))
+        return canon.select(F.col("a").alias("u"), F.col("b").alias("v")), None
     if order != "degree":
         raise ValueError("order must be 'degree' or 'id'")
     deg = degrees(canon)
-    e = (canon
-         .join(deg.select(F.col("id").alias("a"), F.col("deg").alias("da")), "a")
-         .join(deg.select(F.col("id").alias("b"), F.col("deg").alias("db")), "b"))
+    _, t, n_hot = hot_vertices(deg, hot_degree, max_hot)
+    hot_ids = None
+    if n_hot:
+        # The hot and cold branches each read the edges: write them once as
+        # a table in the shared folder instead of recomputing the input per
+        # branch (this also cuts the lineage before the heavy part).
+        canon = _materialize(canon, "canonical-edges")
+        deg = degrees(canon)
+        hot_ids = deg.filter(F.col("deg") > F.lit(t)).select("id")
+    e = _split_join(canon, deg.select(F.col("id").alias("a"), F.col("deg").alias("da")), "a", hot_ids)
+    e = _split_join(e, deg.select(F.col("id").alias("b"), F.col("deg").alias("db")), "b", hot_ids)
     a_first = (F.col("da") < F.col("db")) | ((F.col("da") == F.col("db")) & (F.col("a") < F.col("b")))
     return e.select(F.when(a_first, F.col("a")).otherwise(F.col("b")).alias("u"),
-                    F.when(a_first, F.col("b")).otherwise(F.col("a")).alias("v"))
+                    F.when(a_first, F.col("b")).otherwise(F.col("a")).alias("v")), hot_ids
+
+
+def oriented_edges(canon: DataFrame, order: str = "degree", hot_degree: int = HOT_DEGREE,
+                   max_hot: int = MAX_HOT) -> DataFrame:
+    """Each canonical edge as ``(u, v)`` with ``rank(u) < rank(v)``."""
+    return _orient(canon, order, hot_degree, max_hot)[0]
 
 
 def adjacency(oriented: DataFrame) -> DataFrame:
@@ -77,7 +140,8 @@ def adjacency(oriented: DataFrame) -> DataFrame:
 
 
 def closing_corners(edges: DataFrame, src: str = "src", dst: str = "dst",
-                    order: str = "degree", canonical: bool = False) -> DataFrame:
+                    order: str = "degree", canonical: bool = False,
+                    hot_degree: int = HOT_DEGREE, max_hot: int = MAX_HOT) -> DataFrame:
     """``(u, v, c)`` for every oriented edge, ``c`` = third corners of the
     triangles it closes (possibly empty).
 
@@ -86,16 +150,18 @@ def closing_corners(edges: DataFrame, src: str = "src", dst: str = "dst",
     """
     canon = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")) if canonical \
         else canonical_edges(edges, src, dst)
-    adj = adjacency(oriented_edges(canon, order))
+    oriented, hot_ids = _orient(canon, order, hot_degree, max_hot)
+    adj = adjacency(oriented)
     fwd = adj.select(F.col("u"), F.explode("nbrs").alias("v"), F.col("nbrs").alias("nu"))
     back = adj.select(F.col("u").alias("v"), F.col("nbrs").alias("nv"))
-    j = fwd.join(back, "v")
+    j = _split_join(fwd, back, "v", hot_ids)
     return j.select("u", "v", F.array_intersect("nu", "nv").alias("c"))
 
 
 def triangle_counts(edges: DataFrame, src: str = "src", dst: str = "dst",
                     nodes: DataFrame | None = None, order: str = "degree",
-                    canonical: bool = False) -> DataFrame:
+                    canonical: bool = False, hot_degree: int = HOT_DEGREE,
+                    max_hot: int = MAX_HOT) -> DataFrame:
     """``(id, count)``: number of triangles through each vertex, for every
     vertex of ``edges`` (a vertex whose only edge is a self-loop, or that is
     in no triangle, gets 0).  Edge direction is ignored and duplicate edges
@@ -104,7 +170,7 @@ def triangle_counts(edges: DataFrame, src: str = "src", dst: str = "dst",
     ``nodes``: optional DataFrame with an ``id`` column; only those vertices
     (that are in the graph) are returned.
     """
-    t = closing_corners(edges, src, dst, order, canonical).filter(F.size("c") > 0)
+    t = closing_corners(edges, src, dst, order, canonical, hot_degree, max_hot).filter(F.size("c") > 0)
     n = F.size("c").cast("bigint")
     # u and v are in |c| triangles each; every w in c is in one more.
     contrib = t.select(F.inline(F.concat(
@@ -121,10 +187,11 @@ def triangle_counts(edges: DataFrame, src: str = "src", dst: str = "dst",
 
 
 def triangle_total(edges: DataFrame, src: str = "src", dst: str = "dst",
-                   order: str = "degree", canonical: bool = False) -> DataFrame:
+                   order: str = "degree", canonical: bool = False,
+                   hot_degree: int = HOT_DEGREE, max_hot: int = MAX_HOT) -> DataFrame:
     """One row ``total``: number of unique triangles (integer).  Counts the
     closing corners per oriented edge; no per-vertex sum and no division."""
-    t = closing_corners(edges, src, dst, order, canonical)
+    t = closing_corners(edges, src, dst, order, canonical, hot_degree, max_hot)
     return t.agg(F.coalesce(F.sum(F.size("c").cast("bigint")), F.lit(0).cast("bigint")).alias("total"))
 
 

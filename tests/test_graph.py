@@ -91,3 +91,39 @@ def test_bad_ids(spark):
     assert cast_edges(raw, on_bad="null").filter("src IS NULL").count() == 1
     with pytest.raises(Exception):
         cast_edges(raw, on_bad="raise").collect()
+
+
+@pytest.mark.parametrize("hot_degree,max_hot", [(2, 3), (5, 50), (0, 1)])
+def test_hot_vertex_paths_match_brute_force(spark, hot_degree, max_hot):
+    import random
+    rnd = random.Random(11)
+    # two hubs plus random edges: forces the broadcast (hot) and shuffled (cold) paths
+    pairs = [(0, i) for i in range(1, 60)] + [(1, i) for i in range(2, 40)]
+    pairs += [(rnd.randrange(60), rnd.randrange(60)) for _ in range(300)]
+    e = edges(spark, pairs)
+    und = {(min(a, b), max(a, b)) for a, b in pairs if a != b}
+    adj = {}
+    for a, b in und:
+        adj.setdefault(a, set()).add(b)
+        adj.setdefault(b, set()).add(a)
+    brute_total = sum(1 for a, b in und for w in adj[a] & adj[b] if w > b)
+    per = {v: 0 for p in pairs for v in p}
+    for a, b in und:
+        for w in adj[a] & adj[b]:
+            if w > b:
+                for x in (a, b, w):
+                    per[x] += 1
+    kw = dict(hot_degree=hot_degree, max_hot=max_hot)
+    assert G.triangle_total(e, **kw).first()["total"] == brute_total
+    assert dict(rows(G.triangle_counts(e, **kw))) == per
+    hot, t, n_hot = G.hot_vertices(G.degrees(G.canonical_edges(e)), hot_degree, max_hot)
+    assert n_hot <= max_hot and hot.count() == n_hot and t >= hot_degree
+
+
+def test_part_graph_with_hot_vertices(spark):
+    from conftest import SF_SMALL
+    from lodestar.sources.tables import part_graph
+    e = part_graph(spark, SF_SMALL)
+    assert G.triangle_total(e, "a", "b", canonical=True, hot_degree=100, max_hot=40).first()["total"] == 125968
+    c = G.triangle_counts(e, "a", "b", canonical=True, hot_degree=100, max_hot=40)
+    assert c.agg(F.sum("count")).first()[0] == 377904
