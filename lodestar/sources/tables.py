@@ -44,21 +44,48 @@ def points_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def part_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+HOT_ORDER_PARTS = 5_000   # an order with more distinct parts than this is salted...
+MAX_HOT_ORDERS = 1_000    # ...and at most this many orders are
+
+
+def part_graph(spark: SparkSession, sf_dir: str, hot_parts: int = HOT_ORDER_PARTS,
+               max_hot: int = MAX_HOT_ORDERS) -> DataFrame:
     """Part co-order graph ``E(a, b)``: parts bought in the same order,
     one row per unordered pair, ``a < b``.
 
     (order, part) pairs are de-duplicated before the self-join so a part
-    repeated inside an order does not multiply the pairs; the join is an
-    equi-join on the order key, so adaptive execution can split a hot order
-    across tasks (skew join) instead of running it in one.
+    repeated inside an order does not multiply the pairs.  The output of an
+    order with ``P`` parts is ``P(P-1)/2`` pairs whatever the plan; what the
+    plan decides is how that work is spread.  Orders with more than
+    ``hot_parts`` distinct parts (at most ``max_hot`` of them; the threshold
+    rises if needed) are salted: one side is split into ``S = ceil(P /
+    hot_parts)`` groups by a hash of the part, the other side is repeated
+    ``S`` times, so each task makes at most about ``P * hot_parts`` pairs.
+    Other orders join by the plain shuffle on the order key.
     """
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey").distinct()
-    x, y = li.alias("x"), li.alias("y")
-    pairs = x.join(y, (F.col("x.l_orderkey") == F.col("y.l_orderkey"))
-                   & (F.col("x.l_partkey") < F.col("y.l_partkey")))
-    return pairs.select(F.col("x.l_partkey").alias("a"),
-                        F.col("y.l_partkey").alias("b")).distinct()
+    sizes = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("p"))
+    top = [r["p"] for r in sizes.select("p").orderBy(F.desc("p")).limit(max_hot + 1).collect()]
+    t = hot_parts if len(top) <= max_hot else max(hot_parts, top[-1])
+    if not any(p > t for p in top):
+        return _pairs(li, li)
+    hot = F.broadcast(sizes.filter(F.col("p") > F.lit(t))
+                      .select("l_orderkey", F.ceil(F.col("p") / F.lit(t)).cast("int").alias("s")))
+    hot_li = li.join(hot, "l_orderkey")
+    cold_li = li.join(hot.select("l_orderkey"), "l_orderkey", "left_anti")
+    left = hot_li.select("l_orderkey", "l_partkey",
+                         F.pmod(F.xxhash64("l_partkey"), F.col("s")).cast("int").alias("salt"))
+    right = hot_li.select("l_orderkey", "l_partkey",
+                          F.explode(F.sequence(F.lit(0), F.col("s") - 1)).alias("salt"))
+    return _pairs(cold_li, cold_li).unionByName(_pairs(left, right, ["salt"])).distinct()
+
+
+def _pairs(x: DataFrame, y: DataFrame, extra: list[str] | None = None) -> DataFrame:
+    x, y = x.alias("x"), y.alias("y")
+    cond = (F.col("x.l_orderkey") == F.col("y.l_orderkey")) & (F.col("x.l_partkey") < F.col("y.l_partkey"))
+    for c in extra or []:
+        cond = cond & (F.col(f"x.{c}") == F.col(f"y.{c}"))
+    return x.join(y, cond).select(F.col("x.l_partkey").alias("a"), F.col("y.l_partkey").alias("b")).distinct()
 
 
 def messy_part_edges(spark: SparkSession, sf_dir: str) -> DataFrame:

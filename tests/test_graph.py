@@ -127,3 +127,13 @@ def test_part_graph_with_hot_vertices(spark):
     assert G.triangle_total(e, "a", "b", canonical=True, hot_degree=100, max_hot=40).first()["total"] == 125968
     c = G.triangle_counts(e, "a", "b", canonical=True, hot_degree=100, max_hot=40)
     assert c.agg(F.sum("count")).first()[0] == 377904
+
+
+def test_part_graph_salted_equals_plain(spark):
+    from conftest import SF_SMALL
+    from lodestar.sources.tables import part_graph
+    plain = part_graph(spark, SF_SMALL)
+    # orders at sf0.001 have up to 7 parts: threshold 3 salts the big ones
+    salted = part_graph(spark, SF_SMALL, hot_parts=3, max_hot=200)
+    assert plain.count() == 8899
+    assert plain.exceptAll(salted).count() == 0 and salted.exceptAll(plain).count() == 0
