@@ -100,7 +100,7 @@ QUERIES = [q_derive_filter, q_column_stats, q_part_graph_build, q_triangle_total
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
+    warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.01")
     parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(2 * cpus)))
     spark = get_session(f"local[{cpus}]", shuffle_partitions=parts, app_name="lodestar-bench")
     if warm_dir and os.path.isdir(warm_dir):
