@@ -56,79 +56,119 @@ def with_hash_side(df: DataFrame, key: Sequence[str], train_fraction: float = 0.
              .withColumn("is_train", F.col("bucket") < F.lit(cut))
 
 
+def _key_le(key: Sequence[str], bound: tuple, types: Sequence) -> Column:
+    """``key <= bound`` in lexicographic order, written with comparisons of
+    the plain columns (code generation keeps it in the scan loop)."""
+    out = None
+    for c, v, t in reversed(list(zip(key, bound, types))):
+        x, b = F.col(c), F.lit(v).cast(t)
+        out = (x <= b) if out is None else ((x < b) | ((x == b) & out))
+    return out
+
+
 def _range_bucket(key: Sequence[str], bounds: list[tuple], types: Sequence) -> Column:
     """Bucket index of the composite key among sorted ``bounds`` (bucket i
     holds keys in ``(bounds[i-1], bounds[i]]``), as a balanced tree of
     ``CASE`` tests: ``log2(len(bounds))`` comparisons per row."""
-    k = F.struct(*[F.col(c) for c in key])
-
-    def lit(b):
-        return F.struct(*[F.lit(v).cast(t).alias(c) for v, c, t in zip(b, key, types)])
 
     def tree(lo: int, hi: int) -> Column:  # buckets lo..hi
         if lo == hi:
             return F.lit(lo)
         mid = (lo + hi) // 2
-        return F.when(k <= lit(bounds[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
+        return F.when(_key_le(key, bounds[mid], types), tree(lo, mid)).otherwise(tree(mid + 1, hi))
 
     return tree(0, len(bounds))
 
 
+def _in_range(key: Sequence[str], lo: tuple | None, hi: tuple | None, types: Sequence) -> Column:
+    """``lo < key <= hi`` (``None`` = unbounded)."""
+    cond = F.lit(True)
+    if lo is not None:
+        cond = cond & ~_key_le(key, lo, types)
+    if hi is not None:
+        cond = cond & _key_le(key, hi, types)
+    return cond
+
+
+def _cut_range(df: DataFrame, key: Sequence[str], types: Sequence, n_train: int, n: int,
+               num_buckets: int, sample_per_bucket: int, target_rows: int, seed: int):
+    """Narrow the key range that holds the cut until it has at most
+    ``target_rows`` rows.  Returns ``(lo, hi, before, m)``: rows with key
+    ``<= lo`` (``before`` of them) are all train, rows with key ``> hi`` all
+    validation, and the ``m`` rows in between need ranking."""
+    lo, hi, before, m = None, None, 0, n
+    rnd = seed
+    while m > target_rows:
+        rng = df.filter(_in_range(key, lo, hi, types)).select(*key)
+        want = num_buckets * sample_per_bucket
+        frac = min(1.0, 2.0 * want / m)
+        sample = rng.sample(fraction=frac, seed=rnd).orderBy(*key).limit(want * 4).collect()
+        rnd += 1
+        step = max(1, math.ceil(len(sample) / num_buckets))
+        bounds = []
+        for i in range(step - 1, len(sample) - 1, step):
+            b = tuple(sample[i][c] for c in key)
+            if not bounds or b != bounds[-1]:
+                bounds.append(b)
+        if not bounds:
+            break  # all sampled keys equal: no finer split exists
+        counts = dict((r["_b"], r["n"]) for r in
+                      rng.select(_range_bucket(key, bounds, types).alias("_b"))
+                      .groupBy("_b").agg(F.count(F.lit(1)).alias("n")).collect())
+        edges = [lo, *bounds, hi]  # bucket j holds (edges[j], edges[j+1]]
+        for j in range(len(bounds) + 1):
+            c = counts.get(j, 0)
+            if before + c > n_train:
+                new = (edges[j], edges[j + 1], before, c)
+                break
+            before += c
+        else:  # cannot happen while n_train < n
+            break
+        if new[3] == m:
+            break  # no progress: the range is one repeated key
+        lo, hi, before, m = new
+    return lo, hi, before, m
+
+
 def with_tail_side(df: DataFrame, key: Sequence[str], test_fraction: float = 0.3,
                    num_buckets: int = 64, sample_per_bucket: int = 64, seed: int = 7,
-                   persist: bool = True) -> DataFrame:
+                   target_rows: int = 2_000_000, persist: bool = True) -> DataFrame:
     """Add ``is_train``: true for the first ``int(n * (1 - test_fraction))``
     rows in ``key`` order.
 
-    Work: one count, one bounded sample (about ``num_buckets *
-    sample_per_bucket`` keys reach the driver), one count per bucket (at most
-    ``num_buckets + 1`` rows), then a single pass that filters whole buckets
-    and ranks only the bucket holding the cut.  Rows with equal keys at the
-    cut are taken in an arbitrary order.
-
-    With ``persist`` the bucketed input is kept (memory, spilling to disk)
-    for the result to read; ``unpersist()`` the input's plan or clear the
-    cache when done with the split.
+    Work: one count; then, while the key range holding the cut has more than
+    ``target_rows`` rows, one bounded sample of that range (about
+    ``num_buckets * sample_per_bucket`` keys reach the driver) and one count
+    per sub-range (at most ``num_buckets + 1`` rows) -- each round divides
+    the range by about ``num_buckets``; finally one pass in which rows below
+    / above the range are decided by two key comparisons and only the rows
+    in the range are ranked (``row_number``, at most ``target_rows`` rows
+    unless they are all one repeated key).  Rows with equal keys at the cut
+    are taken in an arbitrary order.
+
+    With ``persist`` the input is kept (memory, spilling to disk) for the
+    passes and the result to read; call ``df.unpersist()`` on the input when
+    done with the split.
     """
     if not 0.0 < test_fraction < 1.0:
         raise ValueError("test_fraction must be in (0, 1)")
+    if persist:
+        # Every later pass reads the input: compute it once (the count fills the cache).
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = df.count()
     n_train = int(n * (1.0 - test_fraction))
-    if n == 0:
-        return df.withColumn("is_train", F.lit(False))
-    want = num_buckets * sample_per_bucket
-    frac = min(1.0, 2.0 * want / n)
-    sample = df.select(*key).sample(fraction=frac, seed=seed).orderBy(*key).limit(want * 4).collect()
-    step = max(1, math.ceil(len(sample) / num_buckets))
-    bounds = []
-    for i in range(step - 1, len(sample) - 1, step):
-        b = tuple(sample[i][c] for c in key)
-        if not bounds or b != bounds[-1]:
-            bounds.append(b)
+    if n == 0 or n_train == n:
+        return df.withColumn("is_train", F.lit(n > 0))
     types = [df.schema[c].dataType for c in key]
-    keyed = df.withColumn("_bucket", _range_bucket(key, bounds, types) if bounds else F.lit(0))
-    if persist:
-        # The bucket counts and both branches of the result read ``keyed``;
-        # computing the input once is cheaper than three times.
-        keyed = keyed.persist(StorageLevel.MEMORY_AND_DISK)
-    counts = sorted((r["_bucket"], r["n"]) for r in
-                    keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n")).collect())
-    cut_bucket, before = None, 0
-    for b, c in counts:
-        if before + c > n_train:
-            cut_bucket = b
-            break
-        before += c
-    if cut_bucket is None:  # every row is train
-        return df.withColumn("is_train", F.lit(True))
-    rank_needed = n_train - before
-    side = F.when(F.col("_bucket") < cut_bucket, F.lit(True)) \
-        .when(F.col("_bucket") > cut_bucket, F.lit(False))
-    outside = keyed.filter(F.col("_bucket") != cut_bucket).withColumn("is_train", side)
-    inside = keyed.filter(F.col("_bucket") == cut_bucket) \
-        .withColumn("_rn", F.row_number().over(Window.partitionBy("_bucket").orderBy(*key))) \
-        .withColumn("is_train", F.col("_rn") <= F.lit(rank_needed)).drop("_rn")
-    return outside.unionByName(inside).drop("_bucket")
+    lo, hi, before, _ = _cut_range(df, key, types, n_train, n, num_buckets, sample_per_bucket,
+                                   target_rows, seed)
+    inside = _in_range(key, lo, hi, types)
+    low = _key_le(key, lo, types) if lo is not None else F.lit(False)
+    outside = df.filter(~inside).withColumn("is_train", low)
+    ranked = df.filter(inside) \
+        .withColumn("_rn", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*key))) \
+        .withColumn("is_train", F.col("_rn") <= F.lit(n_train - before)).drop("_rn")
+    return outside.unionByName(ranked)
 
 
 def tail_split(df: DataFrame, key: Sequence[str], test_fraction: float = 0.3,

@@ -43,3 +43,25 @@ def test_random_split_covers(spark):
     t, v = S.random_split(df, 0.7, 42)
     assert t.count() + v.count() == 1000
     assert t.join(v, "id").count() == 0
+
+
+@pytest.mark.parametrize("target", [10, 100, 5000])
+def test_tail_split_iterative_narrowing(spark, target):
+    import random
+    keys = [(a, b) for a in range(40) for b in range(30)]
+    random.Random(9).shuffle(keys)
+    df = spark.createDataFrame(keys, "a BIGINT, b BIGINT").repartition(6)
+    out = S.with_tail_side(df, ["a", "b"], 0.3, num_buckets=4, sample_per_bucket=8, target_rows=target)
+    n_train = int(1200 * 0.7)
+    assert sorted(tuple(r[:2]) for r in out.filter("is_train").collect()) == sorted(keys)[:n_train]
+    assert out.count() == 1200
+
+
+def test_tail_split_repeated_key_at_cut(spark):
+    data = [(1, i) for i in range(10)] + [(2, 0)] * 50 + [(3, i) for i in range(40)]
+    df = spark.createDataFrame(data, "a BIGINT, b BIGINT")
+    out = S.with_tail_side(df, ["a", "b"], 0.3, num_buckets=4, sample_per_bucket=4, target_rows=5)
+    assert out.filter("is_train").count() == 70
+    # sorted: 10 rows a=1, 50 copies of (2, 0), then a=3 with b = 0..39 -> the first 70 are train
+    assert sorted(r["b"] for r in out.filter("is_train AND a = 3").collect()) == list(range(10))
+    assert out.filter("NOT is_train AND a <= 2").count() == 0
