@@ -10,11 +10,12 @@ Algorithm (adjacency intersection over an oriented graph):
    most ``sqrt(2m)`` out-neighbours however large its degree, so no
    adjacency list grows with a hub.  ``order="id"`` ranks by id alone, which
    is cheaper when degrees are known to be even but unbounded otherwise;
-3. ``adj(u)`` = out-neighbours of ``u`` (``collect_list`` per vertex, bounded
-   by step 2);
+3. ``adj(u)`` = out-neighbours of ``u`` in rank order (``collect_list`` per
+   vertex, bounded by step 2);
 4. for every oriented edge ``u -> v``: ``adj(u) ∩ adj(v)`` are the third
    corners ``w`` of the triangles whose two lowest-ranked corners are ``u``
-   and ``v``, so every triangle is found exactly once.
+   and ``v``, so every triangle is found exactly once.  Such a ``w`` ranks
+   above ``v``, so only the part of ``adj(u)`` after ``v`` is intersected.
 
 The oriented edges come from exploding ``adj`` itself, which carries
 ``adj(u)`` along without a join; a single shuffle (by ``v``) brings
@@ -105,7 +106,7 @@ def _split_join(big: DataFrame, table: DataFrame, key: str, hot_ids: DataFrame |
 def _orient(canon: DataFrame, order: str, hot_degree: int, max_hot: int):
     """``(oriented edges (u, v), hot ids or None)``."""
     if order == "id":
-        return canon.select(F.col("a").alias("u"), F.col("b").alias("v")), None
+        return canon.select(F.col("a").alias("u"), F.col("b").alias("v"), F.lit(0).cast("bigint").alias("dv")), None
     if order != "degree":
         raise ValueError("order must be 'degree' or 'id'")
     deg = degrees(canon)
@@ -122,21 +123,27 @@ def _orient(canon: DataFrame, order: str, hot_degree: int, max_hot: int):
     e = _split_join(e, deg.select(F.col("id").alias("b"), F.col("deg").alias("db")), "b", hot_ids)
     a_first = (F.col("da") < F.col("db")) | ((F.col("da") == F.col("db")) & (F.col("a") < F.col("b")))
     return e.select(F.when(a_first, F.col("a")).otherwise(F.col("b")).alias("u"),
-                    F.when(a_first, F.col("b")).otherwise(F.col("a")).alias("v")), hot_ids
+                    F.when(a_first, F.col("b")).otherwise(F.col("a")).alias("v"),
+                    F.when(a_first, F.col("db")).otherwise(F.col("da")).alias("dv")), hot_ids
 
 
 def oriented_edges(canon: DataFrame, order: str = "degree", hot_degree: int = HOT_DEGREE,
                    max_hot: int = MAX_HOT) -> DataFrame:
     """Each canonical edge as ``(u, v)`` with ``rank(u) < rank(v)``."""
-    return _orient(canon, order, hot_degree, max_hot)[0]
+    return _orient(canon, order, hot_degree, max_hot)[0].select("u", "v")
 
 
 def adjacency(oriented: DataFrame) -> DataFrame:
-    """``(u, nbrs)``: out-neighbour list of every vertex with an out-edge.
+    """``(u, nbrs)``: out-neighbours of every vertex with an out-edge, in
+    increasing rank (``(dv, v)`` when a head degree ``dv`` is given, else
+    ``v``).
 
     The not-null filter is explicit so that both consumers of ``adj`` in
     :func:`closing_corners` see the same plan and share one computation."""
-    return oriented.filter(F.col("u").isNotNull()).groupBy("u").agg(F.collect_list("v").alias("nbrs"))
+    rank = F.struct("dv", "v") if "dv" in oriented.columns else F.struct(F.lit(0).alias("dv"), "v")
+    nb = F.array_sort(F.collect_list(rank))
+    return (oriented.filter(F.col("u").isNotNull()).groupBy("u").agg(nb.alias("nb"))
+            .select("u", F.transform("nb", lambda x: x["v"]).alias("nbrs")))
 
 
 def closing_corners(edges: DataFrame, src: str = "src", dst: str = "dst",
@@ -152,7 +159,11 @@ def closing_corners(edges: DataFrame, src: str = "src", dst: str = "dst",
         else canonical_edges(edges, src, dst)
     oriented, hot_ids = _orient(canon, order, hot_degree, max_hot)
     adj = adjacency(oriented)
-    fwd = adj.select(F.col("u"), F.explode("nbrs").alias("v"), F.col("nbrs").alias("nu"))
+    # A triangle u < v < w (by rank) is found at its lowest edge u -> v, and
+    # w ranks above v: only the part of adj(u) after v can hold it.  With
+    # adj(u) in rank order each edge carries that suffix, not the whole list.
+    fwd = adj.select("u", F.posexplode("nbrs").alias("i", "v"), "nbrs") \
+        .select("u", "v", F.slice("nbrs", F.col("i") + 2, F.size("nbrs") - F.col("i") - 1).alias("nu"))
     back = adj.select(F.col("u").alias("v"), F.col("nbrs").alias("nv"))
     j = _split_join(fwd, back, "v", hot_ids)
     return j.select("u", "v", F.array_intersect("nu", "nv").alias("c"))
