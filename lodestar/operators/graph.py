@@ -8,8 +8,9 @@ Algorithm (adjacency intersection over an oriented graph):
 2. orient every edge from the lower to the higher *rank*.  With
    ``order="degree"`` the rank is ``(degree, id)``; every vertex then has at
    most ``sqrt(2m)`` out-neighbours however large its degree, so no
-   adjacency list grows with a hub.  ``order="id"`` ranks by id alone, which
-   is cheaper when degrees are known to be even but unbounded otherwise;
+   adjacency list grows with a hub.  ``order="id"`` ranks by id, with the
+   hot vertices (below) moved above all others: lists stay bounded by the
+   hot threshold, and the edges are never joined with the degree table;
 3. ``adj(u)`` = out-neighbours of ``u`` in rank order (``collect_list`` per
    vertex, bounded by step 2);
 4. for every oriented edge ``u -> v``: ``adj(u) ∩ adj(v)`` are the third
@@ -104,10 +105,15 @@ def _split_join(big: DataFrame, table: DataFrame, key: str, hot_ids: DataFrame |
 
 
 def _orient(canon: DataFrame, order: str, hot_degree: int, max_hot: int):
-    """``(oriented edges (u, v), hot ids or None)``."""
-    if order == "id":
-        return canon.select(F.col("a").alias("u"), F.col("b").alias("v"), F.lit(0).cast("bigint").alias("dv")), None
-    if order != "degree":
+    """``(oriented edges (u, v, rv), hot ids or None)``; ``rv`` is the rank
+    of ``v`` as a sortable struct.
+
+    ``degree``: rank = (degree, id).  ``id``: rank = id, except that hot
+    vertices rank above all others, by (degree, id): a cold vertex then has
+    at most its degree (<= T) out-neighbours and a hot one only hot
+    out-neighbours (<= max_hot), and only broadcast joins with the hot set
+    are needed (no join of the edges with the whole degree table)."""
+    if order not in ("degree", "id"):
         raise ValueError("order must be 'degree' or 'id'")
     deg = degrees(canon)
     _, t, n_hot = hot_vertices(deg, hot_degree, max_hot)
@@ -119,12 +125,29 @@ def _orient(canon: DataFrame, order: str, hot_degree: int, max_hot: int):
         canon = _materialize(canon, "canonical-edges")
         deg = degrees(canon)
         hot_ids = deg.filter(F.col("deg") > F.lit(t)).select("id")
-    e = _split_join(canon, deg.select(F.col("id").alias("a"), F.col("deg").alias("da")), "a", hot_ids)
-    e = _split_join(e, deg.select(F.col("id").alias("b"), F.col("deg").alias("db")), "b", hot_ids)
-    a_first = (F.col("da") < F.col("db")) | ((F.col("da") == F.col("db")) & (F.col("a") < F.col("b")))
-    return e.select(F.when(a_first, F.col("a")).otherwise(F.col("b")).alias("u"),
-                    F.when(a_first, F.col("b")).otherwise(F.col("a")).alias("v"),
-                    F.when(a_first, F.col("db")).otherwise(F.col("da")).alias("dv")), hot_ids
+    a, b = F.col("a"), F.col("b")
+    if order == "id":
+        if hot_ids is None:
+            return canon.select(a.alias("u"), b.alias("v"),
+                                F.struct(F.lit(0).alias("h"), F.lit(0).cast("bigint").alias("d"),
+                                         b.alias("x")).alias("rv")), None
+        hot = F.broadcast(deg.filter(F.col("deg") > F.lit(t)))  # <= max_hot rows
+        e = (canon.join(hot.select(F.col("id").alias("a"), F.col("deg").alias("da")), "a", "left")
+                  .join(hot.select(F.col("id").alias("b"), F.col("deg").alias("db")), "b", "left"))
+        ra = F.struct(F.col("da").isNotNull().cast("int").alias("h"),
+                      F.coalesce("da", F.lit(0).cast("bigint")).alias("d"), a.alias("x"))
+        rb = F.struct(F.col("db").isNotNull().cast("int").alias("h"),
+                      F.coalesce("db", F.lit(0).cast("bigint")).alias("d"), b.alias("x"))
+    else:
+        e = _split_join(canon, deg.select(F.col("id").alias("a"), F.col("deg").alias("da")), "a", hot_ids)
+        e = _split_join(e, deg.select(F.col("id").alias("b"), F.col("deg").alias("db")), "b", hot_ids)
+        ra = F.struct(F.lit(0).alias("h"), F.col("da").alias("d"), a.alias("x"))
+        rb = F.struct(F.lit(0).alias("h"), F.col("db").alias("d"), b.alias("x"))
+    e = e.select("a", "b", ra.alias("ra"), rb.alias("rb"))
+    a_first = F.col("ra") < F.col("rb")
+    return e.select(F.when(a_first, a).otherwise(b).alias("u"),
+                    F.when(a_first, b).otherwise(a).alias("v"),
+                    F.when(a_first, F.col("rb")).otherwise(F.col("ra")).alias("rv")), hot_ids
 
 
 def oriented_edges(canon: DataFrame, order: str = "degree", hot_degree: int = HOT_DEGREE,
@@ -135,13 +158,12 @@ def oriented_edges(canon: DataFrame, order: str = "degree", hot_degree: int = HO
 
 def adjacency(oriented: DataFrame) -> DataFrame:
     """``(u, nbrs)``: out-neighbours of every vertex with an out-edge, in
-    increasing rank (``(dv, v)`` when a head degree ``dv`` is given, else
-    ``v``).
+    increasing rank (column ``rv`` when given, else ``v``).
 
     The not-null filter is explicit so that both consumers of ``adj`` in
     :func:`closing_corners` see the same plan and share one computation."""
-    rank = F.struct("dv", "v") if "dv" in oriented.columns else F.struct(F.lit(0).alias("dv"), "v")
-    nb = F.array_sort(F.collect_list(rank))
+    rank = F.col("rv") if "rv" in oriented.columns else F.struct(F.col("v").alias("x"))
+    nb = F.array_sort(F.collect_list(F.struct(rank.alias("r"), F.col("v").alias("v"))))
     return (oriented.filter(F.col("u").isNotNull()).groupBy("u").agg(nb.alias("nb"))
             .select("u", F.transform("nb", lambda x: x["v"]).alias("nbrs")))
 

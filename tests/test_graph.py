@@ -137,3 +137,15 @@ def test_part_graph_salted_equals_plain(spark):
     salted = part_graph(spark, SF_SMALL, hot_parts=3, max_hot=200)
     assert plain.count() == 8899
     assert plain.exceptAll(salted).count() == 0 and salted.exceptAll(plain).count() == 0
+
+
+@pytest.mark.parametrize("order", ["degree", "id"])
+def test_orders_with_hubs_at_low_ids(spark, order):
+    # hubs have the lowest ids: plain id order would give them every neighbour
+    n = 80
+    pairs = [(0, i) for i in range(2, n)] + [(1, i) for i in range(2, n)] + [(i, i + 1) for i in range(2, n - 1)]
+    e = edges(spark, pairs)
+    # every path edge (i, i+1) closes a triangle with each hub; (0, 1) is no edge
+    assert G.triangle_total(e, order=order, hot_degree=5, max_hot=4).first()["total"] == 2 * (n - 3)
+    adj = G.adjacency(G.oriented_edges(G.canonical_edges(e), order, hot_degree=5, max_hot=4))
+    assert max(len(r["nbrs"]) for r in adj.collect()) <= 5
