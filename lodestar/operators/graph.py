@@ -84,7 +84,22 @@ def hot_vertices(deg: DataFrame, hot_degree: int = HOT_DEGREE,
     return deg.filter(F.col("deg") > F.lit(t)), t, n_hot
 
 
-def _materialize(df: DataFrame, name: str) -> DataFrame:
+def _is_plain_scan(df: DataFrame) -> bool:
+    """True when ``df`` only reads and projects stored data (re-reading it is
+    cheap); any join, aggregate, generator or window makes it a computation."""
+    try:
+        p = df._jdf.queryExecution().optimizedPlan().toString()
+    except Exception:  # no JVM plan access (e.g. Spark Connect): assume computed
+        return False
+    return not any(w in p for w in ("Join", "Aggregate", "Generate", "Window", "Union"))
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` itself if it is a plain scan, else ``df`` written once as a
+    table in the shared folder and read back: later passes read the table
+    instead of recomputing the input, and the lineage is cut there."""
+    if _is_plain_scan(df):
+        return df
     from lodestar.session import shared_dir
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
@@ -119,10 +134,9 @@ def _orient(canon: DataFrame, order: str, hot_degree: int, max_hot: int):
     _, t, n_hot = hot_vertices(deg, hot_degree, max_hot)
     hot_ids = None
     if n_hot:
-        # The hot and cold branches each read the edges: write them once as
-        # a table in the shared folder instead of recomputing the input per
-        # branch (this also cuts the lineage before the heavy part).
-        canon = _materialize(canon, "canonical-edges")
+        # The hot and cold branches each read the canonical edges: store
+        # them once rather than recompute them per branch.
+        canon = _stored(canon, "canonical-edges")
         deg = degrees(canon)
         hot_ids = deg.filter(F.col("deg") > F.lit(t)).select("id")
     a, b = F.col("a"), F.col("b")
@@ -177,6 +191,11 @@ def closing_corners(edges: DataFrame, src: str = "src", dst: str = "dst",
     ``canonical=True`` skips step 1 when the input is already ``(a, b)``
     with ``a < b``, distinct.
     """
+    return _corners(_stored(edges, "edges"), src, dst, order, canonical, hot_degree, max_hot)
+
+
+def _corners(edges: DataFrame, src: str, dst: str, order: str, canonical: bool,
+             hot_degree: int, max_hot: int) -> DataFrame:
     canon = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")) if canonical \
         else canonical_edges(edges, src, dst)
     oriented, hot_ids = _orient(canon, order, hot_degree, max_hot)
@@ -203,7 +222,10 @@ def triangle_counts(edges: DataFrame, src: str = "src", dst: str = "dst",
     ``nodes``: optional DataFrame with an ``id`` column; only those vertices
     (that are in the graph) are returned.
     """
-    t = closing_corners(edges, src, dst, order, canonical, hot_degree, max_hot).filter(F.size("c") > 0)
+    # The input is read three times (degree top-k, the count, the zero rows):
+    # if it is a computation, it is stored once first.
+    edges = _stored(edges, "edges")
+    t = _corners(edges, src, dst, order, canonical, hot_degree, max_hot).filter(F.size("c") > 0)
     n = F.size("c").cast("bigint")
     # u and v are in |c| triangles each; every w in c is in one more.
     contrib = t.select(F.inline(F.concat(
