@@ -120,8 +120,9 @@ def _split_join(big: DataFrame, table: DataFrame, key: str, hot_ids: DataFrame |
 
 
 def _orient(canon: DataFrame, order: str, hot_degree: int, max_hot: int):
-    """``(oriented edges (u, v, rv), hot ids or None)``; ``rv`` is the rank
-    of ``v`` as a sortable struct.
+    """``(oriented edges, hot ids or None)``; the edges are ``(u, v)`` plus
+    the rank of ``v`` beyond its id: ``rd`` (degree) and, in id order with
+    hot vertices, ``rh`` (1 for a hot vertex).
 
     ``degree``: rank = (degree, id).  ``id``: rank = id, except that hot
     vertices rank above all others, by (degree, id): a cold vertex then has
@@ -141,27 +142,22 @@ def _orient(canon: DataFrame, order: str, hot_degree: int, max_hot: int):
         hot_ids = deg.filter(F.col("deg") > F.lit(t)).select("id")
     a, b = F.col("a"), F.col("b")
     if order == "id":
-        if hot_ids is None:
-            return canon.select(a.alias("u"), b.alias("v"),
-                                F.struct(F.lit(0).alias("h"), F.lit(0).cast("bigint").alias("d"),
-                                         b.alias("x")).alias("rv")), None
+        if hot_ids is None:  # plain id order; adjacency sorts the ids themselves
+            return canon.select(a.alias("u"), b.alias("v")), None
         hot = F.broadcast(deg.filter(F.col("deg") > F.lit(t)))  # <= max_hot rows
         e = (canon.join(hot.select(F.col("id").alias("a"), F.col("deg").alias("da")), "a", "left")
                   .join(hot.select(F.col("id").alias("b"), F.col("deg").alias("db")), "b", "left"))
-        ra = F.struct(F.col("da").isNotNull().cast("int").alias("h"),
-                      F.coalesce("da", F.lit(0).cast("bigint")).alias("d"), a.alias("x"))
-        rb = F.struct(F.col("db").isNotNull().cast("int").alias("h"),
-                      F.coalesce("db", F.lit(0).cast("bigint")).alias("d"), b.alias("x"))
-    else:
-        e = _split_join(canon, deg.select(F.col("id").alias("a"), F.col("deg").alias("da")), "a", hot_ids)
-        e = _split_join(e, deg.select(F.col("id").alias("b"), F.col("deg").alias("db")), "b", hot_ids)
-        ra = F.struct(F.lit(0).alias("h"), F.col("da").alias("d"), a.alias("x"))
-        rb = F.struct(F.lit(0).alias("h"), F.col("db").alias("d"), b.alias("x"))
-    e = e.select("a", "b", ra.alias("ra"), rb.alias("rb"))
-    a_first = F.col("ra") < F.col("rb")
-    return e.select(F.when(a_first, a).otherwise(b).alias("u"),
-                    F.when(a_first, b).otherwise(a).alias("v"),
-                    F.when(a_first, F.col("rb")).otherwise(F.col("ra")).alias("rv")), hot_ids
+        ha, hb = F.col("da").isNotNull().cast("int"), F.col("db").isNotNull().cast("int")
+        da, db = F.coalesce("da", F.lit(0).cast("bigint")), F.coalesce("db", F.lit(0).cast("bigint"))
+        a_first = (ha < hb) | ((ha == hb) & ((da < db) | ((da == db) & (a < b))))
+        return e.select(F.when(a_first, a).otherwise(b).alias("u"), F.when(a_first, b).otherwise(a).alias("v"),
+                        F.when(a_first, hb).otherwise(ha).alias("rh"),
+                        F.when(a_first, db).otherwise(da).alias("rd")), hot_ids
+    e = _split_join(canon, deg.select(F.col("id").alias("a"), F.col("deg").alias("da")), "a", hot_ids)
+    e = _split_join(e, deg.select(F.col("id").alias("b"), F.col("deg").alias("db")), "b", hot_ids)
+    a_first = (F.col("da") < F.col("db")) | ((F.col("da") == F.col("db")) & (a < b))
+    return e.select(F.when(a_first, a).otherwise(b).alias("u"), F.when(a_first, b).otherwise(a).alias("v"),
+                    F.when(a_first, F.col("db")).otherwise(F.col("da")).alias("rd")), hot_ids
 
 
 def oriented_edges(canon: DataFrame, order: str = "degree", hot_degree: int = HOT_DEGREE,
@@ -172,13 +168,16 @@ def oriented_edges(canon: DataFrame, order: str = "degree", hot_degree: int = HO
 
 def adjacency(oriented: DataFrame) -> DataFrame:
     """``(u, nbrs)``: out-neighbours of every vertex with an out-edge, in
-    increasing rank (column ``rv`` when given, else ``v``).
+    increasing rank (``rh``, ``rd`` when given, then ``v``).
 
     The not-null filter is explicit so that both consumers of ``adj`` in
     :func:`closing_corners` see the same plan and share one computation."""
-    rank = F.col("rv") if "rv" in oriented.columns else F.struct(F.col("v").alias("x"))
-    nb = F.array_sort(F.collect_list(F.struct(rank.alias("r"), F.col("v").alias("v"))))
-    return (oriented.filter(F.col("u").isNotNull()).groupBy("u").agg(nb.alias("nb"))
+    o = oriented.filter(F.col("u").isNotNull())
+    rank = [c for c in ("rh", "rd") if c in oriented.columns]
+    if not rank:
+        return o.groupBy("u").agg(F.array_sort(F.collect_list("v")).alias("nbrs"))
+    key = F.struct(*rank, "v")  # flat: arrays of flat structs sort fast
+    return (o.groupBy("u").agg(F.array_sort(F.collect_list(key)).alias("nb"))
             .select("u", F.transform("nb", lambda x: x["v"]).alias("nbrs")))
 
 
