@@ -1,4 +1,3 @@
-from conftest import SF_SMALL
 from lodestar.operators import classify as C
 from lodestar.operators import features as FT
 from lodestar.operators import split as S

@@ -1,6 +1,3 @@
-import pytest
-from pyspark.sql import functions as F
-
 from conftest import SF_SMALL, rows
 from lodestar.functions.distance import allclose, array_squared_distance, nearest_center
 from lodestar.operators import clustering as CL

@@ -1,6 +1,5 @@
 """Physical-plan properties the design relies on (checked on the plan text)."""
 
-from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from lodestar.operators import clustering as CL

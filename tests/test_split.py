@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, rows
 from lodestar.operators import split as S
