@@ -142,9 +142,11 @@ def with_tail_side(df: DataFrame, key: Sequence[str], test_fraction: float = 0.3
     per sub-range (at most ``num_buckets + 1`` rows) -- each round divides
     the range by about ``num_buckets``; finally one pass in which rows below
     / above the range are decided by two key comparisons and only the rows
-    in the range are ranked (``row_number``, at most ``target_rows`` rows
-    unless they are all one repeated key).  Rows with equal keys at the cut
-    are taken in an arbitrary order.
+    in the range are ranked (``row_number``, at most ``target_rows`` rows).
+    When the range cannot be narrowed because one key repeats, the copies of
+    that key are split partition by partition (no task holds more than one
+    input partition's copies).  Rows with equal keys at the cut are taken in
+    an arbitrary order.
 
     With ``persist`` the input is kept (memory, spilling to disk) for the
     passes and the result to read; call ``df.unpersist()`` on the input when
@@ -160,17 +162,55 @@ def with_tail_side(df: DataFrame, key: Sequence[str], test_fraction: float = 0.3
     if n == 0 or n_train == n:
         return df.withColumn("is_train", F.lit(n > 0))
     types = [df.schema[c].dataType for c in key]
-    lo, hi, before, _ = _cut_range(df, key, types, n_train, n, num_buckets, sample_per_bucket,
+    lo, hi, before, m = _cut_range(df, key, types, n_train, n, num_buckets, sample_per_bucket,
                                    target_rows, seed)
     inside = _in_range(key, lo, hi, types)
     low = _key_le(key, lo, types) if lo is not None else F.lit(False)
     outside = df.filter(~inside).withColumn("is_train", low)
-    ranked = df.filter(inside) \
-        .withColumn("_rn", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*key))) \
-        .withColumn("is_train", F.col("_rn") <= F.lit(n_train - before)).drop("_rn")
+    rng = df.filter(inside)
+    need = n_train - before
+    if m > target_rows:  # the range is (mostly) one repeated key
+        split_tie = _split_repeated_key(rng, key, types, need)
+        if split_tie is not None:
+            return outside.unionByName(split_tie)
+    ranked = rng.withColumn("_rn", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*key))) \
+        .withColumn("is_train", F.col("_rn") <= F.lit(need)).drop("_rn")
     return outside.unionByName(ranked)
 
 
+def _split_repeated_key(rng: DataFrame, key: Sequence[str], types: Sequence, need: int) -> DataFrame | None:
+    """``is_train`` for a key range dominated by one repeated key ``K`` when
+    the cut falls among the copies of ``K``: keys below ``K`` are train,
+    above it validation, and exactly ``need - (#below)`` copies of ``K`` are
+    train.  Copies are interchangeable by key, so they are taken partition
+    by partition: one count per input partition (at most one row per
+    partition reaches the driver), offsets joined back by broadcast, a rank
+    inside each partition only.  ``None`` if the cut is not among the copies."""
+    top = rng.groupBy(*key).agg(F.count(F.lit(1)).alias("_c")).orderBy(F.desc("_c")).first()
+    k = tuple(top[c] for c in key)
+    is_k = F.lit(True)
+    for c, v, t in zip(key, k, types):
+        is_k = is_k & (F.col(c) == F.lit(v).cast(t))
+    below = _key_le(key, k, types) & ~is_k
+    n_below = rng.filter(below).count()
+    take = need - n_below
+    if not 0 < take <= top["_c"]:
+        return None
+    copies = rng.filter(is_k).withColumn("_p", F.spark_partition_id())
+    counts = sorted((r["_p"], r["n"]) for r in copies.groupBy("_p").agg(F.count(F.lit(1)).alias("n")).collect())
+    offsets, acc = [], 0
+    for p, c in counts:
+        offsets.append((p, acc))
+        acc += c
+    spark = rng.sparkSession
+    off = F.broadcast(spark.createDataFrame(offsets, "_p INT, _off BIGINT"))  # one row per partition
+    ranked = (copies.join(off, "_p")
+              .withColumn("_rn", F.row_number().over(Window.partitionBy("_p").orderBy(*key)) + F.col("_off"))
+              .withColumn("is_train", F.col("_rn") <= F.lit(take)).drop("_rn", "_off", "_p"))
+    rest = rng.filter(~is_k).withColumn("is_train", below)
+    return rest.unionByName(ranked)
+
+
 def tail_split(df: DataFrame, key: Sequence[str], test_fraction: float = 0.3,
                **kw) -> tuple[DataFrame, DataFrame]:
     """Ordered split: (first ``int(n*(1-test_fraction))`` rows by key, the rest)."""

@@ -64,3 +64,12 @@ def test_tail_split_repeated_key_at_cut(spark):
     # sorted: 10 rows a=1, 50 copies of (2, 0), then a=3 with b = 0..39 -> the first 70 are train
     assert sorted(r["b"] for r in out.filter("is_train AND a = 3").collect()) == list(range(10))
     assert out.filter("NOT is_train AND a <= 2").count() == 0
+
+
+def test_tail_split_cut_inside_repeated_key(spark):
+    data = [(1, i) for i in range(10)] + [(2, 0)] * 80 + [(3, i) for i in range(10)]
+    df = spark.createDataFrame(data, "a BIGINT, b BIGINT").repartition(4)
+    out = S.with_tail_side(df, ["a", "b"], 0.3, num_buckets=4, sample_per_bucket=4, target_rows=5)
+    assert out.count() == 100 and out.filter("is_train").count() == 70
+    assert out.filter("is_train AND a = 2").count() == 60
+    assert out.filter("NOT is_train AND a = 1").count() == 0 and out.filter("is_train AND a = 3").count() == 0
