@@ -149,3 +149,13 @@ def test_orders_with_hubs_at_low_ids(spark, order):
     assert G.triangle_total(e, order=order, hot_degree=5, max_hot=4).first()["total"] == 2 * (n - 3)
     adj = G.adjacency(G.oriented_edges(G.canonical_edges(e), order, hot_degree=5, max_hot=4))
     assert max(len(r["nbrs"]) for r in adj.collect()) <= 5
+
+
+@pytest.mark.parametrize("order", ["degree", "id"])
+def test_empty_and_self_loop_only_graphs(spark, order):
+    empty = edges(spark, [])
+    assert G.triangle_total(empty, order=order).first()["total"] == 0
+    assert G.triangle_counts(empty, order=order).count() == 0
+    loops = edges(spark, [(1, 1), (2, 2)])
+    assert G.triangle_total(loops, order=order).first()["total"] == 0
+    assert rows(G.triangle_counts(loops, order=order)) == [(1, 0), (2, 0)]
