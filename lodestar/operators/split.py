@@ -22,24 +22,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lodestar.functions.hashing import hash_bucket, key_string  # noqa: F401  (re-exported)
+
 
 def random_split(df: DataFrame, train_fraction: float = 0.7, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     train, valid = df.randomSplit([train_fraction, 1.0 - train_fraction], seed=seed)
     return train, valid
 
 
-def key_string(key: Sequence[str]) -> Column:
-    """``k1|k2|...`` of the key columns cast to string."""
-    return F.concat_ws("|", *[F.col(k).cast("string") for k in key])
-
-
-def hash_bucket(key: Sequence[str], buckets: int = 100) -> Column:
-    """First 8 hex digits of ``md5(k1|k2|...)`` as an unsigned 32-bit
-    integer, modulo ``buckets``."""
-    h = F.conv(F.substring(F.md5(key_string(key)), 1, 8), 16, 10).cast("bigint")
-    return (h % F.lit(buckets)).cast("int")
-
-
 def hash_split(df: DataFrame, key: Sequence[str], train_fraction: float = 0.7,
                buckets: int = 100) -> tuple[DataFrame, DataFrame]:
     """Rows whose bucket is below ``train_fraction * buckets`` are train."""
