@@ -24,7 +24,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from lodestar.operators import classify, clustering, features, graph, split  # noqa: E402
 from lodestar.plans import catalog  # noqa: E402
 from lodestar.plans.report import force  # noqa: E402
-from lodestar.session import get_session, shared_dir  # noqa: E402
+from lodestar.session import get_session, persisted, shared_dir  # noqa: E402
 from lodestar.sources.synth import generate_points  # noqa: E402
 from lodestar.sources.tables import FEATURES, POINT_KEY, part_graph, points_view, table  # noqa: E402
 
@@ -72,9 +72,9 @@ def q_lloyd_kmeans(spark, sf, ctx):
 
 
 def q_mllib_kmeans(spark, sf, ctx):
-    pts = points_view(spark, sf).select(*FEATURES)
-    model = clustering.fit_kmeans(pts, FEATURES, k=2, max_iter=3, seed=42)
-    clustering.kmeans_cluster_sizes(model, pts).collect()
+    with persisted(points_view(spark, sf).select(*FEATURES)) as pts:
+        model = clustering.fit_kmeans(pts, FEATURES, k=2, max_iter=3, seed=42)
+        clustering.kmeans_cluster_sizes(model, pts).collect()
 
 
 def q_forest(spark, sf, ctx):
