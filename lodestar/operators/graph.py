@@ -85,13 +85,14 @@ def hot_vertices(deg: DataFrame, hot_degree: int = HOT_DEGREE,
 
 
 def _is_plain_scan(df: DataFrame) -> bool:
-    """True when ``df`` only reads and projects stored data (re-reading it is
-    cheap); any join, aggregate, generator or window makes it a computation."""
+    """True when ``df`` only reads, filters, projects or unions stored data
+    (re-reading it is cheap); any join, aggregate, generator or window makes
+    it a computation."""
     try:
         p = df._jdf.queryExecution().optimizedPlan().toString()
     except Exception:  # no JVM plan access (e.g. Spark Connect): assume computed
         return False
-    return not any(w in p for w in ("Join", "Aggregate", "Generate", "Window", "Union"))
+    return not any(w in p for w in ("Join", "Aggregate", "Generate", "Window"))
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
