@@ -40,3 +40,20 @@ def test_points_lloyd_and_split_with_shuffle_joins(no_broadcast):
     assert sizes == [(0, 3107), (1, 2893)]
     out = S.with_tail_side(p.select(*POINT_KEY), POINT_KEY, 0.3)
     assert out.filter("is_train").count() == 4200
+
+
+@pytest.fixture
+def ansi_off(spark):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    yield spark
+    spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+@pytest.mark.parametrize("name", ["column_stats", "edges_cast", "lloyd_cluster_sizes", "split_hash",
+                                  "synth_points", "triangle_total"])
+def test_same_results_with_ansi_off(ansi_off, name):
+    import __spark_entry__ as entry
+    from oracle_compare import compare, duck
+    r = compare(ansi_off, duck(SF_SMALL), name, SF_SMALL, entry.oracle_sql()[name])
+    assert r["ok"], r
