@@ -41,6 +41,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def vertices(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -77,11 +78,14 @@ def hot_vertices(deg: DataFrame, hot_degree: int = HOT_DEGREE,
     """``(hot, T, n_hot)``: the vertices with degree above ``T`` (``id,
     deg``), where ``T`` is ``hot_degree`` raised, if needed, to the
     ``max_hot + 1``-th largest degree so that at most ``max_hot`` vertices
-    are hot.  One top-k job; ``max_hot + 1`` degrees reach the driver."""
-    top = [r["deg"] for r in deg.select("deg").orderBy(F.desc("deg")).limit(max_hot + 1).collect()]
-    t = hot_degree if len(top) <= max_hot else max(hot_degree, top[-1])
-    n_hot = sum(1 for d in top if d > t)
-    return deg.filter(F.col("deg") > F.lit(t)), t, n_hot
+    are hot.  One top-k job; ``max_hot + 1`` rows reach the driver and the
+    hot set is built from them (no second pass over the degrees)."""
+    top = deg.select("id", "deg").orderBy(F.desc("deg")).limit(max_hot + 1).collect()
+    t = hot_degree if len(top) <= max_hot else max(hot_degree, top[-1]["deg"])
+    rows = [(r["id"], r["deg"]) for r in top if r["deg"] > t]
+    schema = T.StructType([T.StructField("id", deg.schema["id"].dataType),
+                           T.StructField("deg", T.LongType())])
+    return deg.sparkSession.createDataFrame(rows, schema), t, len(rows)
 
 
 def _is_plain_scan(df: DataFrame) -> bool:
@@ -133,19 +137,21 @@ def _orient(canon: DataFrame, order: str, hot_degree: int, max_hot: int):
     if order not in ("degree", "id"):
         raise ValueError("order must be 'degree' or 'id'")
     deg = degrees(canon)
-    _, t, n_hot = hot_vertices(deg, hot_degree, max_hot)
+    if order == "degree":
+        # read by the top-k below and by both orientation joins
+        deg = _stored(deg, "degrees")
+    hot, t, n_hot = hot_vertices(deg, hot_degree, max_hot)
     hot_ids = None
     if n_hot:
         # The hot and cold branches each read the canonical edges: store
         # them once rather than recompute them per branch.
         canon = _stored(canon, "canonical-edges")
-        deg = degrees(canon)
-        hot_ids = deg.filter(F.col("deg") > F.lit(t)).select("id")
+        hot_ids = hot.select("id")
     a, b = F.col("a"), F.col("b")
     if order == "id":
         if hot_ids is None:  # plain id order; adjacency sorts the ids themselves
             return canon.select(a.alias("u"), b.alias("v")), None
-        hot = F.broadcast(deg.filter(F.col("deg") > F.lit(t)))  # <= max_hot rows
+        hot = F.broadcast(hot)  # <= max_hot rows
         e = (canon.join(hot.select(F.col("id").alias("a"), F.col("deg").alias("da")), "a", "left")
                   .join(hot.select(F.col("id").alias("b"), F.col("deg").alias("db")), "b", "left"))
         ha, hb = F.col("da").isNotNull().cast("int"), F.col("db").isNotNull().cast("int")
