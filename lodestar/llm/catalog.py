@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lodestar.llm import packing, records, url_filter
+from lodestar.llm import decontaminate, embedding_dedup, language_model, ngram_join, packing, records, substring_dedup, url_filter
 from lodestar.sources.tables import table
 
 #: Fixed values of the url query: (host, path, verdict).
@@ -18,10 +19,32 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _remainder(modulus: int):
+    """crc32 of doc_id as text, modulo ``modulus`` (a null id counts as the empty text)."""
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
+
+
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.remove_repeated(table(spark, sf_dir, "documents"), size=35, keep=["doc_id"])
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op3_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.token_records(spark, table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), end_id=2)
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_benchmark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    n_hit = decontaminate.hit_words()
+    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+
+
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.9)
+    return out.select("vec_id", "n_links", "component_id", "kept")
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.sql(f"SELECT * FROM VALUES {_RULE_VALUES} AS t(host, path, verdict)")
     return url_filter.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
@@ -31,11 +54,73 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), end_id=1)
 
 
-QUERIES = {f.__name__: f for f in (op3_token_records, op6_url_filter, op8_packing)}
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (_remainder(7) == 2).alias("held_out"))
+    return language_model.score_texts(docs, training=~F.col("held_out"), keep=["doc_id", "held_out"])
+
+
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngram_join.ngram_components(docs, size=4, threshold=85).select("doc_id", "n_shingles", "component_id")
+
+
+QUERIES = {f.__name__: f for f in (op2_substring_dedup, op3_token_records, op4_decontamination, op5_embedding_dedup, op6_url_filter,
+                                   op8_packing, op9_language_model, op10_ngram_join)}
 
 _RULE_VALUES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
 
+_WORDS4 = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+#: Words between white space, and with A-Z lower-cased.
+_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 ORACLES = {
+    "op2_substring_dedup": f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+h AS (SELECT rid, i, md5(array_to_string(w[i:i + 34], ' ')) AS key
+      FROM (SELECT rid, w, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35)),
+r AS (SELECT rid, i FROM h JOIN (SELECT key FROM h GROUP BY key HAVING count(*) > 1) USING (key)),
+g AS (SELECT rid, list(DISTINCT p) AS gone FROM (SELECT rid, unnest(range(i, i + 35)) AS p FROM r) GROUP BY rid),
+k AS (SELECT d.rid, d.doc_id, len(d.w) AS n, coalesce(len(gone), 0) AS m,
+             list_filter(list_transform(d.w, lambda x, i: CASE WHEN gone IS NULL OR NOT list_contains(gone, i) THEN x END), lambda x: x IS NOT NULL) AS kept
+      FROM d LEFT JOIN g USING (rid))
+SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(m AS BIGINT) AS n_removed, sha256(coalesce(array_to_string(kept, ' '), '')) AS kept_sha256 FROM k""",
+    "op5_embedding_dedup": """
+WITH v AS (SELECT row_number() OVER () AS rid, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+n AS (SELECT rid, vec_id, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS len FROM v
+      WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+l AS (SELECT a.rid AS x, b.rid AS y FROM n a JOIN n b ON a.rid <> b.rid AND len(a.e) = len(b.e)
+      WHERE a.len > 0 AND b.len > 0 AND list_dot_product(a.e, b.e) / (a.len * b.len) >= 0.9),
+c AS (WITH RECURSIVE t(x, y) AS (SELECT x, y FROM l UNION SELECT t.x, l.y FROM t JOIN l ON t.y = l.x) SELECT x, min(v.vec_id) AS m FROM t JOIN v ON v.rid = t.y GROUP BY x)
+SELECT v.vec_id, (SELECT count(*) FROM l WHERE l.x = v.rid) AS n_links, least(v.vec_id, coalesce(c.m, v.vec_id)) AS component_id,
+       v.vec_id = least(v.vec_id, coalesce(c.m, v.vec_id)) AS kept
+FROM v LEFT JOIN c ON c.x = v.rid""",
+    "op10_ngram_join": f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS.format(_LOWER)} AS w FROM documents),
+s AS (SELECT rid, array_to_string(w, ' ') AS g FROM d WHERE len(w) BETWEEN 1 AND 3
+      UNION SELECT rid, array_to_string(w[i:i + 3], ' ') FROM (SELECT rid, w, unnest(range(1, len(w) - 2)) AS i FROM d WHERE len(w) >= 4)),
+n AS (SELECT rid, count(*) AS n FROM s GROUP BY rid),
+o AS (SELECT a.rid AS x, b.rid AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.rid <> b.rid GROUP BY ALL),
+l AS MATERIALIZED (SELECT x, y FROM o JOIN n nx ON nx.rid = x JOIN n ny ON ny.rid = y WHERE 100 * c >= 85 * (nx.n + ny.n - c)),
+t(x, y) AS (SELECT x, y FROM l UNION SELECT t.x, l.y FROM t JOIN l ON t.y = l.x),
+m AS (SELECT t.x, min(d.doc_id) AS m FROM t JOIN d ON d.rid = t.y GROUP BY t.x)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m.m, d.doc_id)) AS component_id
+FROM d LEFT JOIN n ON n.rid = d.rid LEFT JOIN m ON m.x = d.rid""",
+    "op4_decontamination": f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS4.format("coalesce(text, '')")} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS4.format("coalesce(text, '')")} AS w FROM benchmark),
+p AS (SELECT DISTINCT item, k, array_to_string(w[i:i + k - 1], ' ') AS key
+      FROM (SELECT item, w, least(10, len(w)) AS k, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)),
+s AS (SELECT DISTINCT k FROM p),
+h AS (SELECT rid, k, i, array_to_string(w[i:i + k - 1], ' ') AS key
+      FROM (SELECT rid, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, s WHERE len(w) >= k)),
+m AS (SELECT h.rid, h.i, p.k, p.item FROM h JOIN p ON h.key = p.key AND h.k = p.k),
+hit AS (SELECT rid, count(DISTINCT pos) AS n_hit FROM (SELECT rid, unnest(range(i, i + k)) AS pos FROM m) GROUP BY rid),
+its AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS its FROM (SELECT DISTINCT rid, item FROM m) GROUP BY rid)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(its, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (rid) LEFT JOIN its USING (rid)""",
     "op6_url_filter": f"""
 WITH rules(rh, rp, rv) AS (VALUES {_RULE_VALUES}),
 u AS (SELECT page_id, CASE WHEN url IS NULL OR strpos(url, '://') = 0 THEN '' ELSE substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
