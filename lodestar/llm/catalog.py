@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import decontaminate, embedding_dedup, language_model, ngram_join, packing, records, substring_dedup, url_filter
+from lodestar.llm import decontaminate, embedding_dedup, language_model, ngram_join, packing, quality, records, substring_dedup, token_counts, url_filter
 from lodestar.sources.tables import table
 
 #: Fixed values of the url query: (host, path, verdict).
@@ -19,11 +19,22 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def _remainder(modulus: int):
+def remainder(modulus: int):
     """crc32 of doc_id as text, modulo ``modulus`` (a null id counts as the empty text)."""
     return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
 
 
+#: Least score of a document that passes the quality classifier.
+PASS_SCORE = 0.3
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), training=remainder(5) != 0)
+    out = quality.score_documents(docs, model, keep=["doc_id"], text="text")
+    return out.select("doc_id", (remainder(5) == 0).alias("held_out"), "score", (F.col("score") >= PASS_SCORE).cast("int").alias("predicted"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.remove_repeated(table(spark, sf_dir, "documents"), size=35, keep=["doc_id"])
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
@@ -50,12 +61,17 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces, scores = token_counts.zipf_pieces(tokenizer_file("piece_bpe_32k.model"))
+    return token_counts.count_pieces(table(spark, sf_dir, "documents"), pieces, scores, keep=["doc_id"])
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), end_id=1)
 
 
 def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (_remainder(7) == 2).alias("held_out"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (remainder(7) == 2).alias("held_out"))
     return language_model.score_texts(docs, training=~F.col("held_out"), keep=["doc_id", "held_out"])
 
 
@@ -64,8 +80,8 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(docs, size=4, threshold=85).select("doc_id", "n_shingles", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_substring_dedup, op3_token_records, op4_decontamination, op5_embedding_dedup, op6_url_filter,
-                                   op8_packing, op9_language_model, op10_ngram_join)}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_substring_dedup, op3_token_records, op4_decontamination, op5_embedding_dedup, op6_url_filter,
+                                   op7_token_counts, op8_packing, op9_language_model, op10_ngram_join)}
 
 _RULE_VALUES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
 

@@ -229,8 +229,10 @@ def linked_components(rows: DataFrame, threshold: int) -> DataFrame:
 
 
 def ngram_components(docs: DataFrame, size: int = 4, threshold: int = 85, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with ``n_shingles`` and ``component_id`` (the smallest doc_id that links reach); columns of these names are replaced."""
-    docs = docs.drop("n_shingles", "component_id")
+    """``docs`` without the text, with ``n_shingles``, ``component_id`` (the smallest doc_id that links reach) and
+    ``component`` (one number for each component; null without n-grams).  Columns of these names are replaced.
+    """
+    docs = docs.drop("n_shingles", "component_id", "component")
     parts = linked_components(candidate_rows(docs, text, size, threshold), threshold)
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != text] + ["__node long, __n long"])
     carried = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != text], F.col(f"`{text}`").cast("string").alias("__text"))
@@ -239,4 +241,20 @@ def ngram_components(docs: DataFrame, size: int = 4, threshold: int = 85, doc_id
     lowest = named.where("__n > 0").groupBy("__part").agg(F.min(f"`{doc_id}`").alias("__lowest"))
     out = named.join(lowest, "__part", "left")
     return out.select(*[F.col(f"`{c}`") for c in docs.columns if c != text], F.col("__n").alias("n_shingles"),
-                      F.coalesce(F.when(F.col("__n") > 0, F.col("__lowest")), F.col(f"`{doc_id}`")).alias("component_id"))
+                      F.coalesce(F.when(F.col("__n") > 0, F.col("__lowest")), F.col(f"`{doc_id}`")).alias("component_id"),
+                      F.when(F.col("__n") > 0, F.col("__part")).alias("component"))
+
+
+def one_of_each(docs: DataFrame, size: int = 5, threshold: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each component (the first by doc_id, then by a hash of the text) and all rows without n-grams; columns as they were."""
+    key = F.struct(F.col(f"`{doc_id}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("hash"))
+    found = ngram_components(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), key["hash"].alias("hash"), F.col(f"`{text}`").alias("text")), size, threshold)
+    first = found.where("component is not null").groupBy("component").agg(F.min(F.struct(F.col("doc_id").alias("id"), "hash")).alias("key"))
+    empty = found.where("component is null").select(F.struct(F.col("doc_id").alias("id"), "hash").alias("key"), F.lit(False).alias("one")).distinct()
+    keys = first.select("key", F.lit(True).alias("one")).unionByName(empty)
+    keys = keys.select(F.coalesce(F.col("key.id").cast("string"), F.lit("null")).alias("__id"), F.col("key.hash").alias("__hash"), F.col("one").alias("__one"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit("null")).alias("__id"),
+                       key["hash"].alias("__hash")).join(keys.hint("shuffle_hash"), ["__id", "__hash"])
+    # Rows that repeat a chosen row in id and text; they lie in one partition after the join.
+    chosen = rows.where("__one").groupBy("__id", "__hash").agg(F.first("__row").alias("__row")).select("__row")
+    return chosen.unionByName(rows.where("not __one").select("__row")).select("__row.*")
