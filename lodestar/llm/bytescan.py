@@ -53,7 +53,7 @@ def string_buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.n
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if column.null_count:
-        column = pc.fill_null(column, "")
+        column = pc.fill_null(column, b"" if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type) else "")
     wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
     _, offsets, data = column.buffers()
     if not len(column):

@@ -71,9 +71,8 @@ def pack(batch: int, keys: np.ndarray, numbers: np.ndarray, extra: np.ndarray |
         rows.append((buckets + batch % buckets, to_planes(keys[is_hot]), numbers[is_hot].tobytes(),
                      extra[is_hot].tobytes() if extra is not None else None, None, True))
         marks = keys[first[count >= hot]]
-        total = np.add.reduceat(extra.astype(np.int64), first)[count >= hot].astype(extra.dtype) if extra is not None else None
         keys, numbers = np.concatenate([keys[~is_hot], marks]), np.concatenate([numbers[~is_hot], np.full(len(marks), MARK, "<u2")])
-        extra = np.concatenate([extra[~is_hot], total]) if extra is not None else None
+        extra = np.concatenate([extra[~is_hot], extra[first[count >= hot]]]) if extra is not None else None
         order = np.argsort(keys, kind="stable")
         keys, numbers, extra = keys[order], numbers[order], extra[order] if extra is not None else None
     home = batch % buckets

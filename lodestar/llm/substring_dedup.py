@@ -21,7 +21,7 @@ window whose word sequence also starts anywhere else is removed.
    cost documents times shards.
 4. A key whose regions do not fit a shard (``HOT_WORDS``; a passage in very many
    documents) is settled by finer keys instead: each of its windows by
-   itself, counted by content, in one aggregate that combines before it shuffles.
+   itself, counted by content, packed (``exchange``).
 5. Spans go back to the documents by a hash of the text.  A span is maximal runs
    of windows; words are removed from the input as it was.
 
@@ -41,11 +41,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.llm import exchange
-from lodestar.llm.bytescan import NOT_SPACE, find_words, hash_spans, mix, text_slices, window_starts
+from lodestar.llm.bytescan import NOT_SPACE, find_words, hash_spans, mix, string_buffers, text_slices, window_starts
 from lodestar.llm.components import stored
 
 ANCHOR = 8
@@ -247,17 +248,62 @@ def _extract(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Record
                                          names=["key", "content", "places", "words"])
 
 
-def _single_windows(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """A row for each window of each region: its content, the region and the place in it."""
+_WINDOW = np.dtype([("at", "<u4"), ("places", "<u4")])
+_OWNER = np.dtype([("content", "<i8"), ("key", "<i8")])
+
+
+def _single_windows(batches: Iterator[pa.RecordBatch], size: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    """All windows of the regions, packed by bucket of their content."""
+    serial = TaskContext.get().partitionId() << 32
     for batch in batches:
-        for i in range(batch.num_rows):
-            words = np.frombuffer(batch.column("words")[i].as_py(), "<u4")
-            at = np.arange(len(words) - size + 1)
-            k = len(at)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(hash_spans(words, at, at + size).view(np.int64)), pa.array([batch.column("content")[i].as_py()] * k, pa.int64()),
-                 pa.array([batch.column("key")[i].as_py()] * k, pa.int64()), pa.array(at), pa.array([batch.column("places")[i].as_py()] * k, pa.int64())],
-                names=["window", "content", "key", "at", "places"])
+        words, offsets = string_buffers(batch.column("words"))
+        words, bounds = words[offsets[0]:offsets[-1]].view("<u4"), (offsets - offsets[0]) // 4
+        lo = 0
+        while lo < batch.num_rows:
+            hi = min(batch.num_rows, lo + exchange.MAX_DOCS, max(lo + 1, int(np.searchsorted(bounds, bounds[lo] + exchange.MAX_PAIRS, "right")) - 1))
+            first = bounds[lo:hi + 1]
+            at = window_starts(first, size)
+            number = np.searchsorted(first, at, "right") - 1
+            extra, docs = np.zeros(len(at), _WINDOW), np.zeros(hi - lo, _OWNER)
+            extra["at"], extra["places"] = at - first[number], batch.column("places").to_numpy()[lo:hi][number]
+            docs["content"], docs["key"] = batch.column("content").to_numpy()[lo:hi], batch.column("key").to_numpy()[lo:hi]
+            yield exchange.pack(serial, hash_spans(words, at, at + size), number, extra, docs.tobytes(), buckets)
+            serial += 1
+            lo = hi
+
+
+def _repeated_in_bucket(table: pa.Table) -> pa.Table:
+    """For each batch the windows that have two places or more."""
+    batches, docs = table["batch"].to_pylist(), table["docs"].to_pylist()
+    keys, numbers, row, extra = exchange.unpack(table, _WINDOW)
+    twice = np.ones(len(keys), bool)
+    if len(keys) and not table["hot"][0].as_py():
+        order = np.argsort(keys, kind="stable")
+        first = np.flatnonzero(np.append(True, keys[order][1:] != keys[order][:-1]))
+        places = np.where(numbers == exchange.MARK, 2, extra["places"]).astype(np.int64)
+        total = np.repeat(np.add.reduceat(places[order], first), np.diff(np.append(first, len(keys))))
+        twice[order] = total > 1
+        twice &= numbers != exchange.MARK
+    edges = np.searchsorted(row, np.arange(len(batches) + 1))
+    out = []
+    for i, batch in enumerate(batches):
+        mine = np.flatnonzero(twice[edges[i]:edges[i + 1]]) + edges[i]
+        if len(mine) or docs[i] is not None:
+            out.append((batch, numbers[mine].tobytes(), extra["at"][mine].tobytes(), docs[i]))
+    cols = list(zip(*out)) if out else [[]] * 4
+    return pa.table([pa.array(cols[0], pa.int64()), *[pa.array(c, pa.binary()) for c in cols[1:]]], names=["batch", "numbers", "at", "docs"])
+
+
+def _runs_of_batch(table: pa.Table) -> pa.Table:
+    """The runs of repeated windows of each region of one batch."""
+    docs = np.frombuffer(b"".join(x for x in table["docs"].to_pylist() if x is not None), _OWNER)
+    numbers = np.concatenate([np.frombuffer(x, "<u2") for x in table["numbers"].to_pylist()])
+    at = np.concatenate([np.frombuffer(x, "<u4") for x in table["at"].to_pylist()]).astype(np.int64)
+    order = np.lexsort((at, numbers))
+    numbers, at = numbers[order], at[order]
+    edges = np.searchsorted(numbers, np.arange(len(docs) + 1))
+    runs = [_runs(at[edges[i]:edges[i + 1]]) for i in range(len(docs))]
+    return pa.table([pa.array(docs["content"].astype(np.int64)), pa.array(docs["key"].astype(np.int64)), pa.array(runs, _RUNS)], names=["content", "key", "runs"])
 
 
 def repeated_spans(docs: DataFrame, size: int, text: str = "text", shard_words: int = SHARD_WORDS, hot_words: int = HOT_WORDS) -> DataFrame:
@@ -284,9 +330,9 @@ def repeated_spans(docs: DataFrame, size: int, text: str = "text", shard_words:
     cold = words.where(col("key_words") <= hot_words).withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
     found = cold.groupBy("shard").applyInArrow(lambda t: _search_shard(t, size), "content long, key long, runs array<struct<a:long,b:long>>")
     hot = words.where(col("key_words") > hot_words).select("key", "content", "places", "words")
-    windows = hot.mapInArrow(lambda it: _single_windows(it, size), "window long, content long, key long, at long, places long")
-    twice = windows.groupBy("window").agg(F.sum("places").alias("n")).where("n > 1").select("window")
-    hot_found = windows.join(twice, "window").groupBy("content", "key").agg(F.collect_list(F.struct(col("at").alias("a"), (col("at") + 1).alias("b"))).alias("runs"))
+    windows = hot.mapInArrow(lambda it: _single_windows(it, size, buckets), exchange.SCHEMA)
+    hot_found = windows.groupBy("bucket").applyInArrow(_repeated_in_bucket, "batch long, numbers binary, at binary, docs binary") \
+        .groupBy("batch").applyInArrow(_runs_of_batch, "content long, key long, runs array<struct<a:long,b:long>>")
     single = contents.where("places = 1").select("key", "content")
     found = found.unionByName(hot_found).join(single, ["key", "content"], "left_semi").where(F.size("runs") > 0)
     runs = stored(found.unionByName(settled), "runs")
