@@ -63,11 +63,11 @@ def table_bits(width: int, bits: int, tables: int, seed: int = 11) -> np.ndarray
     rng = np.random.default_rng(seed)
     order = np.concatenate([rng.permutation(width) for _ in range(-(-tables * bits // width) + 1)])
     out = []
-    for t in range(tables):
+    for t in range(tables):  # without bits every table has one key
         row = list(dict.fromkeys(order[t * bits:(t + 1) * bits].tolist()))
         row += [int(i) for i in rng.permutation(width) if i not in row][:bits - len(row)]
         out.append(row)
-    return np.array(out)
+    return np.array(out, np.int64).reshape(tables, bits)
 
 
 def keys_of(codes: np.ndarray, positions: np.ndarray) -> np.ndarray:
@@ -185,7 +185,7 @@ def _links_of_length(classes: DataFrame, n: int, threshold: float, tables: int,
     rows = classes.orderBy("class").limit(sample).select("v").collect()
     x = _unit(np.array([r["v"] for r in rows], np.float64))
     mean, rotation = learn_rotation(x)
-    bits = int(min(x.shape[1], 56, max(6, np.ceil(np.log2(max(n, 2))) - 3)))
+    bits = int(min(x.shape[1], 56, max(0, np.ceil(np.log2(n)) - 3)))
     fitted = spark.sparkContext.broadcast((mean, rotation, table_bits(x.shape[1], bits, tables)))
     keyed = classes.select("class", "copies", "v").mapInArrow(
         lambda it: _keyed(it, fitted), "key long, table int, class long, copies long, keys binary, v binary")

@@ -159,7 +159,7 @@ def _forward(w: dict[str, np.ndarray], x: np.ndarray, bounds: np.ndarray) -> dic
 
 def learn(x: np.ndarray, bounds: np.ndarray, labels: np.ndarray, steps: int = STEPS, rate: float = RATE, seed: int = 5) -> Model:
     """Fit all layers to document labels by Adam on the mean log loss."""
-    mean, scale = x.mean(0), x.std(0) + 1e-3
+    mean, scale = (x.mean(0), x.std(0) + 1e-3) if len(x) else (np.zeros(x.shape[1]), np.ones(x.shape[1]))
     share = float(labels.mean()) if len(labels) else 0.5
     if not len(labels) or share in (0.0, 1.0):
         return Model(mean, scale, {}, share)

@@ -105,9 +105,9 @@ def judge_urls(pages: DataFrame, rules: DataFrame, listed: DataFrame | None = No
     hits = possible.join(e, (F.col("key") == F.col("e_key")) & F.col("s").eqNullSafe(F.col("rule_host")))
     best = F.max(F.struct(F.when(F.col("rule_host").isNotNull(), F.length("key")).otherwise(-1).alias("n"),
                           F.length("rule_host").alias("h"), F.col("rule_verdict").alias("v"), F.col("key").alias("key")))
-    judged = hits.groupBy("host", "path").agg(best.alias("best"))
+    judged = hits.groupBy("host", "path").agg(best.alias("__best"))
     out = asked.join(judged, ["host", "path"], "left")
-    fits = F.col("best.n") >= 0
+    fits = F.col("__best.n") >= 0
     return out.select(*[F.col(f"`{c}`") for c in pages.columns if c not in ("host", "path")], "host", "path",
-                      F.when(fits, F.col("best.key")).alias("rule"),
-                      F.when(fits, F.col("best.v")).when(F.col("best").isNotNull(), F.lit("block")).otherwise(F.lit("allow")).alias("verdict"))
+                      F.when(fits, F.col("__best.key")).alias("rule"),
+                      F.when(fits, F.col("__best.v")).when(F.col("__best").isNotNull(), F.lit("block")).otherwise(F.lit("allow")).alias("verdict"))
