@@ -7,22 +7,23 @@
   (first 32 bits of ``md5(key)`` modulo 100).  No shuffle.
 * :func:`tail_split`    -- ordered: the first ``int(n * (1 - test_fraction))``
   rows by key are train, the rest validation.  Exact, without a global
-  window: rows are bucketed by key ranges taken from a bounded sample, whole
-  buckets below / above the cut go to one side by a filter, and only the one
-  bucket that holds the cut is ranked with ``row_number``.
+  window: the key at the cut is found by counting ever smaller key ranges,
+  then every row is decided by one comparison with it.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
+from contextlib import nullcontext
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lodestar.functions.hashing import hash_bucket, key_string  # noqa: F401  (re-exported)
+from lodestar.session import persisted
+
+CHUNK = 10_000  # equal rows that one task writes out again
 
 
 def random_split(df: DataFrame, train_fraction: float = 0.7, seed: int = 42) -> tuple[DataFrame, DataFrame]:
@@ -46,159 +47,110 @@ def with_hash_side(df: DataFrame, key: Sequence[str], train_fraction: float = 0.
              .withColumn("is_train", F.col("bucket") < F.lit(cut))
 
 
-def _key_le(key: Sequence[str], bound: tuple, types: Sequence) -> Column:
-    """``key <= bound`` in lexicographic order, written with comparisons of
-    the plain columns (code generation keeps it in the scan loop)."""
-    out = None
-    for c, v, t in reversed(list(zip(key, bound, types))):
-        x, b = F.col(c), F.lit(v).cast(t)
-        out = (x <= b) if out is None else ((x < b) | ((x == b) & out))
-    return out
+def _bound(key: Sequence[str], bound: tuple, types: Sequence) -> Column:
+    return F.struct(*[F.lit(v).cast(t).alias(c) for c, v, t in zip(key, bound, types)])
 
 
-def _range_bucket(key: Sequence[str], bounds: list[tuple], types: Sequence) -> Column:
-    """Bucket index of the composite key among sorted ``bounds`` (bucket i
-    holds keys in ``(bounds[i-1], bounds[i]]``), as a balanced tree of
-    ``CASE`` tests: ``log2(len(bounds))`` comparisons per row."""
+def _range_bucket(k: Column, bounds: list[Column]) -> Column:
+    """Bucket index of ``k`` among sorted ``bounds``: ``2 * i + 1`` for bound i itself and
+    ``2 * i`` for keys before it (and after the one before), as a balanced tree of tests."""
 
-    def tree(lo: int, hi: int) -> Column:  # buckets lo..hi
+    def tree(lo: int, hi: int) -> Column:
         if lo == hi:
-            return F.lit(lo)
+            return F.lit(2 * lo)
         mid = (lo + hi) // 2
-        return F.when(_key_le(key, bounds[mid], types), tree(lo, mid)).otherwise(tree(mid + 1, hi))
+        return F.when(k < bounds[mid], tree(lo, mid)).when(k == bounds[mid], F.lit(2 * mid + 1)).otherwise(tree(mid + 1, hi))
 
     return tree(0, len(bounds))
 
 
-def _in_range(key: Sequence[str], lo: tuple | None, hi: tuple | None, types: Sequence) -> Column:
-    """``lo < key <= hi`` (``None`` = unbounded)."""
-    cond = F.lit(True)
-    if lo is not None:
-        cond = cond & ~_key_le(key, lo, types)
-    if hi is not None:
-        cond = cond & _key_le(key, hi, types)
-    return cond
-
-
-def _cut_range(df: DataFrame, key: Sequence[str], types: Sequence, n_train: int, n: int,
-               num_buckets: int, sample_per_bucket: int, target_rows: int, seed: int):
-    """Narrow the key range that holds the cut until it has at most
-    ``target_rows`` rows.  Returns ``(lo, hi, before, m)``: rows with key
-    ``<= lo`` (``before`` of them) are all train, rows with key ``> hi`` all
-    validation, and the ``m`` rows in between need ranking."""
-    lo, hi, before, m = None, None, 0, n
-    rnd = seed
-    while m > target_rows:
-        rng = df.filter(_in_range(key, lo, hi, types)).select(*key)
-        want = num_buckets * sample_per_bucket
-        frac = min(1.0, 2.0 * want / m)
-        sample = rng.sample(fraction=frac, seed=rnd).orderBy(*key).limit(want * 4).collect()
-        rnd += 1
-        step = max(1, math.ceil(len(sample) / num_buckets))
-        bounds = []
-        for i in range(step - 1, len(sample) - 1, step):
-            b = tuple(sample[i][c] for c in key)
-            if not bounds or b != bounds[-1]:
-                bounds.append(b)
-        if not bounds:
-            break  # all sampled keys equal: no finer split exists
-        counts = dict((r["_b"], r["n"]) for r in
-                      rng.select(_range_bucket(key, bounds, types).alias("_b"))
-                      .groupBy("_b").agg(F.count(F.lit(1)).alias("n")).collect())
-        edges = [lo, *bounds, hi]  # bucket j holds (edges[j], edges[j+1]]
-        for j in range(len(bounds) + 1):
-            c = counts.get(j, 0)
-            if before + c > n_train:
-                new = (edges[j], edges[j + 1], before, c)
+def find_cut(df: DataFrame, key: Sequence[str], rank: int, num_buckets: int = 64) -> tuple[tuple, int, int]:
+    """``(K, before, copies)``: the key of the row at ``rank`` (from 1) in key order, how many
+    rows have a smaller key, and how many have this key.
+
+    Keys compare as structs: column by column, a null before every value (``ORDER
+    BY ... NULLS FIRST``), NaN last.  Every round draws ``16 * num_buckets`` random keys of
+    the range that holds the rank, counts the range by buckets between them, and goes on
+    with one bucket, until it holds a single key: about ``log(n) / log(num_buckets)``
+    rounds of one narrow pass each, whatever the size; a range of fewer keys than are drawn
+    is known from the draw itself.  At most ``16 * num_buckets`` keys
+    and ``num_buckets`` counts reach the driver.
+    """
+    types = [df.schema[c].dataType for c in key]
+    k = F.struct(*[F.col(c) for c in key])
+    rng, before, seed = df.select(*key), 0, 7
+    while True:
+        drawn = rng.orderBy(F.rand(seed)).limit(16 * num_buckets)  # a bounded top-k, uniform over the range
+        drawn = [tuple(r) for r in drawn.orderBy(*key).collect()]
+        if len(drawn) < 16 * num_buckets:  # these are all
+            at = drawn[rank - before - 1]
+            return at, before + drawn.index(at), drawn.count(at)
+        step = max(1, len(drawn) // num_buckets)
+        cuts = list(dict.fromkeys(drawn[step - 1::step]))
+        bounds = [_bound(key, c, types) for c in cuts]
+        counts = rng.groupBy(_range_bucket(k, bounds).alias("b")).agg(
+            F.count(F.lit(1)).alias("n"), F.min(k).alias("low"), F.max(k).alias("high")).orderBy("b").collect()
+        for r in counts:
+            if before + r["n"] >= rank:
                 break
-            before += c
-        else:  # cannot happen while n_train < n
-            break
-        if new[3] == m:
-            break  # no progress: the range is one repeated key
-        lo, hi, before, m = new
-    return lo, hi, before, m
+            before += r["n"]
+        low, high = tuple(r["low"]), tuple(r["high"])
+        if low == high:
+            return low, before, r["n"]
+        rng = rng.filter((k >= _bound(key, low, types)) & (k <= _bound(key, high, types)))
+        seed += 1
 
 
 def with_tail_side(df: DataFrame, key: Sequence[str], test_fraction: float = 0.3,
-                   num_buckets: int = 64, sample_per_bucket: int = 64, seed: int = 7,
-                   target_rows: int = 2_000_000, persist: bool = True) -> DataFrame:
-    """Add ``is_train``: true for the first ``int(n * (1 - test_fraction))``
-    rows in ``key`` order.
-
-    Work: one count; then, while the key range holding the cut has more than
-    ``target_rows`` rows, one bounded sample of that range (about
-    ``num_buckets * sample_per_bucket`` keys reach the driver) and one count
-    per sub-range (at most ``num_buckets + 1`` rows) -- each round divides
-    the range by about ``num_buckets``; finally one pass in which rows below
-    / above the range are decided by two key comparisons and only the rows
-    in the range are ranked (``row_number``, at most ``target_rows`` rows).
-    When the range cannot be narrowed because one key repeats, the copies of
-    that key are split partition by partition (no task holds more than one
-    input partition's copies).  Rows with equal keys at the cut are taken in
-    an arbitrary order.
-
-    With ``persist`` the input is kept (memory, spilling to disk) for the
-    passes and the result to read; call ``df.unpersist()`` on the input when
-    done with the split.
+                   num_buckets: int = 64, persist: bool = True) -> DataFrame:
+    """Add ``is_train``: true for the first ``int(n * (1 - test_fraction))`` rows in ``key``
+    order (nulls first).
+
+    ``find_cut`` finds the key at the cut; rows with another key are decided by one comparison.
+    Copies of that key are taken in the order of a hash of the whole row, by the same search;
+    rows equal in all columns are interchangeable, so they are counted and written out
+    again, so many of them as train.  No task ranks a range of rows and no step depends on
+    how the rows are partitioned.
+
+    With ``persist`` the key columns are kept (memory, spilling to disk) for the search
+    only; nothing is left persisted.
     """
     if not 0.0 < test_fraction < 1.0:
         raise ValueError("test_fraction must be in (0, 1)")
-    if persist:
-        # Every later pass reads the input: compute it once (the count fills the cache).
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = df.count()
-    n_train = int(n * (1.0 - test_fraction))
-    if n == 0 or n_train == n:
-        return df.withColumn("is_train", F.lit(n > 0))
-    types = [df.schema[c].dataType for c in key]
-    lo, hi, before, m = _cut_range(df, key, types, n_train, n, num_buckets, sample_per_bucket,
-                                   target_rows, seed)
-    inside = _in_range(key, lo, hi, types)
-    low = _key_le(key, lo, types) if lo is not None else F.lit(False)
-    outside = df.filter(~inside).withColumn("is_train", low)
-    rng = df.filter(inside)
-    need = n_train - before
-    if m > target_rows:  # the range is (mostly) one repeated key
-        split_tie = _split_repeated_key(rng, key, types, need)
-        if split_tie is not None:
-            return outside.unionByName(split_tie)
-    ranked = rng.withColumn("_rn", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*key))) \
-        .withColumn("is_train", F.col("_rn") <= F.lit(need)).drop("_rn")
-    return outside.unionByName(ranked)
-
-
-def _split_repeated_key(rng: DataFrame, key: Sequence[str], types: Sequence, need: int) -> DataFrame | None:
-    """``is_train`` for a key range dominated by one repeated key ``K`` when
-    the cut falls among the copies of ``K``: keys below ``K`` are train,
-    above it validation, and exactly ``need - (#below)`` copies of ``K`` are
-    train.  Copies are interchangeable by key, so they are taken partition
-    by partition: one count per input partition (at most one row per
-    partition reaches the driver), offsets joined back by broadcast, a rank
-    inside each partition only.  ``None`` if the cut is not among the copies."""
-    top = rng.groupBy(*key).agg(F.count(F.lit(1)).alias("_c")).orderBy(F.desc("_c")).first()
-    k = tuple(top[c] for c in key)
-    is_k = F.lit(True)
-    for c, v, t in zip(key, k, types):
-        is_k = is_k & (F.col(c) == F.lit(v).cast(t))
-    below = _key_le(key, k, types) & ~is_k
-    n_below = rng.filter(below).count()
-    take = need - n_below
-    if not 0 < take <= top["_c"]:
-        return None
-    copies = rng.filter(is_k).withColumn("_p", F.spark_partition_id())
-    counts = sorted((r["_p"], r["n"]) for r in copies.groupBy("_p").agg(F.count(F.lit(1)).alias("n")).collect())
-    offsets, acc = [], 0
-    for p, c in counts:
-        offsets.append((p, acc))
-        acc += c
-    spark = rng.sparkSession
-    off = F.broadcast(spark.createDataFrame(offsets, "_p INT, _off BIGINT"))  # one row per partition
-    ranked = (copies.join(off, "_p")
-              .withColumn("_rn", F.row_number().over(Window.partitionBy("_p").orderBy(*key)) + F.col("_off"))
-              .withColumn("is_train", F.col("_rn") <= F.lit(take)).drop("_rn", "_off", "_p"))
-    rest = rng.filter(~is_k).withColumn("is_train", below)
-    return rest.unionByName(ranked)
+    keys = df.select(*key)
+    with persisted(keys) if persist else nullcontext(keys) as keys:
+        n = keys.count()
+        n_train = int(n * (1.0 - test_fraction))
+        if n_train in (0, n):
+            return df.withColumn("is_train", F.lit(n > 0 and n_train == n))
+        cut, before, copies = find_cut(keys, key, n_train, num_buckets)
+    k = F.struct(*[F.col(c) for c in key])
+    at = _bound(key, cut, [df.schema[c].dataType for c in key])
+    take = n_train - before
+    if take == copies:
+        return df.withColumn("is_train", k <= at)
+    others = df.filter(k != at).withColumn("is_train", k < at)
+    return others.unionByName(_split_copies(df.filter(k == at), take, num_buckets))
+
+
+def _split_copies(copies: DataFrame, take: int, num_buckets: int) -> DataFrame:
+    """``is_train`` for exactly ``take`` (more than 0, not all) of the rows."""
+    cols = [F.col(f"`{c}`") for c in copies.columns]
+    named = copies.withColumn("_h", F.xxhash64(*cols))
+    (h,), before, same = find_cut(named, ["_h"], take, num_buckets)
+    out = named.filter(F.col("_h") != h).withColumn("is_train", F.col("_h") < h).drop("_h")
+    equal = named.filter(F.col("_h") == h).drop("_h")
+    if before + same == take:
+        return out.unionByName(equal.withColumn("is_train", F.lit(True)))
+    # Rows that are the same in every column (two kinds of rows only if 64-bit hashes collide).
+    kinds = equal.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    spread = kinds.withColumn("_end", F.sum("_n").over(Window.orderBy(*cols))) \
+        .withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / CHUNK)))) \
+        .repartition(F.col("_part"))
+    first = F.col("_part") * CHUNK + 1
+    rows = spread.withColumn("_i", F.explode(F.sequence(first, F.least(F.col("_n"), first + CHUNK - 1))))
+    rows = rows.withColumn("is_train", F.col("_end") - F.col("_n") + F.col("_i") <= take - before)
+    return out.unionByName(rows.drop("_n", "_end", "_part", "_i"))
 
 
 def tail_split(df: DataFrame, key: Sequence[str], test_fraction: float = 0.3,

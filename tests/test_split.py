@@ -11,7 +11,7 @@ def test_tail_split_exact(spark):
     random.Random(3).shuffle(keys)
     df = spark.createDataFrame([(k, k % 7) for k in keys], "k BIGINT, g INT").repartition(5)
     for frac in (0.3, 0.5, 0.01):
-        out = S.with_tail_side(df, ["k"], frac, num_buckets=8, sample_per_bucket=8)
+        out = S.with_tail_side(df, ["k"], frac, num_buckets=8)
         train = sorted(r["k"] for r in out.filter("is_train").collect())
         n_train = int(1000 * (1 - frac))
         assert train == list(range(n_train))
@@ -44,13 +44,13 @@ def test_random_split_covers(spark):
     assert t.join(v, "id").count() == 0
 
 
-@pytest.mark.parametrize("target", [10, 100, 5000])
-def test_tail_split_iterative_narrowing(spark, target):
+@pytest.mark.parametrize("buckets", [2, 4, 64])
+def test_tail_split_iterative_narrowing(spark, buckets):
     import random
     keys = [(a, b) for a in range(40) for b in range(30)]
     random.Random(9).shuffle(keys)
     df = spark.createDataFrame(keys, "a BIGINT, b BIGINT").repartition(6)
-    out = S.with_tail_side(df, ["a", "b"], 0.3, num_buckets=4, sample_per_bucket=8, target_rows=target)
+    out = S.with_tail_side(df, ["a", "b"], 0.3, num_buckets=buckets)
     n_train = int(1200 * 0.7)
     assert sorted(tuple(r[:2]) for r in out.filter("is_train").collect()) == sorted(keys)[:n_train]
     assert out.count() == 1200
@@ -59,7 +59,7 @@ def test_tail_split_iterative_narrowing(spark, target):
 def test_tail_split_repeated_key_at_cut(spark):
     data = [(1, i) for i in range(10)] + [(2, 0)] * 50 + [(3, i) for i in range(40)]
     df = spark.createDataFrame(data, "a BIGINT, b BIGINT")
-    out = S.with_tail_side(df, ["a", "b"], 0.3, num_buckets=4, sample_per_bucket=4, target_rows=5)
+    out = S.with_tail_side(df, ["a", "b"], 0.3, num_buckets=4)
     assert out.filter("is_train").count() == 70
     # sorted: 10 rows a=1, 50 copies of (2, 0), then a=3 with b = 0..39 -> the first 70 are train
     assert sorted(r["b"] for r in out.filter("is_train AND a = 3").collect()) == list(range(10))
@@ -69,7 +69,40 @@ def test_tail_split_repeated_key_at_cut(spark):
 def test_tail_split_cut_inside_repeated_key(spark):
     data = [(1, i) for i in range(10)] + [(2, 0)] * 80 + [(3, i) for i in range(10)]
     df = spark.createDataFrame(data, "a BIGINT, b BIGINT").repartition(4)
-    out = S.with_tail_side(df, ["a", "b"], 0.3, num_buckets=4, sample_per_bucket=4, target_rows=5)
+    out = S.with_tail_side(df, ["a", "b"], 0.3, num_buckets=4)
     assert out.count() == 100 and out.filter("is_train").count() == 70
     assert out.filter("is_train AND a = 2").count() == 60
     assert out.filter("NOT is_train AND a = 1").count() == 0 and out.filter("is_train AND a = 3").count() == 0
+
+
+@pytest.mark.parametrize("persist", [True, False])
+def test_tail_split_counts_hold_after_a_shuffle_of_wide_rows(spark, persist):
+    """All rows have one key: exactly the asked number is train, whatever is read with it."""
+    from pyspark.sql import functions as F
+    df = spark.range(30_000).select(F.lit(1).alias("k"), "id", F.repeat(F.lit("x"), 200).alias("wide")).repartition("id")
+    out = S.with_tail_side(df, ["k"], 0.3, persist=persist)
+    assert out.filter("is_train").select(F.max("wide"), F.count("*")).first()[1] == 21_000
+    assert out.count() == 30_000 and out.select("id").distinct().count() == 30_000
+
+
+def test_tail_split_of_equal_rows(spark):
+    df = spark.createDataFrame([(1, "a")] * 40 + [(0, "b")] * 5, "k INT, v STRING")
+    out = S.with_tail_side(df, ["k"], 0.4, num_buckets=2)
+    assert out.count() == 45 and out.filter("is_train").count() == 27
+    assert out.filter("is_train and k = 0").count() == 5
+
+
+def test_tail_split_puts_nulls_first_and_loses_none(spark):
+    keys = [None] * 100 + list(range(900))
+    df = spark.createDataFrame([(k,) for k in keys], "k INT").repartition(5)
+    for buckets in (2, 64):
+        out = S.with_tail_side(df, ["k"], 0.3, num_buckets=buckets)
+        assert out.count() == 1000 and out.filter("is_train").count() == 700
+        assert out.filter("is_train and k is null").count() == 100
+        assert out.filter("is_train").agg({"k": "max"}).first()[0] == 599
+
+
+def test_tail_split_leaves_nothing_persisted(spark):
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    S.with_tail_side(spark.range(100), ["id"], 0.3).count()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
