@@ -15,7 +15,6 @@ Sub-packages:
 * ``functions`` -- column-expression helpers (distances, hash buckets, ...)
 * ``operators`` -- the operators themselves
 * ``plans``     -- end-to-end jobs, the phase report and the query catalog
-* ``streaming`` -- the same per-row operators applied to streaming input
 """
 
 from lodestar.session import get_session, shared_dir

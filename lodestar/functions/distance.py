@@ -27,15 +27,17 @@ def squared_distance(cols: Sequence[str | Column], center: Sequence[float]) -> C
     return out
 
 
-def nearest_center(cols: Sequence[str | Column], centers: Sequence[Sequence[float]]) -> Column:
-    """Index of the nearest center; on a tie the lowest index wins.
+def nearest_center(cols: Sequence[str | Column] | str, centers: Sequence[Sequence[float]]) -> Column:
+    """Index of the nearest center; on a tie the lowest index wins.  ``cols``:
+    the feature columns, or the name of one array column.
 
     ``array_min`` then ``array_position`` (first match) gives exactly that
     rule, in one expression per row.
     """
     if len(centers) == 1:
         return F.lit(0)
-    d = F.array(*[squared_distance(cols, c) for c in centers])
+    one = array_squared_distance if isinstance(cols, str) else squared_distance
+    d = F.array(*[one(cols, c) for c in centers])
     return (F.array_position(d, F.array_min(d)) - 1).cast("int")
 
 
@@ -45,7 +47,7 @@ def array_squared_distance(vec: str | Column, center: Sequence[float]) -> Column
     v = F.col(vec) if isinstance(vec, str) else vec
     c = F.array(*[F.lit(float(x)) for x in center])
     diffs = F.zip_with(v, c, lambda a, b: (a - b) * (a - b))
-    return F.aggregate(diffs, F.lit(0.0), lambda acc, x: acc + x)
+    return F.aggregate(diffs, F.lit(0.0), lambda acc, x: acc + x.cast("double"))
 
 
 def allclose(a: Sequence[Sequence[float]], b: Sequence[Sequence[float]],

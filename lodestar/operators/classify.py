@@ -82,7 +82,7 @@ def _metrics(scored: DataFrame, label: str, eps: float) -> DataFrame:
                      F.avg((F.col("prediction") == F.col(label)).cast("double")).alias("accuracy"),
                      F.avg(-(y * F.log(p) + (1 - y) * F.log(1 - p))).alias("log_loss")).first()
     auc = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="p1",
-                                        metricName="areaUnderROC").evaluate(
+                                        metricName="areaUnderROC", numBins=0).evaluate(  # no binning: exact
         scored.select(F.col(label).cast("double").alias(label), "p1"))
     schema = T.StructType([T.StructField("n", T.LongType()), T.StructField("accuracy", T.DoubleType()),
                            T.StructField("log_loss", T.DoubleType()), T.StructField("auc", T.DoubleType())])

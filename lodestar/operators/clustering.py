@@ -17,7 +17,6 @@ from dataclasses import dataclass, field
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,12 +24,30 @@ from pyspark.sql import types as T
 from lodestar.functions.distance import allclose, nearest_center
 
 
-def assign_nearest(df: DataFrame, cols: Sequence[str], centers: Sequence[Sequence[float]],
+def assign_nearest(df: DataFrame, cols: Sequence[str] | str, centers: Sequence[Sequence[float]],
                    out: str = "cluster") -> DataFrame:
-    """Add ``out`` = index of the nearest center (lowest index on a tie)."""
+    """Add ``out`` = index of the nearest center (lowest index on a tie).
+
+    ``cols``: the feature columns, or the name of one array column (wide vectors)."""
     return df.withColumn(out, nearest_center(cols, centers))
 
 
+def valid_points(df: DataFrame, cols: Sequence[str], handle_invalid: str = "error") -> DataFrame:
+    """``df`` without points that have a null or NaN feature (``"skip"``), or an
+    error that says how many there are (``"error"``)."""
+    if handle_invalid not in ("error", "skip"):
+        raise ValueError("handle_invalid must be 'error' or 'skip'")
+    bad = F.lit(False)
+    for c in cols:
+        bad = bad | F.col(c).isNull() | F.isnan(F.col(c).cast("double"))
+    if handle_invalid == "skip":
+        return df.filter(~bad)
+    n = df.filter(bad).count()
+    if n:
+        raise ValueError(f"{n} points have a null or NaN in {', '.join(cols)}; handle_invalid='skip' leaves them out")
+    return df
+
+
 def cluster_means(assigned: DataFrame, cols: Sequence[str], cluster: str = "cluster") -> DataFrame:
     """``(cluster, mean of each column, n)`` for the clusters that have points."""
     return assigned.groupBy(cluster).agg(*[F.avg(c).alias(c) for c in cols],
@@ -77,7 +94,8 @@ class LloydResult:
 
 def lloyd_kmeans(df: DataFrame, cols: Sequence[str], k: int = 2, max_iters: int = 10,
                  tol: float = 1e-5, key: Sequence[str] | None = None,
-                 init: Sequence[Sequence[float]] | None = None, cache: bool = True) -> LloydResult:
+                 init: Sequence[Sequence[float]] | None = None, cache: bool = True,
+                 handle_invalid: str = "error") -> LloydResult:
     """Lloyd's k-means on double columns.
 
     * init: ``init`` if given, else the first k rows ordered by ``key``;
@@ -85,8 +103,10 @@ def lloyd_kmeans(df: DataFrame, cols: Sequence[str], k: int = 2, max_iters: int
       each center to the mean of its points (zero vector if it has none);
     * stops after ``max_iters`` or when the new centers are all-close to the
       current ones (``rtol=tol``).  On that stop the *current* centers are
-      returned, not the new ones.
+      returned, not the new ones;
+    * ``handle_invalid``: see :func:`valid_points`.
     """
+    df = valid_points(df, cols, handle_invalid)
     if init is None:
         if not key:
             raise ValueError("pass key= (an ordering for the first-k init) or init=")
@@ -114,7 +134,7 @@ def lloyd_kmeans(df: DataFrame, cols: Sequence[str], k: int = 2, max_iters: int
 
 def lloyd_standardized(df: DataFrame, cols: Sequence[str], key: Sequence[str], k: int = 2,
                        max_iters: int = 10, tol: float = 1e-5, ddof: int = 0,
-                       exact_scale: int | None = 10) -> tuple[LloydResult, list, list]:
+                       digits: int | None = 12, handle_invalid: str = "error") -> tuple[LloydResult, list, list]:
     """The whole Lloyd workload: standardize (mean, ``ddof`` std), cluster
     with first-k init by ``key``, count cluster sizes with the returned
     centers.  The projected raw points are persisted once; the statistics
@@ -124,9 +144,10 @@ def lloyd_standardized(df: DataFrame, cols: Sequence[str], key: Sequence[str], k
     from lodestar.operators.features import apply_standardizer, fit_standardizer
     from lodestar.session import persisted
     with persisted(df.select(*key, *cols)) as pts:
-        stats = fit_standardizer(pts, cols, ddof, exact_scale)
+        pts = valid_points(pts, cols, handle_invalid)
+        stats = fit_standardizer(pts, cols, ddof, digits)
         scaled = apply_standardizer(pts, cols, stats)
-        res = lloyd_kmeans(scaled, cols, k=k, max_iters=max_iters, tol=tol, key=key, cache=False)
+        res = lloyd_kmeans(scaled, cols, k=k, max_iters=max_iters, tol=tol, key=key, cache=False, handle_invalid="skip")
         sizes = [(int(r["cluster"]), int(r["n"])) for r in cluster_sizes(scaled, cols, res.centers).collect()]
     return res, sizes, stats
 
@@ -150,20 +171,23 @@ def centers_frame(spark, centers: Sequence[Sequence[float]], cols: Sequence[str]
 
 def fit_kmeans(df: DataFrame, cols: Sequence[str], k: int = 2, max_iter: int = 3, seed: int = 42,
                init_mode: str = "k-means||", with_mean: bool = True, with_std: bool = True,
-               handle_invalid: str = "error") -> PipelineModel:
+               handle_invalid: str = "error", scaler: PipelineModel | None = None,
+               scaled: DataFrame | None = None) -> PipelineModel:
     """Assemble -> standardize (sample std) -> MLlib ``KMeans``.  Results
     depend on the input partitioning (k-means|| sampling), so compare them by
     invariants, not by value.  The input columns are persisted for the fit
-    (scaler statistics, k-means|| init and every iteration read them)."""
-    stages = [
-        VectorAssembler(inputCols=list(cols), outputCol="raw_features", handleInvalid=handle_invalid),
-        StandardScaler(inputCol="raw_features", outputCol="features", withMean=with_mean, withStd=with_std),
-        KMeans(k=k, maxIter=max_iter, seed=seed, initMode=init_mode,
-               featuresCol="features", predictionCol="prediction"),
-    ]
+    (scaler statistics, k-means|| init and every iteration read them).
+
+    ``scaler``: a fitted :func:`features.scaler_pipeline` to use, with ``scaled`` its output."""
+    from lodestar.operators.features import scaler_pipeline
     from lodestar.session import persisted
+    means = KMeans(k=k, maxIter=max_iter, seed=seed, initMode=init_mode, featuresCol="features", predictionCol="prediction")
+    if scaler is not None:
+        with persisted(scaled.select("features")) as pts:
+            return PipelineModel([*scaler.stages, means.fit(pts)])
     with persisted(df.select(*cols)) as pts:
-        return Pipeline(stages=stages).fit(pts)
+        scaler = scaler_pipeline(cols, with_mean, with_std, handle_invalid=handle_invalid)
+        return Pipeline(stages=[*scaler.getStages(), means]).fit(pts)
 
 
 def kmeans_centers(model: PipelineModel, cols: Sequence[str]) -> list[list[float]]:

@@ -14,7 +14,6 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lodestar.sources.tables import FEATURES
 
@@ -38,68 +37,39 @@ def derive_and_filter(df: DataFrame, min_new_feature: float = 11.0,
     return out.filter(cond)
 
 
-def exact_mean(c: str, scale: int = 10):
-    """Mean from an exact decimal sum: values are taken at ``scale`` decimal
-    places (exact for data with at most that many), summed without rounding
-    error and divided once.  Unlike a floating sum, the result does not
-    depend on the order rows are added in, so it is the same for every
-    partitioning and every engine."""
-    s = F.sum(F.col(c).cast(T.DecimalType(38, scale))).cast("double")
-    return s / F.count(c)
-
-
-def column_stats(df: DataFrame, cols: Sequence[str], mean_scale: int | None = 10) -> DataFrame:
+def column_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One row per column: ``column, n, mean, std_samp, std_pop`` (nulls
     ignored, as SQL aggregates do).  One aggregate pass; the wide result is
-    unpivoted with ``stack`` so the output has a fixed schema.
-
-    ``mean_scale``: compute the mean with :func:`exact_mean` at that scale;
-    ``None`` uses a floating ``avg``."""
+    unpivoted with ``stack`` so the output has a fixed schema."""
     aggs = []
     for c in cols:
-        mean = exact_mean(c, mean_scale) if mean_scale is not None else F.avg(c)
-        aggs += [F.count(c).alias(f"{c}__n"), mean.alias(f"{c}__mean"),
+        aggs += [F.count(c).alias(f"{c}__n"), F.avg(c).alias(f"{c}__mean"),
                  F.stddev_samp(c).alias(f"{c}__ss"), F.stddev_pop(c).alias(f"{c}__sp")]
     wide = df.agg(*aggs)
     parts = ", ".join(f"'{c}', `{c}__n`, `{c}__mean`, `{c}__ss`, `{c}__sp`" for c in cols)
     return wide.selectExpr(f"stack({len(cols)}, {parts}) AS (column, n, mean, std_samp, std_pop)")
 
 
-def exact_moments(c: str, scale: int = 10, ddof: int = 0):
-    """``(mean, std)`` expressions from exact decimal sums of ``x`` and
-    ``x*x``: with ``S1``, ``S2`` the sums and ``n`` the count,
-    ``mean = S1/n`` and ``var = (S2 - S1*S1/n) / (n - ddof)``, evaluated in
-    doubles in that order.  The result is the same bit for bit on every
-    partitioning (floating sums are not), which makes algorithms with
-    discontinuous steps (nearest-center ties) reproducible.  Exact for data
-    with at most ``scale / 2`` decimals; loses precision like any one-pass
-    formula when the mean is far larger than the spread."""
-    dec = T.DecimalType(38, scale)
-    s1 = F.sum(F.col(c).cast(dec)).cast("double")
-    s2 = F.sum((F.col(c) * F.col(c)).cast(dec)).cast("double")
-    n = F.count(c).cast("double")
-    var = (s2 - s1 * s1 / n) / (n - F.lit(float(ddof)))
-    return s1 / n, F.sqrt(F.greatest(var, F.lit(0.0)))
+def significant(x: float | None, digits: int) -> float | None:
+    """``x`` at so many significant digits, whatever its magnitude."""
+    return None if x is None else float(f"{x:.{digits - 1}e}")
 
 
 def fit_standardizer(df: DataFrame, cols: Sequence[str], ddof: int = 1,
-                     exact_scale: int | None = None) -> list[tuple[float, float]]:
+                     digits: int | None = None) -> list[tuple[float, float]]:
     """Mean and standard deviation (``ddof`` 1 = sample, 0 = population) of
     each column, from one aggregate job; returns ``[(mean, std), ...]``.
 
-    ``exact_scale``: use :func:`exact_moments` (reproducible to the last
-    bit) instead of ``avg`` / ``stddev_*``."""
+    Floating sums differ in their last bits with the order of the rows.
+    ``digits`` keeps that many significant digits of each statistic (12 are
+    well above those bits), so algorithms with discontinuous steps, such as
+    nearest-center ties, take the same steps on every partitioning."""
     if ddof not in (0, 1):
         raise ValueError("ddof must be 0 or 1")
-    aggs = []
-    for i, c in enumerate(cols):
-        if exact_scale is not None:
-            m, s = exact_moments(c, exact_scale, ddof)
-        else:
-            m, s = F.avg(c), (F.stddev_samp(c) if ddof == 1 else F.stddev_pop(c))
-        aggs += [m.alias(f"m{i}"), s.alias(f"s{i}")]
-    row = df.agg(*aggs).first()
-    return [(row[f"m{i}"], row[f"s{i}"]) for i in range(len(cols))]
+    std = F.stddev_samp if ddof == 1 else F.stddev_pop
+    row = df.agg(*[f(c).alias(f"{k}{i}") for i, c in enumerate(cols) for k, f in (("m", F.avg), ("s", std))]).first()
+    stats = [(row[f"m{i}"], row[f"s{i}"]) for i in range(len(cols))]
+    return stats if digits is None else [(significant(m, digits), significant(s, digits)) for m, s in stats]
 
 
 def apply_standardizer(df: DataFrame, cols: Sequence[str], stats: Sequence[tuple[float, float]],
@@ -124,10 +94,10 @@ def apply_standardizer(df: DataFrame, cols: Sequence[str], stats: Sequence[tuple
 
 def standardize(df: DataFrame, cols: Sequence[str], with_mean: bool = True,
                 with_std: bool = True, ddof: int = 0, suffix: str = "",
-                exact_scale: int | None = None) -> DataFrame:
+                digits: int | None = None) -> DataFrame:
     """Standardize named double columns: one aggregate job for the
     statistics, then one ``select`` with them as literals."""
-    stats = fit_standardizer(df, cols, ddof, exact_scale)
+    stats = fit_standardizer(df, cols, ddof, digits)
     return apply_standardizer(df, cols, stats, with_mean, with_std, suffix)
 
 

@@ -43,6 +43,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lodestar.session import shared_dir
+
 
 def vertices(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """Distinct non-null endpoints of an edge table, as ``id``.  One scan
@@ -88,24 +90,12 @@ def hot_vertices(deg: DataFrame, hot_degree: int = HOT_DEGREE,
     return deg.sparkSession.createDataFrame(rows, schema), t, len(rows)
 
 
-def _is_plain_scan(df: DataFrame) -> bool:
-    """True when ``df`` only reads, filters, projects or unions stored data
-    (re-reading it is cheap); any join, aggregate, generator or window makes
-    it a computation."""
-    try:
-        p = df._jdf.queryExecution().optimizedPlan().toString()
-    except Exception:  # no JVM plan access (e.g. Spark Connect): assume computed
-        return False
-    return not any(w in p for w in ("Join", "Aggregate", "Generate", "Window"))
-
-
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` itself if it is a plain scan, else ``df`` written once as a
-    table in the shared folder and read back: later passes read the table
-    instead of recomputing the input, and the lineage is cut there."""
-    if _is_plain_scan(df):
+def _stored(df: DataFrame, name: str, store: bool = True) -> DataFrame:
+    """``df`` written once as a table in the shared folder and read back: later passes read the
+    table instead of recomputing it, and the lineage is cut there.  With ``store``
+    false, ``df`` itself.  Callers delete the tables (``session.scratch``)."""
+    if not store:
         return df
-    from lodestar.session import shared_dir
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
@@ -190,14 +180,15 @@ def adjacency(oriented: DataFrame) -> DataFrame:
 
 def closing_corners(edges: DataFrame, src: str = "src", dst: str = "dst",
                     order: str = "degree", canonical: bool = False,
-                    hot_degree: int = HOT_DEGREE, max_hot: int = MAX_HOT) -> DataFrame:
+                    hot_degree: int = HOT_DEGREE, max_hot: int = MAX_HOT, store_input: bool = True) -> DataFrame:
     """``(u, v, c)`` for every oriented edge, ``c`` = third corners of the
     triangles it closes (possibly empty).
 
     ``canonical=True`` skips step 1 when the input is already ``(a, b)``
-    with ``a < b``, distinct.
+    with ``a < b``, distinct.  ``store_input``: the edges are read several
+    times; set it false if they are a stored table already.
     """
-    return _corners(_stored(edges, "edges"), src, dst, order, canonical, hot_degree, max_hot)
+    return _corners(_stored(edges, "edges", store_input), src, dst, order, canonical, hot_degree, max_hot)
 
 
 def _corners(edges: DataFrame, src: str, dst: str, order: str, canonical: bool,
@@ -219,18 +210,19 @@ def _corners(edges: DataFrame, src: str, dst: str, order: str, canonical: bool,
 def triangle_counts(edges: DataFrame, src: str = "src", dst: str = "dst",
                     nodes: DataFrame | None = None, order: str = "degree",
                     canonical: bool = False, hot_degree: int = HOT_DEGREE,
-                    max_hot: int = MAX_HOT) -> DataFrame:
+                    max_hot: int = MAX_HOT, store_input: bool = True) -> DataFrame:
     """``(id, count)``: number of triangles through each vertex, for every
     vertex of ``edges`` (a vertex whose only edge is a self-loop, or that is
     in no triangle, gets 0).  Edge direction is ignored and duplicate edges
     count once.
 
     ``nodes``: optional DataFrame with an ``id`` column; only those vertices
-    (that are in the graph) are returned.
+    (that are in the graph) are returned;
+    counts of other vertices are dropped before the aggregate.
+
+    ``store_input``: see :func:`closing_corners`.
     """
-    # The input is read three times (degree top-k, the count, the zero rows):
-    # if it is a computation, it is stored once first.
-    edges = _stored(edges, "edges")
+    edges = _stored(edges, "edges", store_input)  # read three times: degree top-k, the count, the zero rows
     t = _corners(edges, src, dst, order, canonical, hot_degree, max_hot).filter(F.size("c") > 0)
     n = F.size("c").cast("bigint")
     # u and v are in |c| triangles each; every w in c is in one more.
@@ -241,18 +233,18 @@ def triangle_counts(edges: DataFrame, src: str = "src", dst: str = "dst",
     # Every endpoint also contributes 0, so vertices without a triangle are kept.
     zeros = edges.select(F.explode(F.array(F.col(src), F.col(dst))).alias("id")) \
         .filter(F.col("id").isNotNull()).select("id", F.lit(0).cast("bigint").alias("cnt"))
-    counts = contrib.unionByName(zeros).groupBy("id").agg(F.sum("cnt").alias("count"))
-    if nodes is not None:
-        counts = counts.join(nodes.select("id"), "id", "left_semi")
-    return counts
+    rows = contrib.unionByName(zeros)
+    if nodes is not None:  # before the aggregate
+        rows = rows.join(nodes.select("id").distinct(), "id", "left_semi")
+    return rows.groupBy("id").agg(F.sum("cnt").alias("count"))
 
 
 def triangle_total(edges: DataFrame, src: str = "src", dst: str = "dst",
                    order: str = "degree", canonical: bool = False,
-                   hot_degree: int = HOT_DEGREE, max_hot: int = MAX_HOT) -> DataFrame:
+                   hot_degree: int = HOT_DEGREE, max_hot: int = MAX_HOT, store_input: bool = True) -> DataFrame:
     """One row ``total``: number of unique triangles (integer).  Counts the
     closing corners per oriented edge; no per-vertex sum and no division."""
-    t = closing_corners(edges, src, dst, order, canonical, hot_degree, max_hot)
+    t = closing_corners(edges, src, dst, order, canonical, hot_degree, max_hot, store_input)
     return t.agg(F.coalesce(F.sum(F.size("c").cast("bigint")), F.lit(0).cast("bigint")).alias("total"))
 
 

@@ -9,14 +9,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.operators import classify, clustering, features, graph, split
+from lodestar.plans import jobs
 from lodestar.session import shared_dir
 from lodestar.sources import edges as edge_io
 from lodestar.sources import points as point_io
-from lodestar.sources.synth import generate_points
+from lodestar.sources.synth import points_for_ids
 from lodestar.sources.tables import (FEATURES, POINT_KEY, messy_part_edges, part_graph,
                                      points_view, raw_string_edges, table)
 
@@ -26,7 +28,9 @@ FILTER_MAX_F2_F3 = 0.1          # the test tables' discount + tax never reach 0.
 FILTER_MAX_F2_F3_ORIGINAL = 0.2
 FIXED_CENTERS = [(20.0, 0.05, 0.04), (30.0, 0.05, 0.04), (45.0, 0.0, 0.08)]
 EMPTY_CLUSTER_CENTERS = [(10.0, 0.02, 0.02), (40.0, 0.08, 0.06), (1000.0, 1000.0, 1000.0)]
-LLOYD_K, LLOYD_ITERS, LLOYD_EXACT_SCALE = 2, 3, 10
+LLOYD_K, LLOYD_ITERS, LLOYD_DIGITS = 2, 3, 12
+TINY, SHIFT = 1e-6, 1e9
+ARRAY_CENTERS = [[0.2 if i % 3 == j else -0.1 for i in range(64)] for j in range(3)]
 SUBSET_MAX_SIZE = 10            # triangle_counts_subset: parts with p_size <= 10
 FOREST_FEATURES = [*FEATURES, "new_feature"]
 
@@ -62,7 +66,15 @@ def label_counts(spark, sf):
 
 def column_stats(spark, sf):
     s = features.column_stats(points_view(spark, sf), FEATURES)
-    return s.select("column", "n", "mean", _r("std_samp"), _r("std_pop"))
+    return s.select("column", "n", F.round("mean", 9).alias("mean"), _r("std_samp"), _r("std_pop"))
+
+
+def column_stats_magnitudes(spark, sf):
+    """A feature scaled by 1e-6 (statistics in millionths) and one shifted by 1e9."""
+    df = points_view(spark, sf).select((F.col(FEATURES[0]) * TINY).alias("tiny"), (F.col(FEATURES[0]) + SHIFT).alias("shifted"))
+    unit = F.when(F.col("column") == "tiny", TINY).otherwise(1.0)
+    s = features.column_stats(df, ["tiny", "shifted"])
+    return s.select("column", "n", *[F.round(F.col(c) / unit, 4).alias(c) for c in ("mean", "std_samp", "std_pop")])
 
 
 # ---- standardization --------------------------------------------------------
@@ -94,6 +106,12 @@ def assign_nearest_fixed(spark, sf):
     return clustering.assign_nearest(df, FEATURES, FIXED_CENTERS).select(*POINT_KEY, "cluster")
 
 
+def assign_nearest_array(spark, sf):
+    """Wide vectors in one array column."""
+    df = table(spark, sf, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    return clustering.assign_nearest(df, "v", ARRAY_CENTERS).select("vec_id", "cluster")
+
+
 def update_centers_empty(spark, sf):
     df = clustering.assign_nearest(points_view(spark, sf), FEATURES, EMPTY_CLUSTER_CENTERS)
     out = clustering.update_centers_frame(df, FEATURES, len(EMPTY_CLUSTER_CENTERS))
@@ -101,11 +119,10 @@ def update_centers_empty(spark, sf):
 
 
 def _lloyd(spark, sf):
-    # Exact moments: the scaled points are then the same to the last bit on
-    # any partitioning, so exact distance ties between the first-k centers
-    # (the features are on a discrete grid) always break the same way.
+    # Statistics at 12 significant digits: exact distance ties between the first-k
+    # centers (the features are on a discrete grid) then break the same way everywhere.
     return clustering.lloyd_standardized(points_view(spark, sf), FEATURES, POINT_KEY, k=LLOYD_K,
-                                         max_iters=LLOYD_ITERS, ddof=0, exact_scale=LLOYD_EXACT_SCALE)
+                                         max_iters=LLOYD_ITERS, ddof=0, digits=LLOYD_DIGITS)
 
 
 def lloyd_centers(spark, sf):
@@ -132,6 +149,15 @@ def kmeans_centers(spark, sf):
     return c.select("cluster", *[_r(x) for x in FEATURES])
 
 
+def kmeans_checks(spark, sf):
+    """What no seed decides: every row is assigned, and to the nearest of the fitted centers."""
+    pts = points_view(spark, sf).select(*FEATURES)
+    model = clustering.fit_kmeans(pts, FEATURES, k=2, max_iter=3, seed=42)
+    out = model.transform(pts).withColumn("v", vector_to_array("features"))
+    out = clustering.assign_nearest(out, "v", clustering.kmeans_centers(model, FEATURES), "nearest")
+    return out.agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("nearest") != F.col("prediction")).cast("bigint")).alias("not_nearest"))
+
+
 # ---- splits -----------------------------------------------------------------
 
 def split_hash(spark, sf):
@@ -144,6 +170,31 @@ def split_tail(spark, sf):
     return df.select(*POINT_KEY, "is_train")
 
 
+def split_tail_ties(spark, sf):
+    """A key with some fifty values: how many rows of each value there are and are train."""
+    df = split.with_tail_side(points_view(spark, sf).select(*POINT_KEY, FEATURES[0]), [FEATURES[0]], 0.3)
+    return df.groupBy(FEATURES[0]).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("is_train").cast("bigint")).alias("n_train"))
+
+
+def split_tail_nulls(spark, sf):
+    """A key whose first column is null in a good part of the rows."""
+    df = points_view(spark, sf).select(*POINT_KEY, F.when(F.col("l_linenumber") > 1, F.col("l_linenumber")).alias("k"))
+    df = split.with_tail_side(df, ["k", "l_orderkey", "l_partkey", "l_suppkey"], 0.3)
+    return df.select(*POINT_KEY, "is_train")
+
+
+def split_random_cover(spark, sf):
+    """Both sides of the random split together are the input, once each."""
+    train, valid = split.random_split(points_view(spark, sf).select(*POINT_KEY), 0.7, seed=42)
+    return train.unionByName(valid)
+
+
+def repartitioned(spark, sf):
+    """Round-robin and by key: the rows stay what they are."""
+    df = points_view(spark, sf).select(*POINT_KEY, *FEATURES, "label")
+    return df.repartition(7).repartition(5, "l_orderkey")
+
+
 def split_random(spark, sf):
     df = points_view(spark, sf).select(*POINT_KEY)
     train, valid = split.random_split(df, 0.7, seed=42)
@@ -171,6 +222,33 @@ def forest_sampled_scores(spark, sf):
     return classify.score(model, valid, keep=POINT_KEY)
 
 
+def model_roundtrip(spark, sf):
+    """A saved and loaded model scores every held-out row as before."""
+    train, valid = _forest_data(spark, sf)
+    model = classify.fit_forest(train, FOREST_FEATURES, num_trees=4, max_depth=3, seed=42)
+    path = shared_dir(spark, "forest-model")
+    classify.save_model(model, path)
+    a, b = (classify.score(m, valid, keep=POINT_KEY) for m in (model, classify.load_model(path)))
+    j = a.join(b.select(*POINT_KEY, F.col("prediction").alias("prediction2"), F.col("p1").alias("p2")), POINT_KEY)
+    wrong = (F.col("prediction") != F.col("prediction2")) | (F.col("p1") != F.col("p2"))
+    return j.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(wrong.cast("bigint")), F.lit(0)).alias("mismatches"))
+
+
+def rule_metrics(spark, sf):
+    """The metrics of a fixed rule's scores (many tied scores)."""
+    p1 = F.col(FEATURES[0]) / 51.0
+    df = points_view(spark, sf).select("label", p1.alias("p1"), (p1 > 0.5).cast("int").alias("prediction"))
+    return classify.metrics(df).select("n", _r("accuracy"), _r("log_loss"), _r("auc"))
+
+
+def phase_report(spark, sf):
+    """Phases, status and results of the Lloyd and the triangle job."""
+    lloyd = jobs.lloyd_job(points_view(spark, sf), POINT_KEY, k=LLOYD_K, max_iters=LLOYD_ITERS)
+    tri = jobs.triangle_job(part_graph(spark, sf), "a", "b")
+    df = lloyd.report.to_df(spark).unionByName(tri.report.to_df(spark))
+    return df.where("phase <> 'cluster_sizes'").select("job", "phase", "status", "value")
+
+
 def forest_metrics(spark, sf):
     return classify.metrics(forest_scores(spark, sf))
 
@@ -243,22 +321,32 @@ def edges_tsv_roundtrip(spark, sf):
     return edge_io.read_edges(spark, path, sep="\t")
 
 
+def edge_list_short_lines(spark, sf):
+    """Lines with one id among lines with two."""
+    one = F.col("l_linenumber") == 1
+    lines = table(spark, sf, "lineitem").select(F.when(one, F.col("l_partkey").cast("string")).otherwise(F.concat_ws(" ", "l_partkey", "l_suppkey")).alias("value"))
+    path = shared_dir(spark, "short-lines")
+    lines.write.text(path)
+    return edge_io.read_edge_list(spark, path, header=False, on_bad="drop")
+
+
 def synth_points(spark, sf):
-    n = table(spark, sf, "lineitem").count()
-    df = generate_points(spark, n, seed=42)
+    """One generated point for each lineitem row, from the row's key."""
+    ids = table(spark, sf, "lineitem").select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("bigint").alias("id"))
+    df = points_for_ids(ids, seed=42)
     return df.select("id", *[_r(c) for c in FEATURES], "category_1", "category_2", "label")
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in [
-    points_project, points_derive_filter, points_derive_filter_original, label_counts, column_stats,
+    points_project, points_derive_filter, points_derive_filter_original, label_counts, column_stats, column_stats_magnitudes, repartitioned,
     standardize_sample, standardize_population, standardize_std_only,
-    assign_nearest_fixed, update_centers_empty, lloyd_centers, lloyd_cluster_sizes,
-    kmeans_cluster_sizes, kmeans_centers,
-    split_hash, split_tail, split_random,
-    forest_scores, forest_sampled_scores, forest_metrics,
+    assign_nearest_fixed, assign_nearest_array, update_centers_empty, lloyd_centers, lloyd_cluster_sizes,
+    kmeans_cluster_sizes, kmeans_centers, kmeans_checks,
+    split_hash, split_tail, split_tail_ties, split_tail_nulls, split_random, split_random_cover,
+    forest_scores, forest_sampled_scores, forest_metrics, model_roundtrip, rule_metrics, phase_report,
     edges_cast, graph_vertices, graph_canonical_edges,
     triangle_counts, triangle_counts_raw, triangle_counts_subset,
     triangle_total, triangle_total_id_order, triangle_total_from_counts,
-    csv_roundtrip, csv_inferred_roundtrip, edgelist_roundtrip, edges_tsv_roundtrip,
+    csv_roundtrip, csv_inferred_roundtrip, edgelist_roundtrip, edges_tsv_roundtrip, edge_list_short_lines,
     synth_points,
 ]}

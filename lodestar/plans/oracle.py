@@ -68,12 +68,48 @@ WHERE {F1} + length(category_1) > {d(C.FILTER_MIN_NEW_FEATURE)}
   AND NOT isnan({F1}) AND NOT isnan({F2}) AND NOT isnan({F3})""")
 
 
+def _stats(column: str, x: str, unit: str = "1.0", digits: int = 6, mean_digits: int = 9) -> str:
+    f = lambda agg, n=digits: f"round({agg}({x}) / {unit}, {n})"
+    return (f"""SELECT '{column}' AS "column", count({x}) AS n, {f("avg", mean_digits)} AS mean, {f("stddev_samp")} AS std_samp,"""
+            f""" {f("stddev_pop")} AS std_pop FROM P""")
+
+
 def column_stats() -> str:
-    parts = [f"""SELECT '{c}' AS "column", count({c}) AS n,
-       CAST(sum(CAST({c} AS DECIMAL(38, 10))) AS DOUBLE) / count({c}) AS mean,
-       round(stddev_samp({c}), 6) AS std_samp, round(stddev_pop({c}), 6) AS std_pop FROM P"""
-             for c in C.FEATURES]
-    return _points(" UNION ALL ".join(parts))
+    return _points(" UNION ALL ".join(_stats(c, c) for c in C.FEATURES))
+
+
+def column_stats_magnitudes() -> str:
+    tiny = _stats("tiny", f"{F1} * {d(C.TINY)}", d(C.TINY), 4, 4)
+    return _points(f"{tiny} UNION ALL {_stats('shifted', f'{F1} + {d(C.SHIFT)}', digits=4, mean_digits=4)}")
+
+
+def assign_array() -> str:
+    ds = ", ".join("list_sum(list_transform(range(1, len(v) + 1), lambda i: (v[i] - c[i]) * (v[i] - c[i])))".replace("c[i]", f"([{', '.join(map(repr, c))}])[i]")
+                   + f" AS d{j}" for j, c in enumerate(C.ARRAY_CENTERS))
+    names = [f"d{j}" for j in range(len(C.ARRAY_CENTERS))]
+    return f"SELECT vec_id, {argmin_case(names)} AS cluster FROM (SELECT vec_id, {ds} FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings))"
+
+
+def rule_metrics() -> str:
+    """AUC from mean ranks, as ties count half."""
+    return _points(f"""
+, S AS (SELECT label AS y, {F1} / {d(51.0)} AS p1, CAST({F1} / {d(51.0)} > {d(0.5)} AS INTEGER) AS prediction FROM P),
+R AS (SELECT *, rank() OVER (ORDER BY p1) + (count(*) OVER (PARTITION BY p1) - 1) / {d(2.0)} AS r,
+             least(greatest(p1, {d(1e-15)}), {d(1.0)} - {d(1e-15)}) AS p FROM S)
+SELECT count(*) AS n, round(avg(CAST(prediction = y AS DOUBLE)), 6) AS accuracy,
+       round(avg(-(y * ln(p) + (1 - y) * ln(1 - p))), 6) AS log_loss,
+       round((sum(CASE WHEN y = 1 THEN r END) - sum(y) * (sum(y) + 1) / {d(2.0)}) / (sum(y) * {d(1.0)} * sum(1 - y)), 6) AS auc FROM R""")
+
+
+def phase_report() -> str:
+    lloyd = ["load", "prepare", "train", *[f"iteration_{i + 1}" for i in range(C.LLOYD_ITERS)], "operate", "total"]
+    tri = ["load", "prepare", "execute", "operate", "total"]
+    rows = ", ".join(f"('{j}', '{p}', 'ok', CAST(NULL AS VARCHAR))" for j, ps in (("lloyd", lloyd), ("triangles", tri)) for p in ps)
+    return f"""WITH {P}, {E}, {T}, {V}
+SELECT * FROM (VALUES {rows}) t(job, phase, status, value)
+UNION ALL SELECT 'lloyd', 'points', 'ok', CAST(count(*) AS VARCHAR) FROM P
+UNION ALL SELECT 'triangles', 'vertices', 'ok', CAST(count(*) AS VARCHAR) FROM V
+UNION ALL SELECT 'triangles', 'unique_triangles', 'ok', CAST(count(*) AS VARCHAR) FROM T"""
 
 
 def standardized(cols, with_mean: bool, std: str, source: str = "P") -> str:
@@ -118,15 +154,11 @@ def lloyd(k: int, iters: int, what: str) -> str:
     by key as centers, ``iters`` assign + mean steps; a cluster without
     points gets the zero vector."""
     xs = ["x1", "x2", "x3"]
-    dec = f"DECIMAL(38, {C.LLOYD_EXACT_SCALE})"
+    digits = f"%.{C.LLOYD_DIGITS - 1}e"
     ctes = [P,
-            "sums AS (SELECT " + ", ".join(
-                f"CAST(sum(CAST({c} AS {dec})) AS DOUBLE) AS a{i}, "
-                f"CAST(sum(CAST({c} * {c} AS {dec})) AS DOUBLE) AS b{i}, CAST(count({c}) AS DOUBLE) AS n{i}"
-                for i, c in enumerate(C.FEATURES, 1)) + " FROM P)",
             "st AS (SELECT " + ", ".join(
-                f"a{i} / n{i} AS m{i}, sqrt(greatest((b{i} - a{i} * a{i} / n{i}) / (n{i} - {d(0.0)}), {d(0.0)})) AS s{i}"
-                for i in range(1, 4)) + " FROM sums)",
+                f"CAST(printf('{digits}', avg({c})) AS DOUBLE) AS m{i}, CAST(printf('{digits}', stddev_pop({c})) AS DOUBLE) AS s{i}"
+                for i, c in enumerate(C.FEATURES, 1)) + " FROM P)",
             f"S AS (SELECT {KEY}, " + ", ".join(f"({c} - m{i}) / s{i} AS x{i}"
                                                 for i, c in enumerate(C.FEATURES, 1)) + " FROM P, st)",
             f"C0 AS (SELECT * FROM (SELECT x1, x2, x3, CAST(row_number() OVER (ORDER BY {KEY}) - 1 AS INTEGER)"
@@ -198,7 +230,7 @@ def synth() -> str:
         feats.append(f"round(CASE WHEN cls = 1 THEN {d(S.MEANS[1][j])} ELSE {d(S.MEANS[0][j])} END + {z[j]}, 6)"
                      f" AS num_feature_{j + 1}")
     us = ", ".join(f"{u(k)} AS u{k}" for k in range(12))
-    return f"""WITH ids AS (SELECT CAST(row_number() OVER () - 1 AS BIGINT) AS id FROM lineitem),
+    return f"""WITH ids AS (SELECT CAST(l_orderkey * 8 + l_linenumber AS BIGINT) AS id FROM lineitem),
 D AS (SELECT id, md5('{seed}:' || id || ':a') AS da, md5('{seed}:' || id || ':b') AS db,
              md5('{seed}:' || id || ':c') AS dc FROM ids),
 U AS (SELECT id, {us} FROM D),
@@ -231,6 +263,19 @@ def oracle_sql() -> dict[str, str]:
         "split_hash": _points(f"SELECT {KEY}, {HASH_BUCKET} AS bucket, {HASH_BUCKET} < 70 AS is_train FROM P"),
         "split_tail": _points(f"SELECT {KEY}, row_number() OVER (ORDER BY {KEY}) <= "
                               f"floor(count(*) OVER () * {d(0.7)}) AS is_train FROM P"),
+        "column_stats_magnitudes": column_stats_magnitudes(),
+        "repartitioned": _points(f"SELECT {KEY}, {F1}, {F2}, {F3}, label FROM P"),
+        "assign_nearest_array": assign_array(),
+        "kmeans_checks": _points("SELECT count(*) AS n, CAST(0 AS BIGINT) AS not_nearest FROM P"),
+        "split_random_cover": _points(f"SELECT {KEY} FROM P"),
+        "split_tail_ties": _points(f", R AS (SELECT {F1}, row_number() OVER (ORDER BY {F1}) <= floor(count(*) OVER () * {d(0.7)}) AS t FROM P) "
+                                   f"SELECT {F1}, count(*) AS n, CAST(sum(CAST(t AS BIGINT)) AS BIGINT) AS n_train FROM R GROUP BY {F1}"),
+        "split_tail_nulls": _points(f"SELECT {KEY}, row_number() OVER (ORDER BY CASE WHEN l_linenumber > 1 THEN l_linenumber END NULLS FIRST, "
+                                    f"l_orderkey, l_partkey, l_suppkey) <= floor(count(*) OVER () * {d(0.7)}) AS is_train FROM P"),
+        "model_roundtrip": f"WITH Q AS ({derive_filter(C.FILTER_MAX_F2_F3)}) SELECT count(*) AS n, CAST(0 AS BIGINT) AS mismatches FROM Q WHERE {HASH_BUCKET} >= 70",
+        "rule_metrics": rule_metrics(),
+        "phase_report": phase_report(),
+        "edge_list_short_lines": "SELECT CAST(l_partkey AS BIGINT) AS src, CAST(l_suppkey AS BIGINT) AS dst FROM lineitem WHERE l_linenumber <> 1",
         "edges_cast": edges_cast(),
         "graph_vertices": f"WITH {E} SELECT a AS id FROM E UNION SELECT b FROM E",
         "graph_canonical_edges": f"WITH {E} SELECT a, b FROM E",

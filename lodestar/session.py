@@ -3,8 +3,8 @@
 ``get_session`` builds a session with the settings this library expects
 (AQE on, UI off, UTC).  ``shared_dir`` returns a directory every executor can
 reach: the one the cluster names in ``spark.checkpoint.dir``.  Only when that
-setting is missing (local runs and tests) does it make and register a fresh
-local directory.
+setting is missing on a local master does it make and register a fresh local
+directory; on any other master it raises.
 """
 
 from __future__ import annotations
@@ -74,31 +74,52 @@ def _configured_checkpoint_dir(spark: SparkSession) -> str | None:
     return None
 
 
+_made: list[str] = []
+
+
 def shared_dir(spark: SparkSession, name: str | None = None) -> str:
-    """A fresh sub-directory of the cluster's checkpoint directory.
+    """The name of a fresh sub-directory of the cluster's checkpoint directory.
 
-    The base is read from the session (``spark.checkpoint.dir``).  If it is
-    unset -- a local run or a test -- a new local directory is made and set as
-    the checkpoint directory, so ``DataFrame.checkpoint()`` works too.
+    The base is read from the session (``spark.checkpoint.dir``).  Only on a
+    local master, where every task runs on this machine, a missing setting is
+    made up for by a new local directory; elsewhere it raises.  A base without
+    a scheme, or with ``file:``, keeps its meaning (``file:`` stays in the
+    name).
     """
     base = _configured_checkpoint_dir(spark)
     if not base:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share (master is {master})")
         base = tempfile.mkdtemp(prefix="lodestar-ckpt-", dir="/tmp")
-        try:
-            spark.sparkContext.setCheckpointDir(base)
-        except Exception:
-            pass
-        try:
-            spark.conf.set("spark.checkpoint.dir", base)
-        except Exception:
-            pass
-    leaf = f"{name or 'tmp'}-{uuid.uuid4().hex[:12]}"
-    if "://" in base and not base.startswith("file:"):
-        return base.rstrip("/") + "/" + leaf
-    path = os.path.join(base.removeprefix("file:"), leaf)
+        spark.sparkContext.setCheckpointDir(base)
+    if base.startswith("file:") and not base.startswith("file://"):
+        base = "file://" + base.removeprefix("file:")
+    path = f"{base.rstrip('/')}/{name or 'tmp'}-{uuid.uuid4().hex[:12]}"
+    _made.append(path)
     return path
 
 
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a directory of the shared folder, whatever file system it is on."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Directories that ``shared_dir`` names inside the block are deleted at its end,
+    but for those in the list that the block gets (results that outlive it)."""
+    start, keep = len(_made), []
+    try:
+        yield keep
+    finally:
+        for path in _made[start:]:
+            if path not in keep:
+                remove_dir(spark, path)
+        _made[start:] = [p for p in _made[start:] if p in keep]
+
+
 @contextmanager
 def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
     """Keep ``df`` (memory, spilling to disk) for the passes made inside the

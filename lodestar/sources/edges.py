@@ -50,7 +50,9 @@ def read_edge_list(spark: SparkSession, path: str, header: bool = True,
     Whole lines are read through the CSV reader (with a separator and quote
     that never occur), so ``header`` drops the first line of each file even
     when files are split across tasks; lines are then split on whitespace.
-    Blank lines and lines starting with ``comment`` are skipped.
+    Blank lines and lines starting with ``comment`` are skipped.  A line with
+    one id has a null second end, which ``on_bad="drop"`` drops and the other
+    modes keep; ids after the second are ignored.
     """
     lines = (spark.read.option("header", header).option("sep", "\u0001").option("quote", "\u0000")
              .schema("line STRING").csv(path))
@@ -59,7 +61,7 @@ def read_edge_list(spark: SparkSession, path: str, header: bool = True,
     if comment:
         lines = lines.filter(~body.startswith(comment))
     t = F.split(body, r"\s+")
-    return cast_edges(lines.select(t.getItem(0).alias("u"), t.getItem(1).alias("v")), on_bad=on_bad)
+    return cast_edges(lines.select(F.get(t, 0).alias("u"), F.get(t, 1).alias("v")), on_bad=on_bad)
 
 
 def write_edge_list(edges: DataFrame, path: str, src: str = "src", dst: str = "dst",

@@ -1,4 +1,6 @@
 from conftest import SF_SMALL, rows
+from pyspark.sql import functions as F
+
 from lodestar.functions.distance import allclose, array_squared_distance, nearest_center
 from lodestar.operators import clustering as CL
 from lodestar.sources.tables import FEATURES, POINT_KEY, points_view
@@ -49,3 +51,21 @@ def test_mllib_kmeans_sizes_sum(spark):
     sizes = CL.kmeans_cluster_sizes(model, p).collect()
     assert sum(r["count"] for r in sizes) == 6000 and len(sizes) == 2
     assert len(CL.kmeans_centers(model, FEATURES)) == 2
+
+
+def test_lloyd_with_invalid_points(spark):
+    import pytest
+    data = [(i, float(i % 2) * 10 + i * 0.01, 1.0) for i in range(20)] + [(90, None, 1.0), (91, float("nan"), 1.0)]
+    df = spark.createDataFrame(data, "id INT, x DOUBLE, y DOUBLE")
+    with pytest.raises(ValueError, match="2 points"):
+        CL.lloyd_kmeans(df, ["x", "y"], key=["id"])
+    with pytest.raises(ValueError, match="2 points"):
+        CL.lloyd_standardized(df, ["x", "y"], ["id"])
+    res, sizes, _ = CL.lloyd_standardized(df, ["x", "y"], ["id"], handle_invalid="skip")
+    assert sorted(n for _, n in sizes) == [10, 10] and all(c == c for r in res.centers for c in r)
+
+
+def test_lloyd_of_tiny_values_is_not_flattened(spark):
+    df = spark.range(100).select("id", ((F.col("id") % 10) * 1e-6).alias("x"))
+    _, sizes, stats = CL.lloyd_standardized(df, ["x"], ["id"], max_iters=20)
+    assert stats[0][1] > 2e-6 and [n for _, n in sizes] == [50, 50]

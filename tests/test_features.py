@@ -23,21 +23,27 @@ def test_derive_and_filter_nulls_nan_empty(spark):
 
 def test_standardize_invariants_and_zero_variance(spark):
     df = spark.createDataFrame([(float(i), 5.0) for i in range(1, 11)], "x DOUBLE, c DOUBLE")
-    for ddof, exact in [(0, None), (1, None), (0, 10), (1, 10)]:
-        out = FT.standardize(df, ["x", "c"], ddof=ddof, exact_scale=exact)
+    for ddof, digits in [(0, None), (1, None), (0, 12), (1, 12)]:
+        out = FT.standardize(df, ["x", "c"], ddof=ddof, digits=digits)
         r = out.agg(F.avg("x"), F.stddev_samp("x") if ddof else F.stddev_pop("x"),
                     F.min("c"), F.max("c")).first()
-        assert abs(r[0]) < 1e-12 and abs(r[1] - 1.0) < 1e-12
+        assert abs(r[0]) < 1e-11 and abs(r[1] - 1.0) < 1e-11
         assert r[2] == 0.0 and r[3] == 0.0
 
 
-def test_exact_moments_match_float_moments(spark):
+def test_statistics_at_significant_digits(spark):
     df = spark.createDataFrame([(i * 0.37 % 5,) for i in range(1000)], "x DOUBLE")
-    a = FT.fit_standardizer(df, ["x"], 0, None)[0]
-    b = FT.fit_standardizer(df, ["x"], 0, 10)[0]
-    assert math.isclose(a[0], b[0], rel_tol=1e-9) and math.isclose(a[1], b[1], rel_tol=1e-9)
-    c = FT.fit_standardizer(df.repartition(7), ["x"], 0, 10)[0]
-    assert b == c  # exact moments do not depend on the partitioning
+    a = FT.fit_standardizer(df, ["x"], 0)[0]
+    b = FT.fit_standardizer(df, ["x"], 0, digits=12)[0]
+    assert math.isclose(a[0], b[0], rel_tol=1e-11) and math.isclose(a[1], b[1], rel_tol=1e-11)
+    assert b == FT.fit_standardizer(df.repartition(7), ["x"], 0, digits=12)[0]
+
+
+def test_statistics_of_tiny_and_shifted_values(spark):
+    df = spark.range(1000).select(((F.col("id") % 10) * 1e-6).alias("tiny"), ((F.col("id") % 8) + 1e9).alias("shifted"))
+    (m1, s1), (m2, s2) = FT.fit_standardizer(df, ["tiny", "shifted"], 0, digits=12)
+    assert math.isclose(m1, 4.5e-6, rel_tol=1e-9) and math.isclose(s1, 2.8722813232690143e-6, rel_tol=1e-9)
+    assert math.isclose(m2, 1e9 + 3.5, rel_tol=1e-11) and math.isclose(s2, 2.29128784747792, rel_tol=1e-6)
 
 
 def test_mllib_standardize_matches_expressions(spark):

@@ -1,26 +1,48 @@
 import os
 
+import pytest
+
 from conftest import SF_SMALL
 from lodestar.operators import graph as G
-from lodestar.session import _configured_checkpoint_dir, persisted, shared_dir
+from lodestar.session import _configured_checkpoint_dir, persisted, scratch, shared_dir
 from lodestar.sources.tables import part_graph
 
 
 def test_shared_dir_is_under_the_checkpoint_dir(spark):
     d = shared_dir(spark, "x")
     base = _configured_checkpoint_dir(spark)
-    assert base and d.startswith(base.removeprefix("file:")) and os.path.basename(d).startswith("x-")
+    assert base and d.removeprefix("file://").startswith(base.removeprefix("file:")) and os.path.basename(d).startswith("x-")
     assert shared_dir(spark, "x") != d  # a fresh folder every time
 
 
-def test_store_only_computed_inputs(spark):
+def test_shared_dir_needs_the_setting_off_this_machine(spark, monkeypatch):
+    from lodestar import session
+    monkeypatch.setattr(session, "_configured_checkpoint_dir", lambda s: None)
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(spark, "x")
+
+
+def test_shared_dir_keeps_the_scheme(spark, monkeypatch):
+    from lodestar import session
+    for base, expect in (("file:/a/b", "file:///a/b/x-"), ("hdfs://n/a", "hdfs://n/a/x-"), ("/a", "/a/x-")):
+        monkeypatch.setattr(session, "_configured_checkpoint_dir", lambda s, base=base: base)
+        assert shared_dir(spark, "x").startswith(expect)
+
+
+def test_scratch_deletes_what_it_is_not_told_to_keep(spark):
+    with scratch(spark) as keep:
+        a, b = shared_dir(spark, "a"), shared_dir(spark, "b")
+        keep.append(b)
+        for p in (a, b):
+            spark.range(3).write.parquet(p)
+    assert not os.path.exists(a.removeprefix("file://")) and spark.read.parquet(b).count() == 3
+
+
+def test_a_stored_input_is_used_as_it_is(spark):
     scan = spark.read.parquet(f"{SF_SMALL}/part.parquet").select("p_partkey")
-    assert G._is_plain_scan(scan) and G._stored(scan, "t") is scan
-    assert G._is_plain_scan(scan.unionByName(scan))
-    computed = part_graph(spark, SF_SMALL)
-    assert not G._is_plain_scan(computed)
-    stored = G._stored(computed, "t")
-    assert G._is_plain_scan(stored) and stored.count() == 8899
+    assert G._stored(scan, "t", store=False) is scan
+    assert G._stored(part_graph(spark, SF_SMALL), "t").count() == 8899
 
 
 def test_persisted_releases(spark):

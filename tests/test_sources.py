@@ -10,6 +10,7 @@ from lodestar.sources.synth import generate_points
 
 
 def write_text(path, text):
+    path = path.removeprefix("file://")
     os.makedirs(os.path.dirname(path), exist_ok=True)
     with open(path, "w") as f:
         f.write(text)
@@ -63,3 +64,11 @@ def test_generate_points_exact_and_partition_independent(spark):
     r = a.agg(F.avg("label"), F.countDistinct("category_2"), F.countDistinct("num_feature_1")).first()
     assert 0.4 < r[0] < 0.6 and r[1] == 4 and r[2] == 5000
     assert generate_points(spark, 10, seed=1).collect() != generate_points(spark, 10, seed=2).collect()
+
+
+def test_edge_list_with_short_and_long_lines(spark):
+    d = shared_dir(spark, "short")
+    spark.createDataFrame([("1 2",), ("3",), ("4 5 6",), ("",), ("x 7",)], "value STRING").coalesce(1).write.text(d)
+    assert rows(E.read_edge_list(spark, d, header=False, on_bad="drop")) == [(1, 2), (4, 5)]
+    kept = E.read_edge_list(spark, d, header=False, on_bad="null").collect()
+    assert sorted((r["src"] or 0, r["dst"] or 0) for r in kept) == [(0, 7), (1, 2), (3, 0), (4, 5)]
