@@ -23,6 +23,7 @@ from pyspark.sql.window import Window
 from lodestar.functions.hashing import hash_bucket, key_string  # noqa: F401  (re-exported)
 from lodestar.session import persisted
 
+DRAWN = 256     # keys drawn for each bucket
 CHUNK = 10_000  # equal rows that one task writes out again
 
 
@@ -64,27 +65,27 @@ def _range_bucket(k: Column, bounds: list[Column]) -> Column:
     return tree(0, len(bounds))
 
 
-def find_cut(df: DataFrame, key: Sequence[str], rank: int, num_buckets: int = 64) -> tuple[tuple, int, int]:
-    """``(K, before, copies)``: the key of the row at ``rank`` (from 1) in key order, how many
-    rows have a smaller key, and how many have this key.
+def find_cut(df: DataFrame, key: Sequence[str], rank: int, n: int, num_buckets: int = 64) -> tuple[tuple, int, int]:
+    """``(K, before, copies)``: the key of the row at ``rank`` (from 1) in key order of the
+    ``n`` rows, how many rows have a smaller key, and how many have this key.
 
     Keys compare as structs: column by column, a null before every value (``ORDER
-    BY ... NULLS FIRST``), NaN last.  Every round draws ``16 * num_buckets`` random keys of
-    the range that holds the rank, counts the range by buckets between them, and goes on
-    with one bucket, until it holds a single key: about ``log(n) / log(num_buckets)``
-    rounds of one narrow pass each, whatever the size; a range of fewer keys than are drawn
-    is known from the draw itself.  At most ``16 * num_buckets`` keys
-    and ``num_buckets`` counts reach the driver.
+    BY ... NULLS FIRST``), NaN last.  Every round draws random keys of the range that holds
+    the rank, counts the range by buckets between them, and goes on with one bucket, until
+    it holds a single key or few enough keys to look at: about ``log(n) / log(num_buckets)``
+    rounds of a narrow pass each.  At most ``DRAWN * num_buckets`` keys and ``2 *
+    num_buckets + 1`` counts reach the driver, whatever ``n`` is.
     """
     types = [df.schema[c].dataType for c in key]
     k = F.struct(*[F.col(c) for c in key])
-    rng, before, seed = df.select(*key), 0, 7
+    rng, before, want, seed = df.select(*key), 0, DRAWN * num_buckets, 7
     while True:
-        drawn = rng.orderBy(F.rand(seed)).limit(16 * num_buckets)  # a bounded top-k, uniform over the range
-        drawn = [tuple(r) for r in drawn.orderBy(*key).collect()]
-        if len(drawn) < 16 * num_buckets:  # these are all
-            at = drawn[rank - before - 1]
-            return at, before + drawn.index(at), drawn.count(at)
+        if n <= want:
+            rows = [tuple(r) for r in rng.orderBy(*key).collect()]
+            at = rows[rank - before - 1]
+            return at, before + rows.index(at), rows.count(at)
+        drawn = rng.sample(fraction=min(1.0, 4 * want / n), seed=seed).orderBy(F.rand(seed)).limit(want)
+        drawn = [tuple(r) for r in drawn.orderBy(*key).collect()] or [tuple(rng.first())]
         step = max(1, len(drawn) // num_buckets)
         cuts = list(dict.fromkeys(drawn[step - 1::step]))
         bounds = [_bound(key, c, types) for c in cuts]
@@ -97,6 +98,7 @@ def find_cut(df: DataFrame, key: Sequence[str], rank: int, num_buckets: int = 64
         low, high = tuple(r["low"]), tuple(r["high"])
         if low == high:
             return low, before, r["n"]
+        n = r["n"]
         rng = rng.filter((k >= _bound(key, low, types)) & (k <= _bound(key, high, types)))
         seed += 1
 
@@ -123,21 +125,21 @@ def with_tail_side(df: DataFrame, key: Sequence[str], test_fraction: float = 0.3
         n_train = int(n * (1.0 - test_fraction))
         if n_train in (0, n):
             return df.withColumn("is_train", F.lit(n > 0 and n_train == n))
-        cut, before, copies = find_cut(keys, key, n_train, num_buckets)
+        cut, before, copies = find_cut(keys, key, n_train, n, num_buckets)
     k = F.struct(*[F.col(c) for c in key])
     at = _bound(key, cut, [df.schema[c].dataType for c in key])
     take = n_train - before
     if take == copies:
         return df.withColumn("is_train", k <= at)
     others = df.filter(k != at).withColumn("is_train", k < at)
-    return others.unionByName(_split_copies(df.filter(k == at), take, num_buckets))
+    return others.unionByName(_split_copies(df.filter(k == at), take, copies, num_buckets))
 
 
-def _split_copies(copies: DataFrame, take: int, num_buckets: int) -> DataFrame:
-    """``is_train`` for exactly ``take`` (more than 0, not all) of the rows."""
+def _split_copies(copies: DataFrame, take: int, n: int, num_buckets: int) -> DataFrame:
+    """``is_train`` for exactly ``take`` (more than 0, not all) of the ``n`` rows."""
     cols = [F.col(f"`{c}`") for c in copies.columns]
     named = copies.withColumn("_h", F.xxhash64(*cols))
-    (h,), before, same = find_cut(named, ["_h"], take, num_buckets)
+    (h,), before, same = find_cut(named, ["_h"], take, n, num_buckets)
     out = named.filter(F.col("_h") != h).withColumn("is_train", F.col("_h") < h).drop("_h")
     equal = named.filter(F.col("_h") == h).drop("_h")
     if before + same == take:
