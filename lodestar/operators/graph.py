@@ -25,24 +25,25 @@ aggregate.
 
 Hot vertices.  A hub can hold a large share of all edges, and a join keyed
 by it would put that share in one task (adaptive skew handling does not
-apply when one join side is an aggregate).  So in degree order the
-vertices of highest degree -- at most ``max_hot`` of them, those above a
-threshold ``T`` -- are joined by broadcast, and only the others by shuffle:
-
-* their degrees are ``max_hot`` rows;
-* their out-neighbours all have a degree at least as high, so they are hot
-  too: the adjacency of the hot set has at most ``max_hot**2`` ids
-  (32 MB for the default 2000);
-* every other key has at most ``T`` edges, and ``T`` is no larger than
-  ``2m / max_hot``.
+apply when one join side is an aggregate).  So the rows of a vertex whose
+degree is above a threshold ``T`` are dealt over ``degree / T`` tasks
+(:mod:`lodestar.functions.hotkeys`), and its degree or adjacency row is
+repeated for each.  Only the ids and split counts of these vertices are
+broadcast, at most ``max_hot`` rows; ``T`` is ``hot_degree`` unless more
+vertices than that are above it, and never reaches ``4m / max_hot``.
+
+Where vertices are hot, an adjacency list is also cut into blocks of
+``BLOCK`` ids that are shuffled before the edges are made from it: a list of
+``d`` ids gives ``d (d - 1) / 2`` suffix ids, of which a task then makes at most
+``BLOCK * d`` for one block.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from lodestar.functions import hotkeys
 from lodestar.session import shared_dir
 
 
@@ -71,23 +72,17 @@ def degrees(canon: DataFrame) -> DataFrame:
     return ends.groupBy("id").agg(F.count(F.lit(1)).alias("deg"))
 
 
-HOT_DEGREE = 10_000   # a vertex above this degree is joined by broadcast...
-MAX_HOT = 2_000       # ...but never more than this many vertices
+HOT_DEGREE = 10_000           # the rows of a vertex above this degree are dealt over several tasks
+MAX_HOT = hotkeys.MAX_HOT     # at most so many vertices, or else the threshold rises
+BLOCK = 1_024                 # ids of a long adjacency list whose edges one task makes
 
 
 def hot_vertices(deg: DataFrame, hot_degree: int = HOT_DEGREE,
                  max_hot: int = MAX_HOT) -> tuple[DataFrame, int, int]:
-    """``(hot, T, n_hot)``: the vertices with degree above ``T`` (``id,
-    deg``), where ``T`` is ``hot_degree`` raised, if needed, to the
-    ``max_hot + 1``-th largest degree so that at most ``max_hot`` vertices
-    are hot.  One top-k job; ``max_hot + 1`` rows reach the driver and the
-    hot set is built from them (no second pass over the degrees)."""
-    top = deg.select("id", "deg").orderBy(F.desc("deg")).limit(max_hot + 1).collect()
-    t = hot_degree if len(top) <= max_hot else max(hot_degree, top[-1]["deg"])
-    rows = [(r["id"], r["deg"]) for r in top if r["deg"] > t]
-    schema = T.StructType([T.StructField("id", deg.schema["id"].dataType),
-                           T.StructField("deg", T.LongType())])
-    return deg.sparkSession.createDataFrame(rows, schema), t, len(rows)
+    """``(hot, T, n_hot)``: the ``n_hot <= max_hot`` vertices with degree above
+    ``T`` (``id, deg``), see :func:`hotkeys.threshold`."""
+    t, n = hotkeys.threshold(deg, "deg", hot_degree, max_hot)
+    return deg.filter(F.col("deg") > t).select("id", "deg"), t, n
 
 
 def _stored(df: DataFrame, name: str, store: bool = True) -> DataFrame:
@@ -101,60 +96,49 @@ def _stored(df: DataFrame, name: str, store: bool = True) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def _split_join(big: DataFrame, table: DataFrame, key: str, hot_ids: DataFrame | None) -> DataFrame:
-    """``big JOIN table USING (key)`` where ``table`` has one row per key.
-    Keys in ``hot_ids`` (bounded) join by broadcast, so their rows are never
-    shuffled to one task; the others by an ordinary (shuffled or adaptive)
-    join in which no key is hot."""
-    if hot_ids is None:
-        return big.join(table, key)
-    ids = F.broadcast(hot_ids.select(F.col("id").alias(key)))
-    hot_part = big.join(F.broadcast(table.join(ids, key, "left_semi")), key)
-    cold_part = big.join(ids, key, "left_anti").join(table.join(ids, key, "left_anti"), key)
-    return hot_part.unionByName(cold_part)
-
-
 def _orient(canon: DataFrame, order: str, hot_degree: int, max_hot: int):
-    """``(oriented edges, hot ids or None)``; the edges are ``(u, v)`` plus
+    """``(oriented edges, hot, T)``; the edges are ``(u, v)`` plus
     the rank of ``v`` beyond its id: ``rd`` (degree) and, in id order with
-    hot vertices, ``rh`` (1 for a hot vertex).
+    hot vertices, ``rh`` (1 for a hot vertex).  ``hot`` is None without hot vertices.
 
     ``degree``: rank = (degree, id).  ``id``: rank = id, except that hot
     vertices rank above all others, by (degree, id): a cold vertex then has
     at most its degree (<= T) out-neighbours and a hot one only hot
-    out-neighbours (<= max_hot), and only broadcast joins with the hot set
+    out-neighbours of at least its degree (<= sqrt(2m)), and only broadcast joins with the hot set
     are needed (no join of the edges with the whole degree table)."""
     if order not in ("degree", "id"):
         raise ValueError("order must be 'degree' or 'id'")
     deg = degrees(canon)
     if order == "degree":
-        # read by the top-k below and by both orientation joins
+        # read by the counts below and by both orientation joins
         deg = _stored(deg, "degrees")
     hot, t, n_hot = hot_vertices(deg, hot_degree, max_hot)
-    hot_ids = None
     if n_hot:
-        # The hot and cold branches each read the canonical edges: store
-        # them once rather than recompute them per branch.
+        # The hot set and the edges are read several times below.
+        hot = _stored(hot, "hot-vertices")
         canon = _stored(canon, "canonical-edges")
-        hot_ids = hot.select("id")
+    else:
+        hot = None
     a, b = F.col("a"), F.col("b")
     if order == "id":
-        if hot_ids is None:  # plain id order; adjacency sorts the ids themselves
-            return canon.select(a.alias("u"), b.alias("v")), None
-        hot = F.broadcast(hot)  # <= max_hot rows
-        e = (canon.join(hot.select(F.col("id").alias("a"), F.col("deg").alias("da")), "a", "left")
-                  .join(hot.select(F.col("id").alias("b"), F.col("deg").alias("db")), "b", "left"))
+        if hot is None:  # plain id order; adjacency sorts the ids themselves
+            return canon.select(a.alias("u"), b.alias("v")), None, t
+        few = F.broadcast(hot)  # <= max_hot rows
+        e = (canon.join(few.select(F.col("id").alias("a"), F.col("deg").alias("da")), "a", "left")
+                  .join(few.select(F.col("id").alias("b"), F.col("deg").alias("db")), "b", "left"))
         ha, hb = F.col("da").isNotNull().cast("int"), F.col("db").isNotNull().cast("int")
         da, db = F.coalesce("da", F.lit(0).cast("bigint")), F.coalesce("db", F.lit(0).cast("bigint"))
         a_first = (ha < hb) | ((ha == hb) & ((da < db) | ((da == db) & (a < b))))
         return e.select(F.when(a_first, a).otherwise(b).alias("u"), F.when(a_first, b).otherwise(a).alias("v"),
                         F.when(a_first, hb).otherwise(ha).alias("rh"),
-                        F.when(a_first, db).otherwise(da).alias("rd")), hot_ids
-    e = _split_join(canon, deg.select(F.col("id").alias("a"), F.col("deg").alias("da")), "a", hot_ids)
-    e = _split_join(e, deg.select(F.col("id").alias("b"), F.col("deg").alias("db")), "b", hot_ids)
+                        F.when(a_first, db).otherwise(da).alias("rd")), hot, t
+    e = canon
+    for end, other, name in (("a", "b", "da"), ("b", "a", "db")):
+        split = None if hot is None else hotkeys.salts(hot, "id", "deg", t, end)
+        e = hotkeys.salted_join(e, deg.select(F.col("id").alias(end), F.col("deg").alias(name)), end, other, split)
     a_first = (F.col("da") < F.col("db")) | ((F.col("da") == F.col("db")) & (a < b))
     return e.select(F.when(a_first, a).otherwise(b).alias("u"), F.when(a_first, b).otherwise(a).alias("v"),
-                    F.when(a_first, F.col("db")).otherwise(F.col("da")).alias("rd")), hot_ids
+                    F.when(a_first, F.col("db")).otherwise(F.col("da")).alias("rd")), hot, t
 
 
 def oriented_edges(canon: DataFrame, order: str = "degree", hot_degree: int = HOT_DEGREE,
@@ -195,15 +179,23 @@ def _corners(edges: DataFrame, src: str, dst: str, order: str, canonical: bool,
              hot_degree: int, max_hot: int) -> DataFrame:
     canon = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")) if canonical \
         else canonical_edges(edges, src, dst)
-    oriented, hot_ids = _orient(canon, order, hot_degree, max_hot)
+    oriented, hot, t = _orient(canon, order, hot_degree, max_hot)
     adj = adjacency(oriented)
     # A triangle u < v < w (by rank) is found at its lowest edge u -> v, and
     # w ranks above v: only the part of adj(u) after v can hold it.  With
     # adj(u) in rank order each edge carries that suffix, not the whole list.
-    fwd = adj.select("u", F.posexplode("nbrs").alias("i", "v"), "nbrs") \
+    block = min(BLOCK, max(t, 1))
+    tails, split = adj, None
+    if hot is not None:
+        tails = adj.select("u", F.explode(F.sequence(F.lit(1), F.size("nbrs"), F.lit(block))).alias("at"), "nbrs") \
+            .select("u", "at", F.slice("nbrs", F.col("at"), F.size("nbrs") - F.col("at") + 1).alias("nbrs")) \
+            .repartition("u", "at")
+        split = hotkeys.salts(hot, "id", "deg", t, "v")
+    starts = F.col("nbrs") if hot is None else F.slice("nbrs", 1, block)
+    fwd = tails.select("u", F.posexplode(starts).alias("i", "v"), "nbrs") \
         .select("u", "v", F.slice("nbrs", F.col("i") + 2, F.size("nbrs") - F.col("i") - 1).alias("nu"))
     back = adj.select(F.col("u").alias("v"), F.col("nbrs").alias("nv"))
-    j = _split_join(fwd, back, "v", hot_ids)
+    j = hotkeys.salted_join(fwd, back, "v", "u", split)
     return j.select("u", "v", F.array_intersect("nu", "nv").alias("c"))
 
 
@@ -222,7 +214,7 @@ def triangle_counts(edges: DataFrame, src: str = "src", dst: str = "dst",
 
     ``store_input``: see :func:`closing_corners`.
     """
-    edges = _stored(edges, "edges", store_input)  # read three times: degree top-k, the count, the zero rows
+    edges = _stored(edges, "edges", store_input)  # read three times: degrees, the count, the zero rows
     t = _corners(edges, src, dst, order, canonical, hot_degree, max_hot).filter(F.size("c") > 0)
     n = F.size("c").cast("bigint")
     # u and v are in |c| triangles each; every w in c is in one more.

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestar.functions import hotkeys
+
 FEATURES = ["num_feature_1", "num_feature_2", "num_feature_3"]
 # Four columns that identify a points row (unique at sf0.01 and sf0.1).
 POINT_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -44,12 +46,11 @@ def points_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-HOT_ORDER_PARTS = 5_000   # an order with more distinct parts than this is salted...
-MAX_HOT_ORDERS = 1_000    # ...and at most this many orders are
+HOT_ORDER_PARTS = 5_000   # an order with more lines than this is salted
 
 
 def part_graph(spark: SparkSession, sf_dir: str, hot_parts: int = HOT_ORDER_PARTS,
-               max_hot: int = MAX_HOT_ORDERS) -> DataFrame:
+               max_hot: int = hotkeys.MAX_HOT) -> DataFrame:
     """Part co-order graph ``E(a, b)``: parts bought in the same order,
     one row per unordered pair, ``a < b``.
 
@@ -57,30 +58,24 @@ def part_graph(spark: SparkSession, sf_dir: str, hot_parts: int = HOT_ORDER_PART
     repeated inside an order does not multiply the pairs.  The output of an
     order with ``P`` parts is ``P(P-1)/2`` pairs whatever the plan; what the
     plan decides is how that work is spread.  Orders with more than
-    ``hot_parts`` lines (at most ``max_hot`` of them; the threshold
-    rises if needed) are salted: one side is split into ``S = ceil(P /
+    ``hot_parts`` lines (at most ``max_hot`` of them, or else the threshold
+    rises, see :mod:`lodestar.functions.hotkeys`) are salted: one side is split into ``S = ceil(P /
     hot_parts)`` groups by a hash of the part, the other side is repeated
     ``S`` times, so each task makes at most about ``P * hot_parts`` pairs.
-    Other orders join by the plain shuffle on the order key.
+    Other orders have one group.
     """
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     li = lines.distinct()
     # Lines per order bound its distinct parts from above, and need no
     # distinct: one aggregate with map-side combine.
     sizes = lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("p"))
-    top = [r["p"] for r in sizes.select("p").orderBy(F.desc("p")).limit(max_hot + 1).collect()]
-    t = hot_parts if len(top) <= max_hot else max(hot_parts, top[-1])
-    if not any(p > t for p in top):
+    t, n_hot = hotkeys.threshold(sizes, "p", hot_parts, max_hot)
+    if not n_hot:
         return _pairs(li, li)
-    hot = F.broadcast(sizes.filter(F.col("p") > F.lit(t))
-                      .select("l_orderkey", F.ceil(F.col("p") / F.lit(t)).cast("int").alias("s")))
-    hot_li = li.join(hot, "l_orderkey")
-    cold_li = li.join(hot.select("l_orderkey"), "l_orderkey", "left_anti")
-    left = hot_li.select("l_orderkey", "l_partkey",
-                         F.pmod(F.xxhash64("l_partkey"), F.col("s")).cast("int").alias("salt"))
-    right = hot_li.select("l_orderkey", "l_partkey",
-                          F.explode(F.sequence(F.lit(0), F.col("s") - 1)).alias("salt"))
-    return _pairs(cold_li, cold_li).unionByName(_pairs(left, right, ["salt"])).distinct()
+    split = hotkeys.salts(sizes.filter(F.col("p") > t), "l_orderkey", "p", t, "l_orderkey")
+    li = li.join(split, "l_orderkey", "left")
+    return _pairs(li.select("l_orderkey", "l_partkey", hotkeys.salt_of(F.col("l_partkey")).alias("salt")),
+                  li.select("l_orderkey", "l_partkey", hotkeys.all_salts().alias("salt")), ["salt"])
 
 
 def _pairs(x: DataFrame, y: DataFrame, extra: list[str] | None = None) -> DataFrame:

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from lodestar.functions import hotkeys
 from lodestar.operators import graph as G
 from lodestar.sources.edges import cast_edges
 
@@ -97,7 +98,7 @@ def test_bad_ids(spark):
 def test_hot_vertex_paths_match_brute_force(spark, hot_degree, max_hot):
     import random
     rnd = random.Random(11)
-    # two hubs plus random edges: forces the broadcast (hot) and shuffled (cold) paths
+    # two hubs plus random edges: forces salted joins and adjacency lists of several blocks
     pairs = [(0, i) for i in range(1, 60)] + [(1, i) for i in range(2, 40)]
     pairs += [(rnd.randrange(60), rnd.randrange(60)) for _ in range(300)]
     e = edges(spark, pairs)
@@ -120,6 +121,15 @@ def test_hot_vertex_paths_match_brute_force(spark, hot_degree, max_hot):
     assert n_hot <= max_hot and hot.count() == n_hot and t >= hot_degree
 
 
+def test_hot_threshold_is_the_least_that_keeps_the_bound(spark):
+    sizes = spark.createDataFrame([(s,) for s in [1, 2, 3, 4, 5, 8, 9, 1000, 2**40]], "s long")
+    assert hotkeys.threshold(sizes, "s", 0) == (0, 9)
+    assert hotkeys.threshold(sizes, "s", 3) == (3, 6)
+    assert hotkeys.threshold(sizes, "s", 3, 4) == (8, 3)   # five are above 4
+    assert hotkeys.threshold(sizes, "s", 0, 0) == (2**40, 0)
+    assert hotkeys.threshold(sizes.filter("false"), "s", 0, 0) == (0, 0)
+
+
 def test_part_graph_with_hot_vertices(spark):
     from conftest import SF_SMALL
     from lodestar.sources.tables import part_graph
