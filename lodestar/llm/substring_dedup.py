@@ -242,10 +242,10 @@ def _extract(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Record
             for i in range(lo, hi):
                 for r in asked[i]:
                     a = first[i - lo] + r["at"]
-                    rows.append((r["key"], r["content"], r["places"], words[a:a + r["windows"] + size - 1].tobytes()))
-        cols = list(zip(*rows)) if rows else [[]] * 4
-        yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in cols[:3]], pa.array(cols[3], pa.binary())],
-                                         names=["key", "content", "places", "words"])
+                    rows.append((r["key"], r["content"], r["places"], r["key_words"], words[a:a + r["windows"] + size - 1].tobytes()))
+        cols = list(zip(*rows)) if rows else [[]] * 5
+        yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in cols[:4]], pa.array(cols[4], pa.binary())],
+                                         names=["key", "content", "places", "key_words", "words"])
 
 
 _WINDOW = np.dtype([("at", "<u4"), ("places", "<u4")])
@@ -314,19 +314,23 @@ def repeated_spans(docs: DataFrame, size: int, text: str = "text", shard_words:
     packed = texts.mapInArrow(lambda it: _emit(it, size, buckets), "bucket int, regions binary")
     entries = stored(packed.groupBy("bucket").applyInArrow(lambda t: _repeated(t, buckets), _ENTRY), "regions")
     # Places of one content; the same text met in several tasks adds up.
-    contents = entries.groupBy("key", "content").agg(
+    contents = stored(entries.groupBy("key", "content").agg(
         F.sum("copies").alias("places"), F.max("self").alias("self"),
-        F.min(F.struct("text", "at", "windows")).alias("one"))
-    keys = contents.groupBy("key").agg(F.count("*").alias("contents"), F.sum(col("one.windows") + size - 1).alias("key_words"))
-    contents = stored(contents.join(keys, "key"), "contents")
+        F.min(F.struct("text", "at", "windows")).alias("one")), "contents")
+    # Of the keys with several contents; stored, so that both sides of the join are scans and a hot key's rows can be split.
+    key_words = F.sum(col("one.windows") + size - 1)
+    keys = stored(contents.groupBy("key").agg(F.count("*").alias("contents"), key_words.alias("key_words")).where("contents > 1"), "keys")
+    contents = contents.join(keys, "key", "left").withColumns({
+        "contents": F.coalesce("contents", F.lit(1)), "key_words": F.coalesce("key_words", col("one.windows") + size - 1)})
+    contents = stored(contents, "key-contents")
     settled = contents.where("places > 1").select("key", "content", F.array(F.struct(F.lit(0).cast("long").alias("a"), col("one.windows").alias("b"))).alias("runs"))
     asked = contents.where("(contents > 1 or self) and (places = 1 or contents > 1)")
     total = asked.agg(F.sum(col("one.windows") + size - 1)).first()[0] or 0
     shards = max(1, -(-total // shard_words))
     asked = asked.groupBy(col("one.text").alias("text")).agg(
-        F.collect_list(F.struct("key", "content", "places", col("one.at").alias("at"), col("one.windows").alias("windows"))).alias("asked"))
-    words = asked.join(texts, "text").mapInArrow(lambda it: _extract(it, size), "key long, content long, places long, words binary")
-    words = stored(words.join(keys.select("key", "key_words"), "key").dropDuplicates(["key", "content"]), "region-words")
+        F.collect_list(F.struct("key", "content", "places", "key_words", col("one.at").alias("at"), col("one.windows").alias("windows"))).alias("asked"))
+    words = asked.join(texts, "text").mapInArrow(lambda it: _extract(it, size), "key long, content long, places long, key_words long, words binary")
+    words = stored(words.dropDuplicates(["key", "content"]), "region-words")
     cold = words.where(col("key_words") <= hot_words).withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
     found = cold.groupBy("shard").applyInArrow(lambda t: _search_shard(t, size), "content long, key long, runs array<struct<a:long,b:long>>")
     hot = words.where(col("key_words") > hot_words).select("key", "content", "places", "words")
