@@ -238,7 +238,9 @@ def ngram_components(docs: DataFrame, size: int = 4, threshold: int = 85, doc_id
     carried = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != text], F.col(f"`{text}`").cast("string").alias("__text"))
     named = stored(carried.mapInArrow(lambda it: _signatures(it, size), schema), "signatures")
     named = named.join(parts.toDF("__node", "__part"), "__node", "left").withColumn("__part", F.coalesce("__part", "__node"))
-    lowest = named.where("__n > 0").groupBy("__part").agg(F.min(f"`{doc_id}`").alias("__lowest"))
+    # Stored, so that both sides of the join are plain shuffles and a large component's rows can be split.
+    lowest = named.where("__n > 0").groupBy("__part").agg(F.min(f"`{doc_id}`").alias("__lowest"), F.count("*").alias("__rows"))
+    lowest = stored(lowest.where("__rows > 1").drop("__rows"), "lowest")
     out = named.join(lowest, "__part", "left")
     return out.select(*[F.col(f"`{c}`") for c in docs.columns if c != text], F.col("__n").alias("n_shingles"),
                       F.coalesce(F.when(F.col("__n") > 0, F.col("__lowest")), F.col(f"`{doc_id}`")).alias("component_id"),
