@@ -342,7 +342,8 @@ def repeated_spans(docs: DataFrame, size: int, text: str = "text", shard_words:
     runs = stored(found.unionByName(settled), "runs")
     spans = entries.select("key", "content", "text", "at").distinct().join(runs, ["key", "content"]).select(
         "text", F.explode("runs").alias("r"), "at").select("text", F.struct((col("at") + col("r.a")).alias("a"), (col("at") + col("r.b") + size - 1).alias("b")).alias("s"))
-    return spans.groupBy(col("text").alias("text_hash")).agg(F.array_sort(F.collect_list("s")).alias("spans"))
+    # Stored, so that the rows of a text with many copies can be split where they are joined with it.
+    return stored(spans.groupBy(col("text").alias("text_hash")).agg(F.array_sort(F.collect_list("s")).alias("spans")), "spans")
 
 
 def _remove(batches: Iterator[pa.RecordBatch], n_carried: int) -> Iterator[pa.RecordBatch]:
