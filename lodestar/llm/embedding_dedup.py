@@ -7,7 +7,8 @@
 3. Every class gets its code, and every table one key: the bits that the
    table's own choice of positions picks from the code.  Classes with one key in one
    table form a bucket.  Keys have about ``log2(classes) - 3`` bits, so a bucket
-   holds some classes whatever the size of the data.
+   holds some classes whatever the size of the data.  The tables of one rotation
+   share no bits; when its bits are used up, another rotation is learnt.
 4. Within a bucket all pairs are ranked again with the original vectors, by a
    matrix product in double precision.  A large bucket is cut into blocks
    of ``BLOCK`` classes and every pair of blocks is a task's group of its own.
@@ -16,9 +17,14 @@
    spanning forest go out.
 5. The forests make components.
 
-The sample only fits the rotation; all vectors are coded and searched.  A pair
+The sample only fits the rotations; all vectors are coded and searched.  A pair
 at the threshold meets in a table with probability about ``(1 - angle / pi) **
-bits``; more ``tables`` find more.
+bits``, so longer keys need more tables.  Their number is measured, not taken from
+that formula: pairs at just the threshold are made from the sample, in random
+directions and towards other vectors, and tables are added until ``RECALL`` of
+either kind meet (``tables`` at least).  Should that take more than
+``MOST_TABLES``, keys get shorter instead, down to none, where all pairs meet:
+buckets grow then, but no links are given up.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite
 components link with nothing; vectors of different lengths never link, each
@@ -34,13 +40,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from lodestar.llm.bytescan import mix
 from lodestar.llm.components import components, stored
 
-TABLES = 16
+TABLES = 16         # at least
+MOST_TABLES = 256   # with more, keys get shorter
+RECALL = 0.95       # of pairs at the threshold
+PROBES = 4000
+KEYED_BYTES = 32 << 20
 SAMPLE = 20_000
 BLOCK = 1024
+KEY_BITS = 48       # at most; the table is above them
 TURNS = 50
 
 
@@ -58,22 +70,59 @@ def learn_rotation(sample: np.ndarray, turns: int = TURNS, seed: int = 7) -> tup
     return mean, axes.T @ r
 
 
-def table_bits(width: int, bits: int, tables: int, seed: int = 11) -> np.ndarray:
-    """For each table the positions of its key's bits; every position is used about equally often."""
+def probes(sample: np.ndarray, threshold: float, seed: int = 17) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of unit vectors whose cosine is the threshold: from vectors of the sample in random directions, and towards other vectors."""
     rng = np.random.default_rng(seed)
-    order = np.concatenate([rng.permutation(width) for _ in range(-(-tables * bits // width) + 1)])
+    t = min(max(threshold, -1.0), 1.0)
     out = []
-    for t in range(tables):  # without bits every table has one key
-        row = list(dict.fromkeys(order[t * bits:(t + 1) * bits].tolist()))
-        row += [int(i) for i in rng.permutation(width) if i not in row][:bits - len(row)]
-        out.append(row)
-    return np.array(out, np.int64).reshape(tables, bits)
+    for towards in (None, sample):
+        a = sample[rng.integers(0, len(sample), PROBES)]
+        z = rng.standard_normal(a.shape) if towards is None else towards[rng.integers(0, len(towards), PROBES)]
+        z = z - (z * a).sum(1, keepdims=True) * a
+        length = np.linalg.norm(z, axis=1, keepdims=True)
+        some = length[:, 0] > 1e-6  # not for copies of one direction
+        if some.any():
+            a, z = a[some], z[some] / length[some]
+            out.append((a, t * a + np.sqrt(1 - t * t) * z))
+    return out
+
+
+def fit_tables(sample: np.ndarray, bits: int, threshold: float, least: int = TABLES, recall: float = RECALL,
+               most: int = MOST_TABLES, seed: int = 11) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Mean, rotations (columns are bits) and for each table the columns of its key, so many that ``recall`` of the probes meet."""
+    width = sample.shape[1]
+    pairs = probes(sample, threshold)
+    mean, rotations, same = sample.mean(0), [], []
+
+    def agreeing(r: int) -> list[np.ndarray]:
+        """Which bits of rotation ``r`` agree, for the pairs of each kind."""
+        if r == len(rotations):
+            rotations.append(learn_rotation(sample, seed=7 + r)[1])
+            same.append([((a - mean) @ rotations[r] > 0) == ((b - mean) @ rotations[r] > 0) for a, b in pairs])
+        return same[r]
+
+    agree = min((float(e.mean()) for e in agreeing(0)), default=1.0) if bits else 1.0
+    while bits and (1 - agree ** bits) ** (most / 2) > 1 - recall:  # far too many tables
+        bits -= 1
+    for n in range(bits, 0, -1):
+        met, positions = [np.zeros(len(a), bool) for a, _ in pairs], []
+        rng = np.random.default_rng(seed)
+        while len(positions) < most:
+            r, k = divmod(len(positions), width // n)
+            order = rng.permutation(width) if k == 0 else order
+            chosen = order[k * n:(k + 1) * n]
+            positions.append(r * width + chosen)
+            for m, e in zip(met, agreeing(r)):
+                m |= e[:, chosen].all(1)
+            if len(positions) >= least and all(m.mean() >= recall for m in met):
+                return mean, np.concatenate(rotations[:r + 1], 1), np.array(positions, np.int64)
+    return mean, np.zeros((width, 0)), np.zeros((1, 0), np.int64)  # one table with one key
 
 
 def keys_of(codes: np.ndarray, positions: np.ndarray) -> np.ndarray:
     """The key of every code (rows of booleans) in every table."""
     weights = np.uint64(1) << np.arange(positions.shape[1], dtype=np.uint64)
-    return np.stack([mix((codes[:, p] * weights).sum(1, dtype=np.uint64) + (np.uint64(t + 1) << np.uint64(58))) for t, p in enumerate(positions)], 1)
+    return np.stack([mix((codes[:, p] * weights).sum(1, dtype=np.uint64) + (np.uint64(t + 1) << np.uint64(KEY_BITS))) for t, p in enumerate(positions)], 1)
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -86,22 +135,23 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def _keyed(batches: Iterator[pa.RecordBatch], fitted) -> Iterator[pa.RecordBatch]:
+def _keyed(batches: Iterator[pa.RecordBatch], fitted, dtype: type) -> Iterator[pa.RecordBatch]:
+    """A row for each class and table: its key there, those of all tables before, and the vector."""
     mean, rotation, positions = fitted.value
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        x = _matrix(batch.column("v"))
-        keys = keys_of((_unit(x) - mean) @ rotation > 0, positions)
-        tables = keys.shape[1]
-        rows = [x[i].tobytes() for i in range(len(x))]
-        all_keys = [k.tobytes() for k in keys]
-        take = np.repeat(np.arange(len(x)), tables)
-        pick = lambda c: batch.column(c).take(pa.array(take))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(keys.reshape(-1).view(np.int64)), pa.array(np.tile(np.arange(tables), len(x)), pa.int32()), pick("class"), pick("copies"),
-             pa.array(all_keys, pa.binary()).take(pa.array(take)), pa.array(rows, pa.binary()).take(pa.array(take))],
-            names=["key", "table", "class", "copies", "keys", "v"])
+    tables = len(positions)
+    for whole in batches:
+        step = max(1, KEYED_BYTES // (tables * (4 * tables + 8 * len(mean) + 64)))
+        for batch in (whole.slice(s, step) for s in range(0, whole.num_rows, step)):
+            x = _matrix(batch.column("v"))
+            keys = keys_of((_unit(x) - mean) @ rotation > 0, positions)
+            rows = [v.tobytes() for v in x.astype(dtype)]
+            earlier = [k[:8 * t] for k in (k.tobytes() for k in keys) for t in range(tables)]
+            take = np.repeat(np.arange(len(x)), tables)
+            pick = lambda c: batch.column(c).take(pa.array(take))  # noqa: E731, B023
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys.reshape(-1).view(np.int64)), pa.array(np.tile(np.arange(tables), len(x)), pa.int32()), pick("class"), pick("copies"),
+                 pa.array(earlier, pa.binary()), pa.array(rows, pa.binary()).take(pa.array(take))],
+                names=["key", "table", "class", "copies", "earlier", "v"])
 
 
 def _forest(linked: np.ndarray) -> list[tuple[int, int]]:
@@ -140,7 +190,7 @@ def whole_groups(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Itera
         yield pa.Table.from_batches(held)
 
 
-def _link_groups(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+def _link_groups(batches: Iterator[pa.RecordBatch], threshold: float, dtype: type) -> Iterator[pa.RecordBatch]:
     """Per class its number of links found here, and links that keep the components."""
     for table in whole_groups(batches, ["key", "b1", "b2"]):
         if not table.num_rows:
@@ -150,21 +200,21 @@ def _link_groups(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterato
         bounds = np.append(np.flatnonzero(new), len(group))
         many = np.flatnonzero(np.diff(bounds) > 1)
         names, copies, own = table["class"].to_numpy(), table["copies"].to_numpy(), table["own"].to_numpy()
-        tables = table["table"].to_numpy()
-        v, keys = table["v"].to_pylist(), table["keys"].to_pylist()
+        v, keys = table["v"].to_pylist(), table["earlier"].to_pylist()
         counted: dict[int, int] = {}
         edges: list[tuple[int, int]] = []
         for g in many.tolist():
             s = slice(bounds[g], bounds[g + 1])
-            x = _unit(np.frombuffer(b"".join(v[s])).reshape(bounds[g + 1] - bounds[g], -1))
-            k = np.frombuffer(b"".join(keys[s]), np.uint64).reshape(len(x), -1)
+            x = _unit(np.frombuffer(b"".join(v[s]), dtype).reshape(bounds[g + 1] - bounds[g], -1).astype(np.float64))
+            k = np.frombuffer(b"".join(keys[s]), np.uint64).reshape(len(x), len(keys[s.start]) // 8)
             near = x @ x.T >= threshold
             np.fill_diagonal(near, False)
             if group[s.start][1] != group[s.start][2]:
                 near &= own[s][:, None] != own[s][None, :]  # two blocks: only pairs across
             i, j = np.nonzero(np.triu(near))
-            earlier = (k[i, :tables[s.start]] == k[j, :tables[s.start]]).any(1)
-            i, j = i[~earlier], j[~earlier]
+            for column in k.T:  # met in an earlier table
+                apart = column[i] != column[j]
+                i, j = i[apart], j[apart]
             if not len(i):
                 continue
             n, c = names[s], copies[s]
@@ -179,25 +229,24 @@ def _link_groups(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterato
              pa.array([*counted.values(), *[0] * len(edges)], pa.int64())], names=["a", "b", "links"])
 
 
-def _links_of_length(classes: DataFrame, n: int, threshold: float, tables: int, sample: int, block: int) -> DataFrame:
+def _links_of_length(classes: DataFrame, n: int, threshold: float, tables: int, sample: int, block: int, dtype: type) -> DataFrame:
     """``(a, b, links)`` rows for classes of one vector length."""
     spark = classes.sparkSession
     rows = classes.orderBy("class").limit(sample).select("v").collect()
     x = _unit(np.array([r["v"] for r in rows], np.float64))
-    mean, rotation = learn_rotation(x)
-    bits = int(min(x.shape[1], 56, max(0, np.ceil(np.log2(n)) - 3)))
-    fitted = spark.sparkContext.broadcast((mean, rotation, table_bits(x.shape[1], bits, tables)))
+    bits = int(min(x.shape[1], KEY_BITS, max(0, np.ceil(np.log2(n)) - 3)))
+    fitted = spark.sparkContext.broadcast(fit_tables(x, bits, threshold, tables))
     keyed = classes.select("class", "copies", "v").mapInArrow(
-        lambda it: _keyed(it, fitted), "key long, table int, class long, copies long, keys binary, v binary")
+        lambda it: _keyed(it, fitted, dtype), "key long, table int, class long, copies long, earlier binary, v binary")
     keyed = stored(keyed, "keyed")
     sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     parts = keyed.join(sizes, "key").withColumn("blocks", F.ceil(F.col("n") / block).cast("int")) \
         .withColumn("own", F.pmod(F.xxhash64("class", "table"), "blocks").cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     parts = parts.withColumn("other", other).withColumns({"b1": F.least("own", "other"), "b2": F.greatest("own", "other")})
-    parts = parts.select("key", "b1", "b2", "own", "table", "class", "copies", "keys", "v")
+    parts = parts.select("key", "b1", "b2", "own", "class", "copies", "earlier", "v")
     parts = parts.repartition("key", "b1", "b2").sortWithinPartitions("key", "b1", "b2")
-    return parts.mapInArrow(lambda it: _link_groups(it, threshold), "a long, b long, links long")
+    return parts.mapInArrow(lambda it: _link_groups(it, threshold, dtype), "a long, b long, links long")
 
 
 def near_vectors(vectors: DataFrame, threshold: float = 0.9, vec_id: str = "vec_id", vector: str = "embedding",
@@ -211,9 +260,11 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, vec_id: str = "vec_
     base = base.withColumn("__class", F.when(F.col("__v").isNotNull(), F.xxhash64(F.transform("__v", lambda e: e + F.lit(0.0)))))
     classes = stored(base.where("__v is not null").groupBy(F.col("__class").alias("class")).agg(
         F.count("*").alias("copies"), F.first("__v").alias("v")), "vector-classes")
+    kind = vectors.schema[vector].dataType
+    dtype = np.float32 if isinstance(kind, ArrayType) and isinstance(kind.elementType, FloatType) else np.float64  # as many bytes as the input has
     links = None
     for length, n in sorted(classes.groupBy(F.size("v")).count().collect()):
-        found = _links_of_length(classes.where(F.size("v") == length), n, threshold, tables, sample, block)
+        found = _links_of_length(classes.where(F.size("v") == length), n, threshold, tables, sample, block, dtype)
         links = found if links is None else links.unionByName(found)
     if links is None:
         links = vectors.sparkSession.createDataFrame([], "a long, b long, links long")

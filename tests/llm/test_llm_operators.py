@@ -178,6 +178,25 @@ def test_recall_of_near_vectors(spark):
     assert all(got[i] <= near[i].sum() for i in got) and sum(got.values()) >= 0.9 * near.sum()
 
 
+def test_recall_with_the_keys_of_a_large_table(spark, monkeypatch):
+    """Links just above the threshold, found with the parameters of the query and keys as long as for 10 million vectors."""
+    r = np.random.default_rng(14)
+    base = r.standard_normal((400, 64))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    side = r.standard_normal((400, 64))
+    side -= (side * base).sum(1, keepdims=True) * base
+    x = np.concatenate([base, 0.902 * base + math.sqrt(1 - 0.902 ** 2) * side / np.linalg.norm(side, axis=1, keepdims=True)])
+    near = x @ x.T >= 0.9
+    np.fill_diagonal(near, False)
+    inner = embedding_dedup._links_of_length
+    monkeypatch.setattr(embedding_dedup, "_links_of_length", lambda classes, n, *rest: inner(classes, 10_000_000, *rest))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id LONG, embedding ARRAY<DOUBLE>")
+    got = {r["vec_id"]: r["n_links"] for r in embedding_dedup.near_vectors(df).collect()}
+    assert all(got[i] <= near[i].sum() for i in got)
+    print("recall", sum(got.values()) / near.sum())
+    assert sum(got.values()) >= 0.9 * near.sum()
+
+
 def test_urls(spark):
     urls = [None, "", "no scheme", "http://A.Example.COM/en/x?q#f", "http://www.example.com/en/", "https://x.net/es/1", "http://net/fr/", "http://com", "http://com/", "http://xcom/a",
             "http://example.com.evil.org/en/", "a://b.com://c/d", "http://u@example.com:80/en/", "http://bad.org/page?x", "http://bad.org/page/", "http://example.com/en/", "http://example.com/en/"]
