@@ -31,6 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -175,47 +176,64 @@ def _search_batch(column, vocabulary: np.ndarray, patterns: list[Patterns], name
             pa.ListArray.from_arrays(offsets_of(join(items_n)), pa.array(items, pa.string())))
 
 
+def _with_earlier(batch: pa.RecordBatch, found: tuple) -> tuple:
+    """``found`` of one shard joined with the batch's results of the shards before: spans are merged, items listed one after the other."""
+    n_words = found[0]
+    k = len(n_words)
+    base = np.concatenate([[0], np.cumsum(n_words.to_numpy() + 1)])  # the gap of one place keeps neighbours apart
+    ends, lists = [], [[] for _ in range(k)]
+    for spans, items in ((batch.column("__spans"), batch.column("__items")), found[1:]):
+        row, flat = pc.list_parent_indices(spans).to_numpy(), spans.flatten()
+        ends.append([base[row] + flat.field(c).to_numpy() for c in ("start", "end")])
+        for x, more in zip(lists, items.to_pylist()):
+            x += more
+    s, e = _merged(*(np.concatenate(x) for x in zip(*ends)))
+    row = np.searchsorted(base, s, "right") - 1
+    spans = pa.StructArray.from_arrays([pa.array(x - base[row], pa.int32()) for x in (s, e)], names=["start", "end"])
+    offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(row, minlength=k))]), pa.int32())
+    return n_words, pa.ListArray.from_arrays(offsets, spans), pa.array(lists, pa.list_(pa.string()))
+
+
 def find_benchmark(docs: DataFrame, benchmark: DataFrame, keep: Sequence[str] | None = None, size: int = SIZE,
                    text: str = "text", item_id: str = "item_id", item_text: str = "text",
                    shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """The columns ``keep`` of ``docs`` (all by default) and ``n_words``, ``spans`` and ``items``.
 
-    ``spans`` are runs of hit words as ``[start, end)`` word numbers (spans found in
-    different shards may overlap), ``items`` the ids of all items with a window here.
+    ``spans`` are runs of hit words as ``[start, end)`` word numbers, ascending and apart
+    however many shards there are, ``items`` the ids of all items with a window here.
     """
     spark = docs.sparkSession
     keep = [c for c in (docs.columns if keep is None else keep) if c not in RESULTS]
     items = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("id"), F.col(item_text).cast("string").alias("text"))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
+    results = [f"__{c}" for c in RESULTS]
     out = docs.select(*[docs[f"`{c}`"] for c in keep], docs[text].cast("string").alias("__text"))
     for i in range(shards):
         part = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(shards)) == i).collect()
         tables = spark.sparkContext.broadcast(prepare([r["text"] for r in part], [r["id"] for r in part], size))
 
-        names = [f"__{c}{i}" for c in RESULTS]
         last = i == shards - 1  # then the text is not sent back
 
-        def run(batches: Iterator[pa.RecordBatch], tables=tables, names=names, last=last) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], tables=tables, first=i == 0, last=last) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 found = _search_batch(batch.column("__text"), *tables.value)
-                rest = batch.drop_columns(["__text"]) if last else batch
-                yield pa.RecordBatch.from_arrays([*rest.columns, *found], names=[*rest.schema.names, *names])
+                if not first:
+                    found = _with_earlier(batch, found)
+                rest = batch.drop_columns([c for c in batch.schema.names if c in results or last and c == "__text"])
+                yield pa.RecordBatch.from_arrays([*rest.columns, *found], names=[*rest.schema.names, *results])
 
-        fields = [f for f in out.schema.fields if f.name != "__text" or not last]
+        fields = [f for f in out.schema.fields if f.name not in results and (f.name != "__text" or not last)]
         schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields]
-                           + [f"{names[0]} long, {names[1]} array<struct<start:int,end:int>>, {names[2]} array<string>"])
+                           + [f"{results[0]} long, {results[1]} array<struct<start:int,end:int>>, {results[2]} array<string>"])
         out = out.mapInArrow(run, schema)
-    every = lambda c: F.flatten(F.array(*[F.col(f"__{c}{i}") for i in range(shards)])) if shards > 1 else F.col(f"__{c}0")
-    return out.select(*[F.col(f"`{c}`") for c in keep], F.col("__n_words0").alias("n_words"), every("spans").alias("spans"),
-                      F.array_distinct(every("items")).alias("items"))
+    return out.select(*[F.col(f"`{c}`") for c in keep], F.col("__n_words").alias("n_words"), F.col("__spans").alias("spans"),
+                      F.array_distinct("__items").alias("items"))
 
 
 def hit_words(spans: str = "spans", shards: int = 1) -> Column:
-    """Number of words in the spans; a word in several spans counts once."""
-    if shards == 1:
-        return F.aggregate(F.col(spans), F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
-    return F.size(F.array_distinct(F.flatten(F.transform(spans, lambda s: F.sequence(s["start"], s["end"] - 1))))).cast("long")
+    """Number of words in the spans; ``shards`` makes no difference, as spans of different shards are merged."""
+    return F.aggregate(F.col(spans), F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
 
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame, size: int = SIZE) -> DataFrame:

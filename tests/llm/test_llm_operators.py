@@ -143,6 +143,22 @@ def test_benchmark(spark, docs):
     assert decontaminate.find_benchmark(docs, bench.where("false")).where("size(spans) > 0").count() == 0
 
 
+def test_decontamination_query_with_several_shards(spark, monkeypatch):
+    """The query's own columns do not depend on the number of shards, also when items of two shards hit the same words."""
+    docs = spark.createDataFrame([(1, f"x {COMMON} y {COMMON}"), (2, None), (3, say(30)), (4, COMMON[:60])], "doc_id LONG, text STRING")
+    half = " ".join(COMMON.split()[8:30])
+    bench = spark.createDataFrame([*[(i, COMMON) for i in range(6)], (9, half), (10, "x")], "item_id LONG, text STRING")
+    monkeypatch.setattr(catalog, "table", lambda spark, sf_dir, name: {"documents": docs, "benchmark": bench}[name])
+    one = Counter(catalog.op4_decontamination(spark, "").collect())
+    inner = decontaminate.find_benchmark
+    monkeypatch.setattr(decontaminate, "find_benchmark", lambda *a, **k: inner(*a, **k, shard_bytes=400))
+    many = catalog.op4_decontamination(spark, "").collect()
+    assert Counter(many) == one
+    assert {r["doc_id"]: r["n_hit"] for r in many}[1] == 91
+    spans = next(r["spans"] for r in decontaminate.find_benchmark(docs, bench).collect() if r["doc_id"] == 1)
+    assert [(s["start"], s["end"]) for s in spans] == [(0, 46), (47, 92)]
+
+
 def test_near_vectors(spark):
     r = np.random.default_rng(12)
     base = r.standard_normal((12, 24))
