@@ -13,9 +13,11 @@ Documents are searched in many *lanes* at a time, runs of up to ``LANE`` window
 starts, which all move by their own shifts; so whole texts are searched
 whatever their length, with numpy steps over all lanes of a slice.
 
-The benchmark is broadcast in shards of at most ``shard_bytes`` of text, checked by
-a sum before anything is collected; a larger benchmark takes one narrow pass
-over the documents for each shard.  Documents are never shuffled, so copies
+The benchmark is broadcast in shards of at most ``shard_bytes`` of text; a larger one
+takes one narrow pass over the documents for each shard.  Repeated items are
+dropped and items of more than a shard are cut into overlapping parts in Spark; the
+rest is summed by hash range before anything is collected, and ranges make the shards.
+(Only ``size`` words that are longer than a shard together make a larger one.)  Documents are never shuffled, so copies
 and hot keys make no difference.
 
 Defined results: null and empty texts have no words; an item without words
@@ -36,6 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.llm.bytescan import ALNUM, find_words, hash_spans, lower_ascii, ragged_arange, text_slices
+from lodestar.llm.components import stored
 
 SIZE = 10
 LANE = 64
@@ -176,6 +179,50 @@ def _search_batch(column, vocabulary: np.ndarray, patterns: list[Patterns], name
             pa.ListArray.from_arrays(offsets_of(join(items_n)), pa.array(items, pa.string())))
 
 
+def _parts(batches: Iterator[pa.RecordBatch], size: int, most: int) -> Iterator[pa.RecordBatch]:
+    """Items, those of more than ``most`` bytes as parts of about half as many that share ``size - 1`` words, so every window is in one."""
+    for batch in batches:
+        ids, texts = [], []
+        for name, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist()):
+            raw = text.encode()
+            if len(raw) <= most:
+                ids.append(name)
+                texts.append(text)
+                continue
+            starts, ends, _ = find_words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), ALNUM)
+            at, windows = 0, max(len(starts) - size + 1, min(len(starts), 1))
+            while at < windows:
+                after = max(at + 1, int(np.searchsorted(starts, starts[at] + most // 2)))
+                ids.append(name)
+                texts.append(raw[starts[at]:ends[min(after + size - 1, len(starts)) - 1]].decode())
+                at = after
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(texts, pa.string())], names=["id", "text"])
+
+
+def deal_shards(items: DataFrame, shard_bytes: int) -> tuple[Column, list[tuple[int, int, int]]]:
+    """A number of each row of ``items`` (id, text), and for each shard the numbers ``[low, high)`` that are in it and its bytes.
+
+    Bytes are measured; only a single row can be more than ``shard_bytes``.
+    """
+    size = F.octet_length("text")
+    total, largest = items.agg(F.sum(size), F.max(size)).first()
+    ranges = 16 * (1 + (total or 0) // shard_bytes)
+    while True:
+        number = F.pmod(F.xxhash64("id", "text"), F.lit(ranges))
+        sums = items.groupBy(number.alias("n")).agg(F.sum(size).alias("bytes")).orderBy("n").collect()  # few: by the sum above
+        if all(r["bytes"] <= max(shard_bytes, largest) for r in sums):
+            break
+        ranges *= 2
+    shards = [(0, ranges, 0)]
+    for r in sums:
+        low, _, held = shards[-1]
+        if held and held + r["bytes"] > shard_bytes:
+            shards[-1:] = [(low, r["n"], held), (r["n"], ranges, r["bytes"])]
+        else:
+            shards[-1] = (low, ranges, held + r["bytes"])
+    return number, shards
+
+
 def _with_earlier(batch: pa.RecordBatch, found: tuple) -> tuple:
     """``found`` of one shard joined with the batch's results of the shards before: spans are merged, items listed one after the other."""
     n_words = found[0]
@@ -205,15 +252,16 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, keep: Sequence[str] |
     spark = docs.sparkSession
     keep = [c for c in (docs.columns if keep is None else keep) if c not in RESULTS]
     items = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("id"), F.col(item_text).cast("string").alias("text"))
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(1, -(-total // shard_bytes))
+    items = items.where("text is not null").distinct().mapInArrow(lambda it: _parts(it, size, shard_bytes), "id string, text string")
+    items = stored(items.distinct(), "benchmark")
+    number, shards = deal_shards(items, shard_bytes)
     results = [f"__{c}" for c in RESULTS]
     out = docs.select(*[docs[f"`{c}`"] for c in keep], docs[text].cast("string").alias("__text"))
-    for i in range(shards):
-        part = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(shards)) == i).collect()
+    for i, (low, high, _) in enumerate(shards):
+        part = items.where((number >= low) & (number < high)).collect()
         tables = spark.sparkContext.broadcast(prepare([r["text"] for r in part], [r["id"] for r in part], size))
 
-        last = i == shards - 1  # then the text is not sent back
+        last = i == len(shards) - 1  # then the text is not sent back
 
         def run(batches: Iterator[pa.RecordBatch], tables=tables, first=i == 0, last=last) -> Iterator[pa.RecordBatch]:
             for batch in batches:

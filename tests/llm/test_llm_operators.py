@@ -159,6 +159,18 @@ def test_decontamination_query_with_several_shards(spark, monkeypatch):
     assert [(s["start"], s["end"]) for s in spans] == [(0, 46), (47, 92)]
 
 
+def test_benchmark_shards_are_bounded(spark, monkeypatch):
+    """Repeated rows are collected once, a long item in parts, and no window is lost."""
+    long = say(400)
+    docs = spark.createDataFrame([(1, f"x {long} y"), (2, " ".join(long.split()[150:175])), (3, COMMON)], "doc_id LONG, text STRING")
+    bench = spark.createDataFrame([(1, long), *[(2, COMMON)] * 200, (3, None), (4, "one two")], "item_id LONG, text STRING")
+    sizes, inner = [], decontaminate.prepare
+    monkeypatch.setattr(decontaminate, "prepare", lambda texts, *rest: sizes.append(sum(len(t or "") for t in texts)) or inner(texts, *rest))
+    found = {r["doc_id"]: r for r in decontaminate.find_benchmark(docs, bench, shard_bytes=600).withColumn("h", decontaminate.hit_words()).collect()}
+    assert max(sizes) <= 600 and len(sizes) > 1
+    assert [(found[i]["h"], found[i]["items"]) for i in (1, 2, 3)] == [(400, ["1"]), (25, ["1"]), (45, ["2"])]
+
+
 def test_near_vectors(spark):
     r = np.random.default_rng(12)
     base = r.standard_normal((12, 24))
