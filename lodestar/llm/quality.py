@@ -12,13 +12,15 @@ logistic score: the probability of label 1.  All layers are learnt together from
 document labels alone, with Adam, in numpy on the driver.
 
 The training bags are the labelled documents of lowest hash of their id, at most
-``SAMPLE`` of them: the one bounded sample here.  Only their passage vectors
-come to the driver.  Scoring reads every passage of every whole text where it
+``SAMPLE`` of them: the one bounded sample here, of different (id, label) pairs and
+then of different texts with them, so that neither repeated label rows nor an id's
+many document rows fill it.  Equal texts with one label are one bag with a weight.  Only
+the bags' passage vectors come to the driver.  Scoring reads every passage of every whole text where it
 lies; nothing is shuffled.  Labels, ids, languages and sources are never inputs.
 
 Defined results: a null or empty text is one empty passage and gets a score; a
-text of any length is scored whole; documents with several label rows are
-trained on with each; without both labels in the sample the score is the share of
+text of any length is scored whole; documents with several labels are
+trained on with each, once however often the rows are repeated; without both labels in the sample the score is the share of
 label 1 (0.5 without labels); repeated rows get equal scores; columns named like
 a result are replaced.
 """
@@ -34,6 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.llm.bytescan import NOT_SPACE, find_words, hash_spans, lower_ascii, mix, ragged_arange, text_slices, window_starts
+from lodestar.llm.components import stored
 
 PASSAGE = 64
 SAMPLE = 3_000
@@ -157,10 +160,17 @@ def _forward(w: dict[str, np.ndarray], x: np.ndarray, bounds: np.ndarray) -> dic
     return {"h": h, "t": t, "g": g, "alpha": alpha, "z": z, "logit": z @ w["c"] + w["d"][0]}
 
 
-def learn(x: np.ndarray, bounds: np.ndarray, labels: np.ndarray, steps: int = STEPS, rate: float = RATE, seed: int = 5) -> Model:
-    """Fit all layers to document labels by Adam on the mean log loss."""
-    mean, scale = (x.mean(0), x.std(0) + 1e-3) if len(x) else (np.zeros(x.shape[1]), np.ones(x.shape[1]))
-    share = float(labels.mean()) if len(labels) else 0.5
+def learn(x: np.ndarray, bounds: np.ndarray, labels: np.ndarray, steps: int = STEPS, rate: float = RATE, seed: int = 5,
+          weights: np.ndarray | None = None) -> Model:
+    """Fit all layers to document labels by Adam on the mean log loss; ``weights`` says how many documents each bag stands for."""
+    weights = np.ones(len(labels)) if weights is None else weights
+    mean, scale = np.zeros(x.shape[1]), np.ones(x.shape[1])
+    if len(x):
+        each = np.repeat(weights, np.diff(bounds))
+        mean = np.average(x, 0, each)
+        scale = (np.sqrt(np.average((x - mean) ** 2, 0, each)) + 1e-3).astype(x.dtype)
+        mean = mean.astype(x.dtype)
+    share = float(np.average(labels, weights=weights)) if len(labels) else 0.5
     if not len(labels) or share in (0.0, 1.0):
         return Model(mean, scale, {}, share)
     rng = np.random.default_rng(seed)
@@ -172,7 +182,7 @@ def learn(x: np.ndarray, bounds: np.ndarray, labels: np.ndarray, steps: int = ST
     v, size = model.prepare(x), np.diff(bounds)
     for i in range(1, steps + 1):
         f = _forward(w, v, bounds)
-        d_logit = (1 / (1 + np.exp(-f["logit"])) - labels) / len(labels)
+        d_logit = (1 / (1 + np.exp(-f["logit"])) - labels) * weights / weights.sum()
         d_z = np.repeat(d_logit[:, None] * w["c"], size, 0)
         d_alpha = (d_z * f["h"]).sum(1)
         d_e = f["alpha"] * (d_alpha - np.repeat(_segments(f["alpha"] * d_alpha, bounds), size))
@@ -196,21 +206,28 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, data, offsets in text_slices(batch.column("__text")):
             x, bounds = passages(data, offsets)
             out += [x[bounds[i]:bounds[i + 1]].tobytes() for i in range(len(bounds) - 1)]
-        yield pa.RecordBatch.from_arrays([batch.column("__label"), pa.array(out, pa.binary())], names=["label", "x"])
+        yield pa.RecordBatch.from_arrays([batch.column("__label"), batch.column("__weight"), pa.array(out, pa.binary())], names=["label", "weight", "x"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, training: Column, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
         sample: int = SAMPLE) -> Model:
     """A model from the rows of ``labels`` that ``training`` (over its doc_id) marks."""
     chosen = labels.where(training & F.col(f"`{label}`").isin(0, 1) & F.col(f"`{doc_id}`").isNotNull()).select(
-        F.col(f"`{doc_id}`").alias("__id"), F.col(f"`{label}`").cast("double").alias("__label"))
+        F.col(f"`{doc_id}`").alias("__id"), F.col(f"`{label}`").cast("double").alias("__label")).distinct()
     chosen = chosen.orderBy(F.xxhash64("__id"), "__id", "__label").limit(sample)  # a bounded table, so it may be broadcast
     bags = docs.select(F.col(f"`{doc_id}`").alias("__id"), F.col(f"`{text}`").cast("string").alias("__text")) \
-        .join(F.broadcast(chosen), "__id").select("__label", "__text")
-    rows = bags.mapInArrow(_vectors, "label double, x binary").orderBy("x", "label").collect()
+        .join(F.broadcast(chosen), "__id").distinct()
+    bags = stored(bags, "bags")
+    texts = bags.groupBy("__id", "__label").agg(F.count("*").alias("__texts"))  # as few rows as the sample
+    # If ids have several texts, about as many from each: places in the order of a hash, spread over the id's number of texts.
+    place = F.pmod(F.xxhash64("__id", "__text"), F.lit(1 << 40)) * F.col("__texts")
+    bags = bags.join(F.broadcast(texts), ["__id", "__label"]).orderBy(place, "__id", "__text", "__label").limit(sample)
+    bags = bags.groupBy("__label", "__text").agg(F.count("*").cast("double").alias("__weight"))
+    rows = bags.mapInArrow(_vectors, "label double, weight double, x binary").orderBy("x", "label", "weight").collect()
     x = [np.frombuffer(r["x"], np.float32).reshape(-1, FEATURES) for r in rows]
     bounds = np.concatenate([[0], np.cumsum([len(v) for v in x])]).astype(np.int64)
-    return learn(np.concatenate(x) if x else np.zeros((0, FEATURES), np.float32), bounds, np.array([r["label"] for r in rows]))
+    return learn(np.concatenate(x) if x else np.zeros((0, FEATURES), np.float32), bounds, np.array([r["label"] for r in rows]),
+                 weights=np.array([r["weight"] for r in rows]))
 
 
 def score_documents(docs: DataFrame, model: Model, keep: list[str] | None = None, text: str = "text") -> DataFrame:

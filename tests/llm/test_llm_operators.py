@@ -322,6 +322,34 @@ def test_quality(spark, docs, none):
     assert {r["score"] for r in quality.score_documents(docs, quality.fit(df, labels.where("quality = 1"), ~held)).collect()} == {1.0}
 
 
+def test_quality_sample_is_bounded_by_documents(spark, monkeypatch):
+    """Repeated label rows, repeated document rows and one id with many texts neither fill the sample nor pass its bound."""
+    texts = [(i, say(20) if i % 2 else say(20).upper()) for i in range(20)]
+    docs = spark.createDataFrame(texts + [texts[3]] * 50 + [(50, texts[5][1])], "doc_id LONG, text STRING")
+    rows = [(i, i % 2) for i, _ in texts] + [(3, 1)] * 50 + [(50, 1)]
+    labels = spark.createDataFrame(rows, "doc_id LONG, quality INT")
+    bags, inner = [], quality.learn
+    monkeypatch.setattr(quality, "learn", lambda x, bounds, labels, **k: bags.append((len(labels), k.get("weights"))) or inner(x, bounds, labels, **k))
+    quality.fit(docs, labels, F.lit(True), sample=25)
+    assert bags[-1][0] == 20 and sorted(bags[-1][1]) == [1.0] * 19 + [2.0]
+    many = spark.createDataFrame([(3, f"{say(5)} t{i}") for i in range(40)], "doc_id LONG, text STRING")
+    quality.fit(docs.unionByName(many), labels, F.lit(True), sample=25)
+    assert sum(bags[-1][1]) == 25
+    many = spark.createDataFrame([(3, f"{say(5)} t{i}") for i in range(2000)], "doc_id LONG, text STRING")
+    model = quality.fit(docs.unionByName(many), labels, F.lit(True), sample=25)
+    assert bags[-1][0] <= 25 and model.constant is None
+
+
+def test_weights_stand_for_repeated_bags():
+    r = np.random.default_rng(15)
+    x, labels = r.standard_normal((8, quality.FEATURES)), np.array([0.0, 1, 0, 1, 1, 0, 1, 0])
+    again = np.array([3, 1, 1, 2, 1, 1, 1, 1])
+    one = quality.learn(x, np.arange(9), labels, weights=again.astype(float))
+    many = quality.learn(np.repeat(x, again, 0), np.arange(again.sum() + 1), np.repeat(labels, again))
+    assert np.allclose(one.mean, many.mean) and np.allclose(one.scale, many.scale)
+    assert all(np.allclose(one.weights[k], many.weights[k], atol=1e-6) for k in many.weights)
+
+
 def test_empty_tables(spark, none):
     assert ngram_join.ngram_components(none).count() == 0
     assert substring_dedup.remove_repeated(none).count() == 0
