@@ -14,9 +14,9 @@ window whose word sequence also starts anywhere else is removed.
 3. Reference shards.  The different regions of the keys that have several are read
    from their documents and dealt into shards of about ``SHARD_WORDS`` words by
    key.  A shard's suffix automaton is built with the number of places of
-   every substring, and its regions stream through it: where the matching
-   statistic reaches ``size``, the state that holds the window says how
-   many places it has; two or more make a span.  A shard with its whole key range
+   every substring.  No text is streamed through it: the states of the shard's own
+   regions are read off the path of their construction, and the state that holds
+   a window says how many places it has; two or more make a span.  A shard with its whole key range
    takes the place of broadcasting every shard to every document, which would
    cost documents times shards.
 4. A key whose regions do not fit a shard (``HOT_WORDS``; a passage in very many
