@@ -6,9 +6,10 @@ numpy passes, so no operator loops over words in Python.  A batch is worked
 off in slices of a few megabytes (``text_slices``), so the scratch arrays stay
 small whatever the batch holds; one text is never cut.
 
-Hashes are 64 bits wide: polynomial sums modulo 2**64, finished by a mixing
-step.  They name words and runs of words; operators that must be exact compare
-the words themselves where the method says so.
+Hashes are 64 bits wide and name words and runs of words.  Every step goes
+through a mixing function before it is added or combined (``hash_spans``,
+``hash_windows``): sums of powers modulo 2**64 would give one hash to some words by
+construction, such as a Thue-Morse word and its complement.
 """
 
 from __future__ import annotations
@@ -21,10 +22,10 @@ import pyarrow.compute as pc
 
 SLICE_BYTES = 2 << 20
 
-_BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
-_BASE_INV = pow(_BASE, -1, 1 << 64)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-_powers: dict[int, np.ndarray] = {}
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+#: Masks for the first 0 to 8 bytes of a little-endian block.
+_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 def byte_table(excluded: list[tuple[int, int]]) -> np.ndarray:
@@ -95,31 +96,82 @@ def find_words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tupl
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def _power(base: int, n: int) -> np.ndarray:
-    """``base ** i`` modulo 2**64 for ``i < n`` (kept, and doubled in length when it falls short)."""
-    have = _powers.get(base)
-    if have is None or len(have) < n:
-        size, out = 1 << 16, np.ones(1, np.uint64)
-        while size < n:
-            size *= 2
-        while len(out) < size:
-            out = np.concatenate([out, out * np.uint64(pow(base, len(out), 1 << 64))])
-        _powers[base] = have = out
-    return have[:n]
+def mix(h: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit values in which every bit hangs on all others."""
+    h = h ^ (h >> np.uint64(30))
+    h *= _M1
+    h ^= h >> np.uint64(27)
+    h *= _M2
+    h ^= h >> np.uint64(31)
+    return h
 
 
-def mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(30))) * _M1
-    h = (h ^ (h >> np.uint64(27))) * _M2
-    return h ^ (h >> np.uint64(31))
+def _place(n: np.ndarray) -> np.ndarray:
+    """A value for each place of a block in its run."""
+    return mix(n.astype(np.uint64) * _STEP + _M1)
+
+
+def _blocks(data: np.ndarray) -> np.ndarray:
+    """The 8 bytes from each place of ``data`` as a number, zeros beyond its end; a view."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[:len(data)] = data
+    return np.ndarray(len(data) + 1, "<u8", padded, 0, (1,))
 
 
 def hash_spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each run ``values[start:end]``; equal runs get equal hashes wherever they stand."""
-    total = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * _power(_BASE, len(values)), out=total[1:])
-    h = (total[ends] - total[starts]) * _power(_BASE_INV, len(values) + 1)[starts]
-    return mix(h + (ends - starts).astype(np.uint64) * _M2)
+    """A 64-bit hash of each run ``values[start:end]``; equal runs get equal hashes wherever they stand.
+
+    Bytes are taken 8 at a time, other values one at a time.  Each of these blocks is mixed with
+    its place in the run; the sum of the mixed blocks and the length are mixed again.
+    """
+    size = np.asarray(ends, np.int64) - starts
+    if values.dtype == np.uint8:
+        step, blocks = 8, _blocks(values)
+        tail = _FIRST_BYTES[np.where(size > 0, (size - 1) % 8 + 1, 0)]
+    else:
+        step, blocks, tail = 1, np.append(values.astype(np.uint64), np.uint64(0)), None
+    count = np.maximum(-(-size // step), 1)                             # an empty run has one block, masked below
+    first = blocks[starts]
+    if tail is None:
+        first = np.where(size > 0, first, np.uint64(0))
+    else:
+        first = np.where(count > 1, first, first & tail)
+    total = mix(first ^ _place(np.zeros(1)))
+    longer = np.flatnonzero(count > 1)
+    for lo in range(0, len(longer), 1 << 16):                           # so many runs at a time, for the memory of their blocks
+        some = longer[lo:lo + (1 << 16)]
+        rest = count[some] - 1
+        place = ragged_arange(np.ones(len(some), np.int64), rest)
+        block = blocks[np.repeat(starts[some], rest) + place * step]
+        bounds = np.cumsum(rest)
+        if tail is not None:
+            block[bounds - 1] &= tail[some]
+        total[some] += np.add.reduceat(mix(block ^ _place(place)), bounds - rest)
+    return mix(total + size.astype(np.uint64) * _M2)
+
+
+def hash_windows(values: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """A 64-bit hash of the ``size`` values from each place ``at``; equal windows get equal hashes.
+
+    Hashes of 1, 2, 4, ... values are each mixed from two of half the size, and those that
+    the binary digits of ``size`` name are joined.  (Not the hashes that ``hash_spans`` gives.)
+    """
+    if not len(at):
+        return np.zeros(0, np.uint64)
+    half, span, found, done = mix(values.astype(np.uint64)), 1, None, 0
+    while True:
+        if size & span:
+            found = half[:len(values) - size + 1] if found is None else _joined(found, half[done:done + len(values) - size + 1])
+            done += span
+        if done == size:
+            return found[at]
+        half, span = _joined(half[:-span], half[span:]), 2 * span
+
+
+def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    h = a * _STEP
+    h += b
+    return mix(h)
 
 
 def window_starts(first_word: np.ndarray, size: int) -> np.ndarray:

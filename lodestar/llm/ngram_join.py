@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.llm import exchange
-from lodestar.llm.bytescan import NOT_SPACE, find_words, hash_spans, lower_ascii, mix, text_slices, window_starts
+from lodestar.llm.bytescan import NOT_SPACE, find_words, hash_spans, hash_windows, lower_ascii, mix, text_slices, window_starts
 from lodestar.llm.components import components, stored
 
 _DOCS = np.dtype([("node", "<u8"), ("n", "<u4")])
@@ -58,7 +58,7 @@ def ngram_sets(column, size: int) -> Iterator[tuple[np.ndarray, list[np.ndarray]
         starts, ends, first = find_words(data := lower_ascii(data), offsets, NOT_SPACE)
         words = hash_spans(data, starts, ends)
         at = window_starts(first, size)
-        grams = hash_spans(words, at, at + size)
+        grams = hash_windows(words, at, size)
         n_words = np.diff(first)
         short = (n_words > 0) & (n_words < size)
         whole = hash_spans(words, first[:-1][short], first[1:][short])

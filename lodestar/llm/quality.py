@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.bytescan import NOT_SPACE, find_words, hash_spans, lower_ascii, mix, ragged_arange, text_slices, window_starts
+from lodestar.llm.bytescan import NOT_SPACE, find_words, hash_spans, hash_windows, lower_ascii, mix, ragged_arange, text_slices, window_starts
 from lodestar.llm.components import stored
 
 PASSAGE = 64
@@ -118,7 +118,7 @@ def passages(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     run = np.zeros(len(h), bool)  # five words that stood in this text before
     at5 = window_starts(first, 5)
     if len(at5):
-        run[at5] = _repeats(mix(hash_spans(h, at5, at5 + 5) + of_text[at5]))
+        run[at5] = _repeats(mix(hash_windows(h, at5, 5) + of_text[at5]))
     last, head = data[ends - 1], data[starts]
     m = mean(length)
     cols = [np.log1p(n), m / 8, np.sqrt(np.maximum(mean(length * length) - m * m, 0)) / 8, mean(length <= 3), mean(length >= 14), mean(in_passage), mean(before),

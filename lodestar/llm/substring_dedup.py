@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.llm import exchange
-from lodestar.llm.bytescan import NOT_SPACE, find_words, hash_spans, mix, string_buffers, text_slices, window_starts
+from lodestar.llm.bytescan import NOT_SPACE, find_words, hash_spans, hash_windows, mix, string_buffers, text_slices, window_starts
 from lodestar.llm.components import stored
 
 ANCHOR = 8
@@ -61,7 +61,7 @@ def find_regions(words: np.ndarray, first_word: np.ndarray, size: int) -> tuple[
     at = window_starts(first_word, anchor)
     width, top = size - anchor + 1, np.uint64(0xFFFFFFFFFFFFFFFF)
     least = np.full(len(words) + size, top)
-    least[at] = hash_spans(words, at, at + anchor)
+    least[at] = hash_windows(words, at, anchor)
     span = 1
     while 2 * span <= width:
         least, span = np.minimum(least[:-span], least[span:]), 2 * span
@@ -77,7 +77,7 @@ def find_regions(words: np.ndarray, first_word: np.ndarray, size: int) -> tuple[
         return none, none, np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, bool)
     end = np.append(begin[1:], len(starts)) - 1
     region = np.cumsum(new) - 1
-    code = mix(hash_spans(words, starts, starts + size) + region.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    code = mix(hash_windows(words, starts, size) + region.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     ordered = np.sort(code)
     twice = ordered[1:][ordered[1:] == ordered[:-1]]
     own = np.zeros(len(begin), bool)
@@ -267,7 +267,7 @@ def _single_windows(batches: Iterator[pa.RecordBatch], size: int, buckets: int)
             extra, docs = np.zeros(len(at), _WINDOW), np.zeros(hi - lo, _OWNER)
             extra["at"], extra["places"] = at - first[number], batch.column("places").to_numpy()[lo:hi][number]
             docs["content"], docs["key"] = batch.column("content").to_numpy()[lo:hi], batch.column("key").to_numpy()[lo:hi]
-            yield exchange.pack(serial, hash_spans(words, at, at + size), number, extra, docs.tobytes(), buckets)
+            yield exchange.pack(serial, hash_windows(words, at, size), number, extra, docs.tobytes(), buckets)
             serial += 1
             lo = hi
 
