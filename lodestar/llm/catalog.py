@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import decontaminate, embedding_dedup, language_model, ngram_join, packing, quality, records, substring_dedup, token_counts, url_filter
+from lodestar.llm import (alignment, conversation_repair, decontaminate, embedding_dedup, language_model, ngram_join, packing, quality, records,
+                          secret_scan, substring_dedup, token_counts, url_filter)
 from lodestar.sources.tables import table
 
 #: Fixed values of the url query: (host, path, verdict).
@@ -80,8 +81,22 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(docs, size=4, threshold=85).select("doc_id", "n_shingles", "component_id")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_digest(secret_scan.find_secrets(table(spark, sf_dir, "documents"), keep=["doc_id"]), keep=["doc_id"])
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = alignment.Files(tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+    return alignment.align_documents(table(spark, sf_dir, "documents"), files, keep=["doc_id"])
+
+
 QUERIES = {f.__name__: f for f in (op1_quality, op2_substring_dedup, op3_token_records, op4_decontamination, op5_embedding_dedup, op6_url_filter,
-                                   op7_token_counts, op8_packing, op9_language_model, op10_ngram_join)}
+                                   op7_token_counts, op8_packing, op9_language_model, op10_ngram_join,
+                                   op11_conversation_repair, op12_secret_scan, op13_token_alignment)}
 
 _RULE_VALUES = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
 
