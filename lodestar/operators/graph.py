@@ -44,6 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.functions import hotkeys
+from lodestar.operators import colours
 from lodestar.session import shared_dir
 
 
@@ -199,29 +200,66 @@ def _corners(edges: DataFrame, src: str, dst: str, order: str, canonical: bool,
     return j.select("u", "v", F.array_intersect("nu", "nv").alias("c"))
 
 
+def neighbourhood(canon: DataFrame, nodes: DataFrame, max_hot: int = MAX_HOT) -> DataFrame:
+    """The edges of ``canon`` that triangles through ``nodes`` (``id``) can have: both ends are wanted or next to a wanted vertex.
+
+    The wanted vertices and then the vertices next to them are written to the shared folder
+    and counted; up to ``max_hot`` ids are broadcast, so the edges are only filtered where they
+    lie, and more are joined by shuffles of plain tables (whose hot keys adaptive execution splits).
+    """
+    def within(ids: DataFrame, name: str) -> DataFrame:
+        ids = _stored(ids, name)
+        return F.broadcast(ids) if ids.limit(max_hot + 1).count() <= max_hot else ids
+
+    wanted = within(nodes.select("id").where("id is not null").distinct(), "wanted")
+    next_to = [canon.join(wanted, F.col(end) == F.col("id"), "left_semi").select(F.explode(F.array("a", "b")).alias("id")) for end in ("a", "b")]
+    near = within(next_to[0].unionByName(next_to[1]).distinct(), "neighbourhood")
+    return canon.join(near, F.col("a") == F.col("id"), "left_semi").join(near, F.col("b") == F.col("id"), "left_semi")
+
+
+def _by_colours(edges: DataFrame, src: str, dst: str, canonical: bool, store_input: bool, task_edges: int) -> colours.Parts:
+    canon = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")) if canonical else canonical_edges(edges, src, dst)
+    canon = _stored(canon, "canonical-edges", store_input or not canonical)
+    return colours.Parts(canon, degrees(canon), _stored, task_edges)
+
+
 def triangle_counts(edges: DataFrame, src: str = "src", dst: str = "dst",
                     nodes: DataFrame | None = None, order: str = "degree",
                     canonical: bool = False, hot_degree: int = HOT_DEGREE,
-                    max_hot: int = MAX_HOT, store_input: bool = True) -> DataFrame:
+                    max_hot: int = MAX_HOT, store_input: bool = True,
+                    method: str = "adjacency", task_edges: int = colours.TASK_EDGES) -> DataFrame:
     """``(id, count)``: number of triangles through each vertex, for every
     vertex of ``edges`` (a vertex whose only edge is a self-loop, or that is
     in no triangle, gets 0).  Edge direction is ignored and duplicate edges
     count once.
 
     ``nodes``: optional DataFrame with an ``id`` column; only those vertices
-    (that are in the graph) are returned;
-    counts of other vertices are dropped before the aggregate.
+    (that are in the graph) are returned, and only the edges of their
+    :func:`neighbourhood` are oriented and intersected.
+
+    ``method``: ``"adjacency"`` (above; ``order``, ``hot_degree`` and ``max_hot`` are its parameters) or
+    ``"colours"`` (:mod:`lodestar.operators.colours`, tasks of about ``task_edges`` edges).
 
     ``store_input``: see :func:`closing_corners`.
     """
+    if method not in ("adjacency", "colours"):
+        raise ValueError("method must be 'adjacency' or 'colours'")
     edges = _stored(edges, "edges", store_input)  # read three times: degrees, the count, the zero rows
-    t = _corners(edges, src, dst, order, canonical, hot_degree, max_hot).filter(F.size("c") > 0)
-    n = F.size("c").cast("bigint")
-    # u and v are in |c| triangles each; every w in c is in one more.
-    contrib = t.select(F.inline(F.concat(
-        F.array(F.struct(F.col("u").alias("id"), n.alias("cnt")),
-                F.struct(F.col("v").alias("id"), n.alias("cnt"))),
-        F.transform("c", lambda w: F.struct(w.alias("id"), F.lit(1).cast("bigint").alias("cnt"))))))
+    counted, ends, is_canonical = edges, (src, dst), canonical
+    if nodes is not None:
+        counted = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")) if canonical else canonical_edges(edges, src, dst)
+        counted = _stored(neighbourhood(counted if canonical else _stored(counted, "canonical-edges"), nodes, max_hot), "neighbourhood-edges")
+        ends, is_canonical = ("a", "b"), True
+    if method == "colours":
+        contrib = _by_colours(counted, *ends, is_canonical, False, task_edges).counts()
+    else:
+        t = _corners(counted, *ends, order, is_canonical, hot_degree, max_hot).filter(F.size("c") > 0)
+        n = F.size("c").cast("bigint")
+        # u and v are in |c| triangles each; every w in c is in one more.
+        contrib = t.select(F.inline(F.concat(
+            F.array(F.struct(F.col("u").alias("id"), n.alias("cnt")),
+                    F.struct(F.col("v").alias("id"), n.alias("cnt"))),
+            F.transform("c", lambda w: F.struct(w.alias("id"), F.lit(1).cast("bigint").alias("cnt"))))))
     # Every endpoint also contributes 0, so vertices without a triangle are kept.
     zeros = edges.select(F.explode(F.array(F.col(src), F.col(dst))).alias("id")) \
         .filter(F.col("id").isNotNull()).select("id", F.lit(0).cast("bigint").alias("cnt"))
@@ -233,9 +271,15 @@ def triangle_counts(edges: DataFrame, src: str = "src", dst: str = "dst",
 
 def triangle_total(edges: DataFrame, src: str = "src", dst: str = "dst",
                    order: str = "degree", canonical: bool = False,
-                   hot_degree: int = HOT_DEGREE, max_hot: int = MAX_HOT, store_input: bool = True) -> DataFrame:
+                   hot_degree: int = HOT_DEGREE, max_hot: int = MAX_HOT, store_input: bool = True,
+                   method: str = "adjacency", task_edges: int = colours.TASK_EDGES) -> DataFrame:
     """One row ``total``: number of unique triangles (integer).  Counts the
-    closing corners per oriented edge; no per-vertex sum and no division."""
+    closing corners per oriented edge; no per-vertex sum and no division.
+    ``method``: see :func:`triangle_counts`."""
+    if method not in ("adjacency", "colours"):
+        raise ValueError("method must be 'adjacency' or 'colours'")
+    if method == "colours":
+        return _by_colours(edges, src, dst, canonical, store_input, task_edges).total()
     t = closing_corners(edges, src, dst, order, canonical, hot_degree, max_hot, store_input)
     return t.agg(F.coalesce(F.sum(F.size("c").cast("bigint")), F.lit(0).cast("bigint")).alias("total"))
 

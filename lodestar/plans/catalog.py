@@ -31,6 +31,7 @@ EMPTY_CLUSTER_CENTERS = [(10.0, 0.02, 0.02), (40.0, 0.08, 0.06), (1000.0, 1000.0
 LLOYD_K, LLOYD_ITERS, LLOYD_DIGITS = 2, 3, 12
 TINY, SHIFT = 1e-6, 1e9
 ARRAY_CENTERS = [[0.2 if i % 3 == j else -0.1 for i in range(64)] for j in range(3)]
+SMALL_TASK = 50_000             # edges of a colour task in triangle_counts_colours
 SUBSET_MAX_SIZE = 10            # triangle_counts_subset: parts with p_size <= 10
 FOREST_FEATURES = [*FEATURES, "new_feature"]
 
@@ -291,6 +292,20 @@ def triangle_total_id_order(spark, sf):
     return graph.triangle_total(part_graph(spark, sf), "a", "b", order="id", canonical=True)
 
 
+def triangle_total_colours(spark, sf):
+    return graph.triangle_total(part_graph(spark, sf), "a", "b", canonical=True, method="colours")
+
+
+def triangle_counts_colours(spark, sf):
+    """From the raw directed list, by colour triples of small tasks, some vertices heavy."""
+    return graph.triangle_counts(messy_part_edges(spark, sf), method="colours", task_edges=SMALL_TASK)
+
+
+def triangle_counts_subset_colours(spark, sf):
+    nodes = table(spark, sf, "part").filter(F.col("p_size") <= SUBSET_MAX_SIZE).select(F.col("p_partkey").alias("id"))
+    return graph.triangle_counts(part_graph(spark, sf), "a", "b", nodes=nodes, canonical=True, method="colours")
+
+
 def triangle_total_from_counts(spark, sf):
     return graph.total_from_counts(triangle_counts_raw(spark, sf))
 
@@ -347,6 +362,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     edges_cast, graph_vertices, graph_canonical_edges,
     triangle_counts, triangle_counts_raw, triangle_counts_subset,
     triangle_total, triangle_total_id_order, triangle_total_from_counts,
+    triangle_total_colours, triangle_counts_colours, triangle_counts_subset_colours,
     csv_roundtrip, csv_inferred_roundtrip, edgelist_roundtrip, edges_tsv_roundtrip, edge_list_short_lines,
     synth_points,
 ]}

@@ -286,6 +286,9 @@ def oracle_sql() -> dict[str, str]:
         "triangle_total": TRI_TOTAL,
         "triangle_total_id_order": TRI_TOTAL,
         "triangle_total_from_counts": TRI_TOTAL,
+        "triangle_total_colours": TRI_TOTAL,
+        "triangle_counts_colours": tri_counts(),
+        "triangle_counts_subset_colours": tri_counts(f"WHERE V.id IN (SELECT p_partkey FROM part WHERE p_size <= {C.SUBSET_MAX_SIZE})"),
         "csv_roundtrip": _points(f"SELECT {POINT_COLS} FROM P"),
         "csv_inferred_roundtrip": _points(f"SELECT {POINT_COLS} FROM P"),
         "edgelist_roundtrip": f"WITH {E} SELECT a AS src, b AS dst FROM E",
