@@ -11,7 +11,7 @@ def test_tail_split_exact(spark):
     random.Random(3).shuffle(keys)
     df = spark.createDataFrame([(k, k % 7) for k in keys], "k BIGINT, g INT").repartition(5)
     for frac in (0.3, 0.5, 0.01):
-        out = S.with_tail_side(df, ["k"], frac, num_buckets=8)
+        out = S.with_tail_side(df, ["k"], frac, look=20)
         train = sorted(r["k"] for r in out.filter("is_train").collect())
         n_train = int(1000 * (1 - frac))
         assert train == list(range(n_train))
@@ -44,13 +44,13 @@ def test_random_split_covers(spark):
     assert t.join(v, "id").count() == 0
 
 
-@pytest.mark.parametrize("buckets", [2, 4, 64])
-def test_tail_split_iterative_narrowing(spark, buckets):
+@pytest.mark.parametrize("look", [1, 30, 500])
+def test_tail_split_iterative_narrowing(spark, look):
     import random
     keys = [(a, b) for a in range(40) for b in range(30)]
     random.Random(9).shuffle(keys)
     df = spark.createDataFrame(keys, "a BIGINT, b BIGINT").repartition(6)
-    out = S.with_tail_side(df, ["a", "b"], 0.3, num_buckets=buckets)
+    out = S.with_tail_side(df, ["a", "b"], 0.3, look=look)
     n_train = int(1200 * 0.7)
     assert sorted(tuple(r[:2]) for r in out.filter("is_train").collect()) == sorted(keys)[:n_train]
     assert out.count() == 1200
@@ -59,7 +59,7 @@ def test_tail_split_iterative_narrowing(spark, buckets):
 def test_tail_split_repeated_key_at_cut(spark):
     data = [(1, i) for i in range(10)] + [(2, 0)] * 50 + [(3, i) for i in range(40)]
     df = spark.createDataFrame(data, "a BIGINT, b BIGINT")
-    out = S.with_tail_side(df, ["a", "b"], 0.3, num_buckets=4)
+    out = S.with_tail_side(df, ["a", "b"], 0.3, look=4)
     assert out.filter("is_train").count() == 70
     # sorted: 10 rows a=1, 50 copies of (2, 0), then a=3 with b = 0..39 -> the first 70 are train
     assert sorted(r["b"] for r in out.filter("is_train AND a = 3").collect()) == list(range(10))
@@ -69,7 +69,7 @@ def test_tail_split_repeated_key_at_cut(spark):
 def test_tail_split_cut_inside_repeated_key(spark):
     data = [(1, i) for i in range(10)] + [(2, 0)] * 80 + [(3, i) for i in range(10)]
     df = spark.createDataFrame(data, "a BIGINT, b BIGINT").repartition(4)
-    out = S.with_tail_side(df, ["a", "b"], 0.3, num_buckets=4)
+    out = S.with_tail_side(df, ["a", "b"], 0.3, look=4)
     assert out.count() == 100 and out.filter("is_train").count() == 70
     assert out.filter("is_train AND a = 2").count() == 60
     assert out.filter("NOT is_train AND a = 1").count() == 0 and out.filter("is_train AND a = 3").count() == 0
@@ -87,7 +87,7 @@ def test_tail_split_counts_hold_after_a_shuffle_of_wide_rows(spark, persist):
 
 def test_tail_split_of_equal_rows(spark):
     df = spark.createDataFrame([(1, "a")] * 40 + [(0, "b")] * 5, "k INT, v STRING")
-    out = S.with_tail_side(df, ["k"], 0.4, num_buckets=2)
+    out = S.with_tail_side(df, ["k"], 0.4, look=2)
     assert out.count() == 45 and out.filter("is_train").count() == 27
     assert out.filter("is_train and k = 0").count() == 5
 
@@ -95,8 +95,8 @@ def test_tail_split_of_equal_rows(spark):
 def test_tail_split_puts_nulls_first_and_loses_none(spark):
     keys = [None] * 100 + list(range(900))
     df = spark.createDataFrame([(k,) for k in keys], "k INT").repartition(5)
-    for buckets in (2, 64):
-        out = S.with_tail_side(df, ["k"], 0.3, num_buckets=buckets)
+    for look in (2, 64):
+        out = S.with_tail_side(df, ["k"], 0.3, look=look)
         assert out.count() == 1000 and out.filter("is_train").count() == 700
         assert out.filter("is_train and k is null").count() == 100
         assert out.filter("is_train").agg({"k": "max"}).first()[0] == 599
@@ -106,3 +106,40 @@ def test_tail_split_leaves_nothing_persisted(spark):
     before = spark.sparkContext._jsc.getPersistentRDDs().size()
     S.with_tail_side(spark.range(100), ["id"], 0.3).count()
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def _order(v):
+    return (v is not None, v is not None and v != v, v if v is not None and v == v else 0)
+
+
+@pytest.mark.parametrize("kind", ["DOUBLE", "FLOAT", "STRING", "DATE", "TIMESTAMP", "DECIMAL(9,2)", "INT", "BOOLEAN"])
+@pytest.mark.parametrize("rank", [1, 333, 640])
+def test_cut_of_any_type_of_key(spark, kind, rank):
+    """The row at a rank, what lies before it and its copies, with nulls, NaN and repeated values."""
+    import datetime
+    import decimal
+    import random
+    rng = random.Random(rank)
+    make = {"DOUBLE": lambda: rng.choice([float("nan"), rng.gauss(0, 1), 0.5, -1e300]), "FLOAT": lambda: rng.choice([float("nan"), float(rng.randrange(9)), 1.5]),
+            "STRING": lambda: "".join(rng.choices("ab", k=rng.randrange(6))), "DATE": lambda: datetime.date(2020, 1, 1) + datetime.timedelta(rng.randrange(-50, 50)),
+            "TIMESTAMP": lambda: datetime.datetime(2020, 1, 1) + datetime.timedelta(microseconds=rng.randrange(200)),
+            "DECIMAL(9,2)": lambda: decimal.Decimal(rng.randrange(-300, 300)) / 100, "INT": lambda: rng.randrange(-20, 20), "BOOLEAN": lambda: rng.random() < 0.3}[kind]
+    data = [(make() if rng.random() > 0.1 else None, rng.choice([None, *range(5)])) for _ in range(700)]
+    df = spark.createDataFrame(data, f"a {kind}, b INT").repartition(3)
+    plain = sorted((tuple(r) for r in df.collect()), key=lambda r: tuple(map(_order, r)))
+    same = lambda r: tuple(map(_order, r))
+    want = same(plain[rank - 1])
+    at, before, copies = S.find_cut(df, ["a", "b"], rank, 700, look=5)
+    assert same(at) == want and before == [same(r) for r in plain].index(want) and copies == sum(same(r) == want for r in plain)
+
+
+def test_a_few_rounds_find_a_cut_in_many_rows(spark):
+    df = spark.range(300_000).selectExpr("id * 7919 % 300007 as a", "id")
+    seen = []
+    real = S._Column
+    try:
+        S._Column = lambda *args: seen.append(1) or real(*args)
+        at, before, copies = S.find_cut(df, ["a", "id"], 210_000, 300_000)
+    finally:
+        S._Column = real
+    assert (before, copies) == (209_999, 1) and len(seen) == 1
