@@ -38,7 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.bytescan import SLICE_BYTES, ragged_arange, string_buffers
+from lodestar.llm.bytescan import SLICE_BYTES, ragged_arange, string_buffers, text_slices
 from lodestar.llm.components import stored
 from lodestar.llm.encoding import ChunkEncoder, encoder
 
@@ -254,21 +254,27 @@ def _encoded(batches: Iterator[pa.RecordBatch], files: Files, spelling) -> Itera
     """Ids of both sides of each text, as little-endian 32-bit numbers; none where either does not spell the text."""
     for batch in batches:
         text = _wide(batch.column("__text"))
-        sides = []
-        data, offsets = string_buffers(text)
-        data, offsets = data[offsets[0]:offsets[-1]], offsets - offsets[0]
-        good = np.diff(offsets) > 0
-        for enc, spelt in zip((encoder(files.a), piece_encoder(files.b)), spelling.value):
-            ids, counts = enc.encode(text)
-            good = good & spelt.spells(ids, counts, data, offsets)
-            sides.append((ids, counts))
+        found: tuple[list, list] = ([], [])
+        for lo, hi, data, offsets in text_slices(text):
+            some = text.slice(lo, hi - lo)
+            good = np.diff(offsets) > 0
+            sides = []
+            for enc, spelt in zip((encoder(files.a), piece_encoder(files.b)), spelling.value):
+                ids, counts = enc.encode(some)
+                good = good & spelt.spells(ids, counts, data, offsets)
+                sides.append((ids, counts))
+            for out, (ids, counts) in zip(found, sides):
+                out.append((ids[np.repeat(good, counts)].astype("<u4"), np.where(good, counts, 0)))
         rest = batch.drop_columns(["__text"])
-        columns = []
-        for ids, counts in sides:
-            raw = ids[np.repeat(good, counts)].astype("<u4").tobytes()
-            edge = 4 * np.concatenate([[0], np.cumsum(np.where(good, counts, 0))])
-            columns.append(pa.Array.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(edge.astype("<i8").tobytes()), pa.py_buffer(raw)]).cast(pa.binary()))
-        yield pa.RecordBatch.from_arrays([*rest.columns, *columns], names=[*rest.schema.names, "__a", "__b"])
+        yield pa.RecordBatch.from_arrays([*rest.columns, *map(_binaries, found)], names=[*rest.schema.names, "__a", "__b"])
+
+
+def _binaries(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.Array:
+    """Runs of ids and how many each text has, as one binary value a text."""
+    counts = np.concatenate([np.zeros(0, np.int64), *(n for _, n in parts)])
+    ends = (4 * np.concatenate([[0], np.cumsum(counts)])).astype("<i8")
+    raw = b"".join(ids.tobytes() for ids, _ in parts)
+    return pa.Array.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(raw)]).cast(pa.binary())
 
 
 def _slices(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
