@@ -15,6 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestar.functions.exact import exact_sums
 from lodestar.sources.tables import FEATURES
 
 
@@ -50,22 +51,33 @@ def column_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return wide.selectExpr(f"stack({len(cols)}, {parts}) AS (column, n, mean, std_samp, std_pop)")
 
 
+def exact_column_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """As :func:`column_stats`, from sums without rounding (:mod:`lodestar.functions.exact`): bit for bit
+    the same however the rows are ordered and partitioned.  A column with an infinite or NaN value has NaN statistics."""
+    sums = exact_sums(df, cols)
+    rows = [(c, s.n, s.mean, s.std(1), s.std(0)) for c, s in sums.items()]
+    return df.sparkSession.createDataFrame(rows, "column STRING, n BIGINT, mean DOUBLE, std_samp DOUBLE, std_pop DOUBLE")
+
+
 def significant(x: float | None, digits: int) -> float | None:
     """``x`` at so many significant digits, whatever its magnitude."""
     return None if x is None else float(f"{x:.{digits - 1}e}")
 
 
 def fit_standardizer(df: DataFrame, cols: Sequence[str], ddof: int = 1,
-                     digits: int | None = None) -> list[tuple[float, float]]:
+                     digits: int | None = None, exact: bool = False) -> list[tuple[float, float]]:
     """Mean and standard deviation (``ddof`` 1 = sample, 0 = population) of
     each column, from one aggregate job; returns ``[(mean, std), ...]``.
 
     Floating sums differ in their last bits with the order of the rows.
     ``digits`` keeps that many significant digits of each statistic (12 are
     well above those bits), so algorithms with discontinuous steps, such as
-    nearest-center ties, take the same steps on every partitioning."""
+    nearest-center ties, take the same steps on every partitioning.  ``exact`` sums without
+    rounding (:mod:`lodestar.functions.exact`), so no digit differs, at the price of a row per value in the aggregate."""
     if ddof not in (0, 1):
         raise ValueError("ddof must be 0 or 1")
+    if exact:
+        return [(s.mean, s.std(ddof)) for s in exact_sums(df, cols).values()]
     std = F.stddev_samp if ddof == 1 else F.stddev_pop
     row = df.agg(*[f(c).alias(f"{k}{i}") for i, c in enumerate(cols) for k, f in (("m", F.avg), ("s", std))]).first()
     stats = [(row[f"m{i}"], row[f"s{i}"]) for i in range(len(cols))]
@@ -94,10 +106,10 @@ def apply_standardizer(df: DataFrame, cols: Sequence[str], stats: Sequence[tuple
 
 def standardize(df: DataFrame, cols: Sequence[str], with_mean: bool = True,
                 with_std: bool = True, ddof: int = 0, suffix: str = "",
-                digits: int | None = None) -> DataFrame:
+                digits: int | None = None, exact: bool = False) -> DataFrame:
     """Standardize named double columns: one aggregate job for the
     statistics, then one ``select`` with them as literals."""
-    stats = fit_standardizer(df, cols, ddof, digits)
+    stats = fit_standardizer(df, cols, ddof, digits, exact)
     return apply_standardizer(df, cols, stats, with_mean, with_std, suffix)
 
 

@@ -13,7 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.operators import classify, clustering, features, graph, split
+from lodestar.operators import bagging, classify, clustering, features, graph, split
 from lodestar.plans import jobs
 from lodestar.session import shared_dir
 from lodestar.sources import edges as edge_io
@@ -34,6 +34,7 @@ ARRAY_CENTERS = [[0.2 if i % 3 == j else -0.1 for i in range(64)] for j in range
 SMALL_TASK = 50_000             # edges of a colour task in triangle_counts_colours
 SUBSET_MAX_SIZE = 10            # triangle_counts_subset: parts with p_size <= 10
 FOREST_FEATURES = [*FEATURES, "new_feature"]
+BAG_SEED, BAG_RATE, BAG_BINS = 42, 0.8, 32
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,6 +79,20 @@ def column_stats_magnitudes(spark, sf):
     return s.select("column", "n", *[F.round(F.col(c) / unit, 4).alias(c) for c in ("mean", "std_samp", "std_pop")])
 
 
+def column_stats_exact(spark, sf):
+    """Sums without rounding, of features at three magnitudes: not rounded for the comparison but to a relative 1e-12."""
+    f = [F.col(c) for c in FEATURES]
+    df = points_view(spark, sf).select(f[0].alias("plain"), (f[0] * TINY).alias("tiny"), (f[1] * SHIFT).alias("large"))
+    s = features.exact_column_stats(df, ["plain", "tiny", "large"])
+    unit = F.when(F.col("column") == "tiny", TINY).when(F.col("column") == "large", SHIFT).otherwise(1.0)
+    return s.select("column", "n", *[F.round(F.col(c) / unit, 10).alias(c) for c in ("mean", "std_samp", "std_pop")])
+
+
+def standardize_exact(spark, sf):
+    df = features.standardize(points_view(spark, sf).select(*POINT_KEY, *FEATURES), FEATURES, ddof=0, exact=True)
+    return df.select(*POINT_KEY, *[_r(c) for c in FEATURES])
+
+
 # ---- standardization --------------------------------------------------------
 
 def standardize_sample(spark, sf):
@@ -235,6 +250,37 @@ def model_roundtrip(spark, sf):
     return j.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(wrong.cast("bigint")), F.lit(0)).alias("mismatches"))
 
 
+def forest_bag_weights(spark, sf):
+    """Draws of four trees: Poisson counts, and rows kept with probability 0.8."""
+    df = points_view(spark, sf).select(*POINT_KEY)
+    df = bagging.bag_weights(df, POINT_KEY, 4, 1.0, True, BAG_SEED)
+    return bagging.bag_weights(df, POINT_KEY, 4, BAG_RATE, False, BAG_SEED, prefix="b")
+
+
+def _bagged(spark, sf, **forest):
+    train, valid = _forest_data(spark, sf)
+    return bagging.fit_bagged_forest(train, FOREST_FEATURES, POINT_KEY, seed=BAG_SEED, **forest), valid
+
+
+def stump_scores(spark, sf):
+    """One tree of depth 1 on all rows and features: classes and probabilities of the held-out rows."""
+    model, valid = _bagged(spark, sf, num_trees=1, max_depth=1, rate=1.0, replacement=False)
+    return bagging.bagged_scores(model, valid, POINT_KEY).select(*POINT_KEY, "prediction", F.round("p1", 9).alias("p1"))
+
+
+def bagged_stump_scores(spark, sf):
+    """Four trees of depth 1, each on 0.8 of the rows and 0.5 of the features."""
+    model, valid = _bagged(spark, sf, num_trees=4, max_depth=1, rate=BAG_RATE, replacement=False, feature_fraction=0.5)
+    return bagging.bagged_scores(model, valid, POINT_KEY).select(*POINT_KEY, "prediction", F.round("p1", 9).alias("p1"))
+
+
+def forest_staged_metrics(spark, sf):
+    """Metrics of the held-out rows after 1 to 4 trees of depth 1 on Poisson draws."""
+    model, valid = _bagged(spark, sf, num_trees=4, max_depth=1, rate=1.0, replacement=True, feature_fraction=0.5)
+    m = bagging.staged_metrics(bagging.staged_scores(model, valid, ["label"]))
+    return m.select("trees", "n", _r("accuracy"), _r("log_loss"))
+
+
 def rule_metrics(spark, sf):
     """The metrics of a fixed rule's scores (many tied scores)."""
     p1 = F.col(FEATURES[0]) / 51.0
@@ -353,12 +399,13 @@ def synth_points(spark, sf):
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in [
-    points_project, points_derive_filter, points_derive_filter_original, label_counts, column_stats, column_stats_magnitudes, repartitioned,
-    standardize_sample, standardize_population, standardize_std_only,
+    points_project, points_derive_filter, points_derive_filter_original, label_counts, column_stats, column_stats_magnitudes, column_stats_exact, repartitioned,
+    standardize_sample, standardize_population, standardize_std_only, standardize_exact,
     assign_nearest_fixed, assign_nearest_array, update_centers_empty, lloyd_centers, lloyd_cluster_sizes,
     kmeans_cluster_sizes, kmeans_centers, kmeans_checks,
     split_hash, split_tail, split_tail_ties, split_tail_nulls, split_random, split_random_cover,
     forest_scores, forest_sampled_scores, forest_metrics, model_roundtrip, rule_metrics, phase_report,
+    forest_bag_weights, stump_scores, bagged_stump_scores, forest_staged_metrics,
     edges_cast, graph_vertices, graph_canonical_edges,
     triangle_counts, triangle_counts_raw, triangle_counts_subset,
     triangle_total, triangle_total_id_order, triangle_total_from_counts,

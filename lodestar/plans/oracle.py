@@ -7,6 +7,7 @@ functions.  Column names and rounding match ``lodestar.plans.catalog``.
 
 from __future__ import annotations
 
+from lodestar.operators import bagging
 from lodestar.plans import catalog as C
 
 KEY = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
@@ -83,6 +84,11 @@ def column_stats_magnitudes() -> str:
     return _points(f"{tiny} UNION ALL {_stats('shifted', f'{F1} + {d(C.SHIFT)}', digits=4, mean_digits=4)}")
 
 
+def column_stats_exact() -> str:
+    parts = [_stats("plain", F1, digits=10, mean_digits=10), _stats("tiny", f"{F1} * {d(C.TINY)}", d(C.TINY), 10, 10), _stats("large", f"{F2} * {d(C.SHIFT)}", d(C.SHIFT), 10, 10)]
+    return _points(" UNION ALL ".join(parts))
+
+
 def assign_array() -> str:
     ds = ", ".join("list_sum(list_transform(range(1, len(v) + 1), lambda i: (v[i] - c[i]) * (v[i] - c[i])))".replace("c[i]", f"([{', '.join(map(repr, c))}])[i]")
                    + f" AS d{j}" for j, c in enumerate(C.ARRAY_CENTERS))
@@ -192,6 +198,59 @@ def lloyd(k: int, iters: int, what: str) -> str:
 HASH_BUCKET = (f"CAST(CAST('0x' || substr(md5(concat_ws('|', {KEY})), 1, 8) AS BIGINT) % 100 AS INTEGER)")
 
 
+def uniform(salt: str, seed: int) -> str:
+    digest = f"md5('{seed}:{salt}:' || concat_ws('|', {KEY}))"
+    return f"((CAST(CAST('0x' || substr({digest}, 1, 8) AS BIGINT) AS DOUBLE) + {d(0.5)}) / {d(4294967296.0)})"
+
+
+def bag_weight(tree: int, rate: float, replacement: bool) -> str:
+    u = uniform(f"tree{tree}", C.BAG_SEED)
+    if not replacement:
+        return f"CAST({u} < {d(rate)} AS INTEGER)"
+    return "(" + " + ".join(f"CAST({u} >= {d(p)} AS INTEGER)" for p in bagging.poisson_steps(rate)) + ")"
+
+
+def bag_weights() -> str:
+    outs = [f"{bag_weight(t, 1.0, True)} AS w{t}" for t in range(4)] + [f"{bag_weight(t, C.BAG_RATE, False)} AS b{t}" for t in range(4)]
+    return _points(f"SELECT {KEY}, {', '.join(outs)} FROM P")
+
+
+def stumps(trees: int, rate: float, replacement: bool, fraction: float, out: str) -> str:
+    """Trees of depth 1: quantile bins of the rows of least md5, and per tree the cut with the largest
+    gain of weighted gini impurity (the first feature and cut of several); two leaves of one class are merged."""
+    cols = C.FOREST_FEATURES
+    q = derive_filter(C.FILTER_MAX_F2_F3)
+    ctes = [f"Q AS MATERIALIZED (SELECT *, {HASH_BUCKET} < 70 AS t FROM ({q}))",
+            f"H AS (SELECT {', '.join(cols)} FROM Q WHERE t ORDER BY md5(concat_ws('|', {KEY})) LIMIT {bagging.BIN_SAMPLE})"]
+    for j, c in enumerate(cols):
+        ctes += [f"L{j} AS (SELECT list({c} ORDER BY {c}) AS l FROM H)",
+                 f"X{j} AS (SELECT list(DISTINCT v ORDER BY v) AS l FROM (SELECT l[i * len(l) // {C.BAG_BINS} + 1] AS v FROM L{j}, range(1, {C.BAG_BINS}) r(i)))"]
+    bins = ", ".join(f"len(list_filter((SELECT l FROM X{j}), lambda x: x <= {c})) AS b{j}" for j, c in enumerate(cols))
+    ctes.append(f"Z AS MATERIALIZED (SELECT {KEY}, t, label, {bins} FROM Q)")
+    for t, names in enumerate(bagging.tree_features(cols, trees, fraction, C.BAG_SEED)):
+        w = bag_weight(t, rate, replacement)
+        counts = " UNION ALL ".join(f"SELECT {cols.index(c)} AS f, b{cols.index(c)} AS b, CAST(sum(w) AS DOUBLE) AS n, CAST(sum(w * label) AS DOUBLE) AS p FROM W{t} GROUP BY b{cols.index(c)}"
+                                    for c in names)
+        gini = lambda n, p: f"(1 - ({p} / {n}) * ({p} / {n}) - (1 - {p} / {n}) * (1 - {p} / {n}))"
+        ctes += [f"W{t} AS MATERIALIZED (SELECT *, {w} AS w FROM Z WHERE t)",
+                 f"G{t} AS (SELECT f, b, sum(n) OVER (PARTITION BY f ORDER BY b) AS n, sum(p) OVER (PARTITION BY f ORDER BY b) AS p,"
+                 f" sum(n) OVER (PARTITION BY f) AS nn, sum(p) OVER (PARTITION BY f) AS pp FROM ({counts}) WHERE n > 0)",
+                 f"A{t} AS (SELECT f, b, p / n AS lo, (pp - p) / (nn - n) AS hi, pp / nn AS whole FROM G{t} WHERE n < nn ORDER BY "
+                 f"round({gini('nn', 'pp')} - n / nn * {gini('n', 'p')} - (nn - n) / nn * {gini('(nn - n)', '(pp - p)')}, 12) DESC, f, b LIMIT 1)",
+                 f"S{t} AS (SELECT f, b, CASE WHEN same THEN whole ELSE lo END AS lo, CASE WHEN same THEN whole ELSE hi END AS hi"
+                 f" FROM (SELECT *, (lo > 0.5) = (hi > 0.5) AS same FROM A{t}))"]
+    one = lambda t: (f"(SELECT CASE WHEN (CASE S{t}.f " + " ".join(f"WHEN {j} THEN b{j}" for j in range(len(cols))) + f" END) <= S{t}.b THEN S{t}.lo ELSE S{t}.hi END FROM S{t})")
+    ctes.append(f"R AS (SELECT {KEY}, label, {', '.join(f'{one(t)} AS p{t}' for t in range(trees))} FROM Z WHERE NOT t)")
+    mean = lambda t: "(" + " + ".join(f"p{i}" for i in range(t + 1)) + f") / {t + 1}"
+    head = "WITH " + ",\n".join(ctes)
+    if out == "scores":
+        return f"{head}\nSELECT {KEY}, CAST({mean(trees - 1)} > 0.5 AS INTEGER) AS prediction, round({mean(trees - 1)}, 9) AS p1 FROM R"
+    clipped = lambda t: f"least(greatest({mean(t)}, {d(1e-15)}), {d(1.0)} - {d(1e-15)})"
+    return head + "\n" + " UNION ALL ".join(
+        f"SELECT CAST({t + 1} AS INTEGER) AS trees, count(*) AS n, round(avg(CAST(CAST({mean(t)} > 0.5 AS INTEGER) = label AS DOUBLE)), 6) AS accuracy,"
+        f" round(avg(-(label * ln({clipped(t)}) + (1 - label) * ln(1 - {clipped(t)}))), 6) AS log_loss FROM R" for t in range(trees))
+
+
 def edges_cast() -> str:
     return """WITH R AS (
   SELECT CASE WHEN l_returnflag = 'R' THEN CAST(l_partkey AS VARCHAR) || l_returnflag
@@ -264,6 +323,8 @@ def oracle_sql() -> dict[str, str]:
         "split_tail": _points(f"SELECT {KEY}, row_number() OVER (ORDER BY {KEY}) <= "
                               f"floor(count(*) OVER () * {d(0.7)}) AS is_train FROM P"),
         "column_stats_magnitudes": column_stats_magnitudes(),
+        "column_stats_exact": column_stats_exact(),
+        "standardize_exact": f"WITH {P}, " + standardized(C.FEATURES, True, "stddev_pop"),
         "repartitioned": _points(f"SELECT {KEY}, {F1}, {F2}, {F3}, label FROM P"),
         "assign_nearest_array": assign_array(),
         "kmeans_checks": _points("SELECT count(*) AS n, CAST(0 AS BIGINT) AS not_nearest FROM P"),
@@ -274,6 +335,10 @@ def oracle_sql() -> dict[str, str]:
                                     f"l_orderkey, l_partkey, l_suppkey) <= floor(count(*) OVER () * {d(0.7)}) AS is_train FROM P"),
         "model_roundtrip": f"WITH Q AS ({derive_filter(C.FILTER_MAX_F2_F3)}) SELECT count(*) AS n, CAST(0 AS BIGINT) AS mismatches FROM Q WHERE {HASH_BUCKET} >= 70",
         "rule_metrics": rule_metrics(),
+        "forest_bag_weights": bag_weights(),
+        "stump_scores": stumps(1, 1.0, False, 1.0, "scores"),
+        "bagged_stump_scores": stumps(4, C.BAG_RATE, False, 0.5, "scores"),
+        "forest_staged_metrics": stumps(4, 1.0, True, 0.5, "metrics"),
         "phase_report": phase_report(),
         "edge_list_short_lines": "SELECT CAST(l_partkey AS BIGINT) AS src, CAST(l_suppkey AS BIGINT) AS dst FROM lineitem WHERE l_linenumber <> 1",
         "edges_cast": edges_cast(),
