@@ -1,8 +1,7 @@
 """Train/validation splits.
 
-* :func:`random_split`  -- Bernoulli split with a seed (``randomSplit``); the
-  result depends on the input partitioning, so it is not reproducible across
-  cluster shapes.
+* :func:`random_split`  -- Bernoulli split with a seed; reproducible with a
+  key, otherwise the result depends on the input partitioning.
 * :func:`hash_split`    -- reproducible: a row's side depends only on its key
   (first 32 bits of ``md5(key)`` modulo 100).  No shuffle.
 * :func:`tail_split`    -- ordered: the first ``int(n * (1 - test_fraction))``
@@ -22,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from lodestar.functions.hashing import hash_bucket, key_string  # noqa: F401  (re-exported)
+from lodestar.functions.hashing import hash_bucket, key_string, uniform  # noqa: F401  (re-exported)
 from lodestar.session import persisted
 
 SKETCH = 4096           # size of the quantile sketch: some ten thousand numbers
@@ -32,7 +31,12 @@ LOOK = 16_384           # rows whose keys are looked at on the driver
 CHUNK = 10_000          # equal rows that one task writes out again
 
 
-def random_split(df: DataFrame, train_fraction: float = 0.7, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+def random_split(df: DataFrame, train_fraction: float = 0.7, seed: int = 42, key: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Bernoulli split.  With ``key`` a row's side is a hash of its key and the seed, so it does
+    not move with the partitioning; without, it is Spark's ``randomSplit``, which does."""
+    if key:
+        train = uniform(key, seed, "split") < F.lit(float(train_fraction))
+        return df.filter(train), df.filter(~train)
     train, valid = df.randomSplit([train_fraction, 1.0 - train_fraction], seed=seed)
     return train, valid
 

@@ -13,7 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.operators import bagging, classify, clustering, features, graph, split
+from lodestar.operators import bagging, classify, clustering, features, graph, seeding, split, vectors
 from lodestar.plans import jobs
 from lodestar.session import shared_dir
 from lodestar.sources import edges as edge_io
@@ -30,6 +30,8 @@ FIXED_CENTERS = [(20.0, 0.05, 0.04), (30.0, 0.05, 0.04), (45.0, 0.0, 0.08)]
 EMPTY_CLUSTER_CENTERS = [(10.0, 0.02, 0.02), (40.0, 0.08, 0.06), (1000.0, 1000.0, 1000.0)]
 LLOYD_K, LLOYD_ITERS, LLOYD_DIGITS = 2, 3, 12
 TINY, SHIFT = 1e-6, 1e9
+MANY_CENTERS, VECTOR_K = 200, 4
+CONVERGE_ITERS, CONVERGE_INIT = 25, [[1.0], [200.0]]
 ARRAY_CENTERS = [[0.2 if i % 3 == j else -0.1 for i in range(64)] for j in range(3)]
 SMALL_TASK = 50_000             # edges of a colour task in triangle_counts_colours
 SUBSET_MAX_SIZE = 10            # triangle_counts_subset: parts with p_size <= 10
@@ -174,6 +176,53 @@ def kmeans_checks(spark, sf):
     return out.agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("nearest") != F.col("prediction")).cast("bigint")).alias("not_nearest"))
 
 
+def _embeddings(spark, sf):
+    return table(spark, sf, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
+
+
+def assign_nearest_many(spark, sf):
+    """Two hundred centers: the first vectors of the table."""
+    df = _embeddings(spark, sf)
+    return vectors.assigned(df, "v", vectors.first_vectors(df, "v", MANY_CENTERS, ["vec_id"])).select("vec_id", "cluster")
+
+
+def vector_stats(spark, sf):
+    """Mean and population deviation of every dimension of an array column."""
+    mean, std = vectors.vector_statistics(_embeddings(spark, sf), "v", 0)
+    df = spark.createDataFrame([(i, m, s) for i, (m, s) in enumerate(zip(mean, std))], "dimension INT, mean DOUBLE, std_pop DOUBLE")
+    return df.select("dimension", F.round("mean", 9).alias("mean"), F.round("std_pop", 9).alias("std_pop"))
+
+
+def lloyd_vectors(spark, sf):
+    """Lloyd's iteration on an array column, with assignments pruned by the triangle inequality."""
+    res = vectors.lloyd(_embeddings(spark, sf), "v", k=VECTOR_K, max_iters=LLOYD_ITERS, tol=0.0, key=["vec_id"], prune=True)
+    return vectors.centers_rows(spark, res.centers).select("cluster", "dimension", _r("value"))
+
+
+def lloyd_converged(spark, sf):
+    """From far apart centers, on one feature, until the centers stay: how many steps that takes, and where they are."""
+    res = clustering.lloyd_kmeans(points_view(spark, sf).select(FEATURES[0]), [FEATURES[0]], k=2, max_iters=CONVERGE_ITERS, tol=1e-9, init=CONVERGE_INIT)
+    rows = [(i, c[0], res.iterations, res.converged) for i, c in enumerate(res.centers)]
+    return spark.createDataFrame(rows, "cluster INT, center DOUBLE, iterations INT, converged BOOLEAN").select("cluster", _r("center"), "iterations", "converged")
+
+
+def _seeded(spark, sf):
+    pts = features.standardize(points_view(spark, sf).select(*POINT_KEY, *FEATURES), FEATURES, ddof=1, exact=True)
+    init = seeding.parallel_centers(pts.withColumn("v", F.array(*FEATURES)), "v", POINT_KEY, LLOYD_K, BAG_SEED)
+    return pts, clustering.lloyd_kmeans(pts, FEATURES, k=LLOYD_K, max_iters=LLOYD_ITERS, tol=0.0, init=init, handle_invalid="skip")
+
+
+def kmeans_seeded_centers(spark, sf):
+    """k-means|| by hashes and three steps: the same centers however the rows lie."""
+    _, res = _seeded(spark, sf)
+    return clustering.centers_frame(spark, res.centers, FEATURES).select("cluster", *[_r(c) for c in FEATURES])
+
+
+def kmeans_seeded_sizes(spark, sf):
+    pts, res = _seeded(spark, sf)
+    return clustering.cluster_sizes(pts, FEATURES, res.centers)
+
+
 # ---- splits -----------------------------------------------------------------
 
 def split_hash(spark, sf):
@@ -211,6 +260,11 @@ def repartitioned(spark, sf):
     return df.repartition(7).repartition(5, "l_orderkey")
 
 
+def split_seeded(spark, sf):
+    train, valid = split.random_split(points_view(spark, sf).select(*POINT_KEY), 0.7, BAG_SEED, POINT_KEY)
+    return train.withColumn("is_train", F.lit(True)).unionByName(valid.withColumn("is_train", F.lit(False)))
+
+
 def split_random(spark, sf):
     df = points_view(spark, sf).select(*POINT_KEY)
     train, valid = split.random_split(df, 0.7, seed=42)
@@ -296,6 +350,32 @@ def phase_report(spark, sf):
     return df.where("phase <> 'cluster_sizes'").select("job", "phase", "status", "value")
 
 
+def _read_reports(spark, place):
+    """Lines of all reports in a directory of reports, without their timings."""
+    line = F.col("value")
+    part = lambda i: F.regexp_extract(line, r"^(\S+) +(\S+?):(?: [0-9.]+ s)? *(?:value=)?(.*)$", i)
+    return spark.read.text(f"{place}*").select(part(1).alias("job"), part(2).alias("phase"), part(3).alias("result"))
+
+
+def success_reports(spark, sf):
+    """The text reports that two runs of the triangle job leave in one directory, read back."""
+    place = shared_dir(spark, "reports") + "/"
+    for _ in range(2):
+        jobs.triangle_job(part_graph(spark, sf), "a", "b", report_path=place)
+    return _read_reports(spark, place)
+
+
+def error_reports(spark, sf):
+    """The report of a job that fails (a feature is null where the line is the first of its order), read back."""
+    place = shared_dir(spark, "errors") + "/"
+    broken = points_view(spark, sf).withColumn(FEATURES[0], F.when(F.col("l_linenumber") > 1, F.col(FEATURES[0])))
+    try:
+        jobs.lloyd_job(broken, POINT_KEY, error_path=place)
+    except ValueError:
+        return _read_reports(spark, place)
+    raise AssertionError("the job did not fail")
+
+
 def forest_metrics(spark, sf):
     return classify.metrics(forest_scores(spark, sf))
 
@@ -402,9 +482,11 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     points_project, points_derive_filter, points_derive_filter_original, label_counts, column_stats, column_stats_magnitudes, column_stats_exact, repartitioned,
     standardize_sample, standardize_population, standardize_std_only, standardize_exact,
     assign_nearest_fixed, assign_nearest_array, update_centers_empty, lloyd_centers, lloyd_cluster_sizes,
-    kmeans_cluster_sizes, kmeans_centers, kmeans_checks,
-    split_hash, split_tail, split_tail_ties, split_tail_nulls, split_random, split_random_cover,
+    kmeans_cluster_sizes, kmeans_centers, kmeans_checks, kmeans_seeded_centers, kmeans_seeded_sizes,
+    assign_nearest_many, vector_stats, lloyd_vectors, lloyd_converged,
+    split_hash, split_tail, split_tail_ties, split_tail_nulls, split_random, split_random_cover, split_seeded,
     forest_scores, forest_sampled_scores, forest_metrics, model_roundtrip, rule_metrics, phase_report,
+    success_reports, error_reports,
     forest_bag_weights, stump_scores, bagged_stump_scores, forest_staged_metrics,
     edges_cast, graph_vertices, graph_canonical_edges,
     triangle_counts, triangle_counts_raw, triangle_counts_subset,

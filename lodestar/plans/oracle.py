@@ -7,7 +7,7 @@ functions.  Column names and rounding match ``lodestar.plans.catalog``.
 
 from __future__ import annotations
 
-from lodestar.operators import bagging
+from lodestar.operators import bagging, seeding
 from lodestar.plans import catalog as C
 
 KEY = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
@@ -89,6 +89,77 @@ def column_stats_exact() -> str:
     return _points(" UNION ALL ".join(parts))
 
 
+V_VALID = """V AS MATERIALIZED (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x))) = 0)"""
+
+FAR = "list_sum(list_transform(range(1, len(v) + 1), lambda i: (v[i] - c[i]) * (v[i] - c[i])))"
+
+
+def _vector_assign(points: str, centers: str) -> str:
+    """Each point's nearest center, the lowest on a tie."""
+    return f"(SELECT vec_id, v, cluster FROM (SELECT vec_id, v, cluster, row_number() OVER (PARTITION BY vec_id ORDER BY {FAR}, cluster) AS r FROM {points}, {centers}) WHERE r = 1)"
+
+
+def _first_vectors(k: int) -> str:
+    return f"(SELECT CAST(row_number() OVER (ORDER BY vec_id) - 1 AS INTEGER) AS cluster, v AS c FROM V ORDER BY vec_id LIMIT {k})"
+
+
+def assign_many() -> str:
+    return f"WITH {V_VALID}, C AS {_first_vectors(C.MANY_CENTERS)}, A AS {_vector_assign('V', 'C')} SELECT e.vec_id, A.cluster FROM embeddings e LEFT JOIN A ON e.vec_id = A.vec_id"
+
+
+def vector_stats() -> str:
+    return f"WITH {V_VALID} SELECT CAST(j - 1 AS INTEGER) AS dimension, round(avg(v[j]), 9) AS mean, round(stddev_pop(v[j]), 9) AS std_pop FROM V, range(1, 65) r(j) GROUP BY j"
+
+
+def lloyd_vectors() -> str:
+    ctes = [V_VALID, f"C0 AS {_first_vectors(C.VECTOR_K)}"]
+    for i in range(C.LLOYD_ITERS):
+        ctes += [f"A{i} AS {_vector_assign('V', f'C{i}')}",
+                 f"M{i} AS (SELECT cluster, j, avg(v[j]) AS m FROM A{i}, range(1, 65) r(j) GROUP BY cluster, j)",
+                 f"C{i + 1} AS (SELECT C0.cluster, list(coalesce(m, 0.0) ORDER BY r.j) AS c FROM C0 CROSS JOIN range(1, 65) r(j)"
+                 f" LEFT JOIN M{i} ON M{i}.cluster = C0.cluster AND M{i}.j = r.j GROUP BY C0.cluster)"]
+    return f"WITH {', '.join(ctes)} SELECT cluster, CAST(j - 1 AS INTEGER) AS dimension, round(c[j], 6) AS value FROM C{C.LLOYD_ITERS}, range(1, 65) r(j)"
+
+
+def lloyd_converged() -> str:
+    """One feature and two centers: steps until the centers no longer move (the ones before the last step count)."""
+    (a,), (b,) = C.CONVERGE_INIT
+    near = "abs({0} - {1}) <= CAST(1e-8 AS DOUBLE) + CAST(1e-9 AS DOUBLE) * abs({1})"
+    mean = lambda op: f"coalesce((SELECT avg(x) FROM X WHERE (x - s.a) * (x - s.a) {op} (x - s.b) * (x - s.b)), 0.0)"
+    return f"""WITH RECURSIVE {P}, X AS MATERIALIZED (SELECT {F1} AS x FROM P),
+S(i, a, b, na, nb) AS (SELECT 0, {d(a)}, {d(b)}, {d(a)}, {d(b)} UNION ALL
+  SELECT i + 1, na, nb, {mean("<=").replace("s.a", "t.na").replace("s.b", "t.nb")}, {mean(">").replace("s.a", "t.na").replace("s.b", "t.nb")}
+  FROM S t WHERE i < {C.CONVERGE_ITERS} AND (i = 0 OR NOT ({near.format("a", "na")} AND {near.format("b", "nb")}))),
+L AS (SELECT * FROM S ORDER BY i DESC LIMIT 1)
+SELECT c AS cluster, round(CASE WHEN c = 0 THEN a ELSE b END, 6) AS center, CAST(i AS INTEGER) AS iterations, {near.format("a", "na")} AND {near.format("b", "nb")} AS converged
+FROM L, (VALUES (CAST(0 AS INTEGER)), (CAST(1 AS INTEGER))) k(c)"""
+
+
+def seeded(what: str) -> str:
+    """k-means|| with two steps, then Lloyd's steps."""
+    seed, l = C.BAG_SEED, 2 * C.LLOYD_K
+    xs, stats = ["x1", "x2", "x3"], ", ".join(f"avg({c}) AS m{i}, stddev_samp({c}) AS s{i}" for i, c in enumerate(C.FEATURES, 1))
+    gap = lambda p, c: " + ".join(f"({p}.{x} - {c}.{x}) * ({p}.{x} - {c}.{x})" for x in xs)
+    order = "PARTITION BY " + KEY
+    ctes = [P, f"st AS (SELECT {stats} FROM P)",
+            f"S AS MATERIALIZED (SELECT {KEY}, " + ", ".join(f"({c} - m{i}) / s{i} AS x{i}" for i, c in enumerate(C.FEATURES, 1)) + " FROM P, st)",
+            f"K0 AS MATERIALIZED (SELECT 0 AS step, * FROM S ORDER BY md5('{seed}:first:' || concat_ws('|', {KEY})) LIMIT 1)"]
+    for t in range(2):
+        u = uniform(f"step{t}", seed)
+        ctes += [f"D{t} AS MATERIALIZED (SELECT {', '.join('S.' + k for k in KEY.split(', '))}, S.x1, S.x2, S.x3, min({gap('S', 'k')}) AS d2 FROM S, K{t} k GROUP BY ALL)",
+                 f"K{t + 1} AS MATERIALIZED (SELECT * FROM K{t} UNION ALL SELECT {t + 1}, {KEY}, x1, x2, x3 FROM D{t} WHERE {u} < least({d(1.0)}, {d(l)} * d2 / (SELECT sum(d2) FROM D{t})))"]
+    ctes += [f"K AS MATERIALIZED (SELECT row_number() OVER (ORDER BY step, {KEY}) - 1 AS i, x1, x2, x3 FROM K2)",
+             f"N AS (SELECT i, count(*) AS w FROM (SELECT k.i, row_number() OVER ({order.replace('l_', 'S.l_')} ORDER BY {gap('S', 'k')}, k.i) AS r FROM S, K k) WHERE r = 1 GROUP BY i)",
+             "W AS MATERIALIZED (SELECT K.i, x1, x2, x3, CAST(coalesce(w, 0) AS DOUBLE) AS w FROM K LEFT JOIN N ON N.i = K.i)"]
+    pick = lambda share, n: (f"(SELECT * FROM (SELECT i, x1, x2, x3, sum(share) OVER (ORDER BY i) AS up, sum(share) OVER () AS total FROM (SELECT *, {share} AS share FROM W))"
+                             f" WHERE up > {d(seeding.drawn(seed, f'reduce{n}'))} * total ORDER BY i LIMIT 1)")
+    ctes += [f"R0 AS MATERIALIZED {pick('w', 0)}", f"R1 AS MATERIALIZED {pick('w * (' + gap('W', '(SELECT * FROM R0)').replace('(SELECT * FROM R0).', 'r0_') + ')', 1)}"]
+    ctes[-1] = ctes[-1].replace("FROM W)", "FROM W, (SELECT x1 AS r0_x1, x2 AS r0_x2, x3 AS r0_x3 FROM R0))")
+    ctes.append("C0 AS (SELECT CAST(0 AS INTEGER) AS cluster, x1, x2, x3 FROM R0 UNION ALL SELECT CAST(1 AS INTEGER), x1, x2, x3 FROM R1)")
+    return _lloyd_steps(ctes, xs, C.LLOYD_K, C.LLOYD_ITERS, what)
+
+
 def assign_array() -> str:
     ds = ", ".join("list_sum(list_transform(range(1, len(v) + 1), lambda i: (v[i] - c[i]) * (v[i] - c[i])))".replace("c[i]", f"([{', '.join(map(repr, c))}])[i]")
                    + f" AS d{j}" for j, c in enumerate(C.ARRAY_CENTERS))
@@ -118,6 +189,19 @@ UNION ALL SELECT 'triangles', 'vertices', 'ok', CAST(count(*) AS VARCHAR) FROM V
 UNION ALL SELECT 'triangles', 'unique_triangles', 'ok', CAST(count(*) AS VARCHAR) FROM T"""
 
 
+def success_reports() -> str:
+    phases = ", ".join(f"('{p}', '')" for p in ("load", "prepare", "execute", "operate", "total"))
+    one = (f"SELECT 'triangles' AS job, phase, result FROM (SELECT * FROM (VALUES {phases}) t(phase, result)"
+           " UNION ALL SELECT 'vertices', CAST(count(*) AS VARCHAR) FROM V UNION ALL SELECT 'unique_triangles', CAST(count(*) AS VARCHAR) FROM T)")
+    return f"WITH {P}, {E}, {T}, {V}, R AS ({one}) SELECT * FROM R UNION ALL SELECT * FROM R"
+
+
+def error_reports() -> str:
+    text = f"' points have a null or NaN in {', '.join(C.FEATURES)}; handle_invalid=''skip'' leaves them out'"
+    return _points(f"""SELECT 'lloyd' AS job, 'load' AS phase, '' AS result UNION ALL SELECT 'lloyd', 'total', ''
+UNION ALL SELECT 'lloyd', 'prepare', 'ERROR ValueError: ' || CAST(count(*) AS VARCHAR) || {text} FROM P WHERE NOT l_linenumber > 1""")
+
+
 def standardized(cols, with_mean: bool, std: str, source: str = "P") -> str:
     stats = ", ".join(f"avg({c}) AS m_{c}, {std}({c}) AS s_{c}" for c in cols)
     outs = ", ".join(
@@ -170,6 +254,13 @@ def lloyd(k: int, iters: int, what: str) -> str:
             f"C0 AS (SELECT * FROM (SELECT x1, x2, x3, CAST(row_number() OVER (ORDER BY {KEY}) - 1 AS INTEGER)"
             f" AS cluster FROM S) WHERE cluster < {k})"]
 
+    return _lloyd_steps(ctes, xs, k, iters, what)
+
+
+def _lloyd_steps(ctes: list[str], xs: list[str], k: int, iters: int, what: str) -> str:
+    """Steps on the points ``S`` from the centers ``C0``."""
+    ctes = list(ctes)
+
     def pivot(i):
         cols = ", ".join(f"coalesce(max(CASE WHEN cluster = {j} THEN {x} END), 0.0) AS c{j}_{x}"
                          for j in range(k) for x in xs)
@@ -327,6 +418,12 @@ def oracle_sql() -> dict[str, str]:
         "standardize_exact": f"WITH {P}, " + standardized(C.FEATURES, True, "stddev_pop"),
         "repartitioned": _points(f"SELECT {KEY}, {F1}, {F2}, {F3}, label FROM P"),
         "assign_nearest_array": assign_array(),
+        "assign_nearest_many": assign_many(),
+        "vector_stats": vector_stats(),
+        "lloyd_vectors": lloyd_vectors(),
+        "lloyd_converged": lloyd_converged(),
+        "kmeans_seeded_centers": seeded("centers"),
+        "kmeans_seeded_sizes": seeded("sizes"),
         "kmeans_checks": _points("SELECT count(*) AS n, CAST(0 AS BIGINT) AS not_nearest FROM P"),
         "split_random_cover": _points(f"SELECT {KEY} FROM P"),
         "split_tail_ties": _points(f", R AS (SELECT {F1}, row_number() OVER (ORDER BY {F1}) <= floor(count(*) OVER () * {d(0.7)}) AS t FROM P) "
@@ -340,6 +437,9 @@ def oracle_sql() -> dict[str, str]:
         "bagged_stump_scores": stumps(4, C.BAG_RATE, False, 0.5, "scores"),
         "forest_staged_metrics": stumps(4, 1.0, True, 0.5, "metrics"),
         "phase_report": phase_report(),
+        "success_reports": success_reports(),
+        "error_reports": error_reports(),
+        "split_seeded": _points(f"SELECT {KEY}, {uniform('split', C.BAG_SEED)} < {d(0.7)} AS is_train FROM P"),
         "edge_list_short_lines": "SELECT CAST(l_partkey AS BIGINT) AS src, CAST(l_suppkey AS BIGINT) AS dst FROM lineitem WHERE l_linenumber <> 1",
         "edges_cast": edges_cast(),
         "graph_vertices": f"WITH {E} SELECT a AS id FROM E UNION SELECT b FROM E",
