@@ -284,6 +284,73 @@ def triangle_total(edges: DataFrame, src: str = "src", dst: str = "dst",
     return t.agg(F.coalesce(F.sum(F.size("c").cast("bigint")), F.lit(0).cast("bigint")).alias("total"))
 
 
+# ---- edge tables stored by vertex -------------------------------------------------------------------------------------
+
+def store_by_vertex(edges: DataFrame, src: str = "src", dst: str = "dst", buckets: int = 64, canonical: bool = False,
+                    name: str | None = None) -> str:
+    """Write the simple graph once as a table ``(u, v)`` with both directions of every edge, in ``buckets`` buckets by
+    ``u`` and sorted by it; returns the table's name (in the session's catalog, its files in the shared folder).
+
+    Whatever groups or joins by ``u`` reads it without a shuffle.  Choose ``buckets`` so that a bucket fits a
+    task, and not below the session's shuffle partitions: Spark shuffles smaller tables again.  Delete it with
+    ``DROP TABLE`` and ``session.remove_dir``.
+    """
+    canon = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")) if canonical else canonical_edges(edges, src, dst)
+    both = canon.select(F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))).alias("e"))
+    path = shared_dir(edges.sparkSession, "by-vertex")
+    name = name or "by_vertex_" + path.rsplit("-", 1)[-1]
+    both.select("e.u", "e.v").where("u is not null").repartition(buckets, "u").write.bucketBy(buckets, "u").sortBy("u").option("path", path).format("parquet").saveAsTable(name)
+    return name
+
+
+def degrees_by_vertex(both: DataFrame) -> DataFrame:
+    """``(u, deg)`` of a table of :func:`store_by_vertex`; no shuffle."""
+    return both.groupBy("u").agg(F.count(F.lit(1)).alias("deg"))
+
+
+def _ranked_by_vertex(both: DataFrame, order: str) -> DataFrame:
+    """``(u, v)`` from lower to higher rank, with ``rd``, the degree of ``v``, for degree order.
+
+    In degree order every vertex sends its degree to its neighbours, one shuffle; its own degree lies with it.
+    """
+    if order == "id":
+        return both.where("u < v")
+    if order != "degree":
+        raise ValueError("order must be 'degree' or 'id'")
+    deg = degrees_by_vertex(both)
+    sent = both.join(deg, "u").select(F.col("v").alias("to"), F.col("u").alias("v"), F.col("deg").alias("rd"))
+    met = sent.join(deg.select(F.col("u").alias("to"), F.col("deg").alias("own")), "to")
+    return met.where((F.col("own") < F.col("rd")) | ((F.col("own") == F.col("rd")) & (F.col("to") < F.col("v")))).select(F.col("to").alias("u"), "v", "rd")
+
+
+def corners_by_vertex(both: DataFrame, order: str = "degree") -> DataFrame:
+    """``(u, v, c)`` as :func:`closing_corners`, from a table of :func:`store_by_vertex`: degrees, orientation and
+    adjacency share the table's partitioning, and only what goes to a neighbour is shuffled.
+
+    Hot vertices are not dealt over several tasks here; ``order="degree"`` bounds their lists.
+    """
+    adj = adjacency(_ranked_by_vertex(both, order))
+    if order == "degree":
+        adj = _stored(adj, "adjacency")  # read by both sides of the join
+    fwd = adj.select("u", F.posexplode("nbrs").alias("i", "v"), "nbrs") \
+        .select("u", "v", F.slice("nbrs", F.col("i") + 2, F.size("nbrs") - F.col("i") - 1).alias("nu")).where(F.size("nu") > 0)
+    return fwd.join(adj.toDF("v", "nv"), "v").select("u", "v", F.array_intersect("nu", "nv").alias("c"))
+
+
+def triangle_counts_by_vertex(both: DataFrame, order: str = "degree") -> DataFrame:
+    """``(id, count)`` for every vertex of a table of :func:`store_by_vertex` (which has no vertex without an edge)."""
+    t, n = corners_by_vertex(both, order).where(F.size("c") > 0), F.size("c").cast("bigint")
+    contrib = t.select(F.inline(F.concat(F.array(F.struct(F.col("u").alias("id"), n.alias("cnt")), F.struct(F.col("v").alias("id"), n.alias("cnt"))),
+                                         F.transform("c", lambda w: F.struct(w.alias("id"), F.lit(1).cast("bigint").alias("cnt"))))))
+    zeros = degrees_by_vertex(both).select(F.col("u").alias("id"), F.lit(0).cast("bigint").alias("cnt"))
+    return contrib.unionByName(zeros).groupBy("id").agg(F.sum("cnt").alias("count"))
+
+
+def triangle_total_by_vertex(both: DataFrame, order: str = "degree") -> DataFrame:
+    """One row ``total``."""
+    return corners_by_vertex(both, order).agg(F.coalesce(F.sum(F.size("c").cast("bigint")), F.lit(0).cast("bigint")).alias("total"))
+
+
 def total_from_counts(counts: DataFrame) -> DataFrame:
     """Unique triangles from per-vertex counts: ``sum(count) div 3``."""
     return counts.agg(F.expr("coalesce(sum(`count`), 0) div 3").cast("bigint").alias("total"))

@@ -432,6 +432,23 @@ def triangle_counts_subset_colours(spark, sf):
     return graph.triangle_counts(part_graph(spark, sf), "a", "b", nodes=nodes, canonical=True, method="colours")
 
 
+def _by_vertex(spark, sf):
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return spark.table(graph.store_by_vertex(part_graph(spark, sf), "a", "b", buckets, canonical=True))
+
+
+def degrees_stored(spark, sf):
+    return graph.degrees_by_vertex(_by_vertex(spark, sf)).select(F.col("u").alias("id"), "deg")
+
+
+def triangle_counts_stored(spark, sf):
+    return graph.triangle_counts_by_vertex(_by_vertex(spark, sf))
+
+
+def triangle_total_stored(spark, sf):
+    return graph.triangle_total_by_vertex(_by_vertex(spark, sf), order="id")
+
+
 def triangle_total_from_counts(spark, sf):
     return graph.total_from_counts(triangle_counts_raw(spark, sf))
 
@@ -492,6 +509,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     triangle_counts, triangle_counts_raw, triangle_counts_subset,
     triangle_total, triangle_total_id_order, triangle_total_from_counts,
     triangle_total_colours, triangle_counts_colours, triangle_counts_subset_colours,
+    degrees_stored, triangle_counts_stored, triangle_total_stored,
     csv_roundtrip, csv_inferred_roundtrip, edgelist_roundtrip, edges_tsv_roundtrip, edge_list_short_lines,
     synth_points,
 ]}

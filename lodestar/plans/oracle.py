@@ -452,6 +452,9 @@ def oracle_sql() -> dict[str, str]:
         "triangle_total_id_order": TRI_TOTAL,
         "triangle_total_from_counts": TRI_TOTAL,
         "triangle_total_colours": TRI_TOTAL,
+        "degrees_stored": f"WITH {E} SELECT id, count(*) AS deg FROM (SELECT a AS id FROM E UNION ALL SELECT b FROM E) GROUP BY id",
+        "triangle_counts_stored": tri_counts(),
+        "triangle_total_stored": TRI_TOTAL,
         "triangle_counts_colours": tri_counts(),
         "triangle_counts_subset_colours": tri_counts(f"WHERE V.id IN (SELECT p_partkey FROM part WHERE p_size <= {C.SUBSET_MAX_SIZE})"),
         "csv_roundtrip": _points(f"SELECT {POINT_COLS} FROM P"),
