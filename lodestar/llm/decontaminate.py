@@ -14,7 +14,7 @@ starts, which all move by their own shifts; so whole texts are searched
 whatever their length, with numpy steps over all lanes of a slice.
 
 The benchmark is broadcast in shards of at most ``shard_bytes`` of text; a larger one
-takes one narrow pass over the documents for each shard.  Repeated items are
+takes one narrow pass over the documents for each shard, written between passes.  Repeated items are
 dropped and items of more than a shard are cut into overlapping parts in Spark; the
 rest is summed by hash range before anything is collected, and ranges make the shards.
 (Only ``size`` words that are longer than a shard together make a larger one.)  Documents are never shuffled, so copies
@@ -275,12 +275,14 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, keep: Sequence[str] |
         schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields]
                            + [f"{results[0]} long, {results[1]} array<struct<start:int,end:int>>, {results[2]} array<string>"])
         out = out.mapInArrow(run, schema)
+        if not last:  # so a stage holds one shard's tables, however many shards there are
+            out = stored(out, "shards-so-far")
     return out.select(*[F.col(f"`{c}`") for c in keep], F.col("__n_words").alias("n_words"), F.col("__spans").alias("spans"),
                       F.array_distinct("__items").alias("items"))
 
 
-def hit_words(spans: str = "spans", shards: int = 1) -> Column:
-    """Number of words in the spans; ``shards`` makes no difference, as spans of different shards are merged."""
+def hit_words(spans: str = "spans") -> Column:
+    """Number of words in the spans."""
     return F.aggregate(F.col(spans), F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
 
 

@@ -134,7 +134,7 @@ def test_benchmark(spark, docs):
     bench = spark.createDataFrame([(1, COMMON), (2, "one"), (3, None), (4, ""), (None, "É A B"), (1, say(12)), (5, COMMON)], "item_id LONG, text STRING")
     one = decontaminate.find_benchmark(docs, bench, size=10)
     many = decontaminate.find_benchmark(docs, bench, size=10, shard_bytes=60)
-    key = lambda shards: lambda df: Counter((r["doc_id"], r["n_words"], r["h"], tuple(sorted(r["items"]))) for r in df.withColumn("h", decontaminate.hit_words(shards=shards)).collect())
+    key = lambda shards: lambda df: Counter((r["doc_id"], r["n_words"], r["h"], tuple(sorted(r["items"]))) for r in df.withColumn("h", decontaminate.hit_words()).collect())
     assert key(1)(one) == key(2)(many)
     found = {r["doc_id"]: r["items"] for r in one.collect()}
     assert sorted(found[15]) == ["1", "5"] and sorted(found[5]) == ["2"] and found[22] == [""] and found[6] == []
