@@ -9,10 +9,13 @@ documents.  Documents of a batch are numbered; what is known of them (``docs``)
 travels in one of the batch's rows only.
 
 A key that many documents of one batch share would make its bucket large.  The
-pairs of such *hot* keys (``HOT`` documents of the batch or more) stay with
+pairs of such *hot* keys (``hot`` documents of the batch or more, see ``dealing``) stay with
 the batch: they go to a bucket of their own, chosen by batch, and the key's
-bucket gets one pair with the number ``MARK`` in their place.  So a bucket
-gets less than ``HOT`` pairs of a key from each batch, however common it is.
+bucket gets one pair with the number ``MARK`` in their place, whose extra value may sum
+theirs up.  So a key's bucket gets less than ``hot`` pairs of it from each batch, and ``hot`` falls as the
+batches grow in number, so that a key has less than ``KEY_PAIRS`` pairs (24 MB) in its bucket; it is
+never below 2, which is reached at some 3 TB of text, and from there on a key of every batch grows
+by one pair a batch (100 TB: about 25 million pairs).
 
 Batches are numbered by partition and order in it, so the documents must come
 in the same order if a task runs again.  A scan of stored files does; callers
@@ -21,6 +24,8 @@ store anything else first (``components.stored``).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,15 +36,25 @@ MARK = 0xFFFF
 MAX_DOCS = 20_000
 MAX_PAIRS = 1_000_000
 BUCKET_BYTES = 24 << 20
+KEY_PAIRS = BUCKET_BYTES // 16
+#: A batch holds about so much text, or so many rows, at least (short of the last one of a task).
+BATCH_BYTES, BATCH_ROWS = 4 << 20, 10_000
 SCHEMA = "bucket int, batch long, keys binary, numbers binary, extra binary, docs binary, hot boolean"
 _FIELDS = pa.schema([("bucket", pa.int32()), ("batch", pa.int64()), ("keys", pa.binary()), ("numbers", pa.binary()),
                      ("extra", pa.binary()), ("docs", pa.binary()), ("hot", pa.bool_())])
 
 
-def bucket_count(docs: DataFrame, text: str = "text", bytes_per_byte: float = 1.0) -> int:
-    """So many buckets that each holds about ``BUCKET_BYTES``, from the bytes of all texts; never fewer than shuffle partitions."""
-    total = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
-    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-int(total * bytes_per_byte) // BUCKET_BYTES))
+def dealing(docs: DataFrame, text: str = "text", bytes_per_byte: float = 1.0) -> tuple[int, int]:
+    """``(buckets, hot)``: so many buckets that each holds about ``BUCKET_BYTES``, from the bytes of all texts, never fewer than
+    shuffle partitions; and from how many documents of a batch on a key is hot."""
+    total, rows = docs.agg(F.sum(F.octet_length(F.col(text))), F.count(F.lit(1))).first()
+    total = total or 0
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-int(total * bytes_per_byte) // BUCKET_BYTES))
+    return buckets, hot_limit(total, rows)
+
+
+def hot_limit(total: int, rows: int) -> int:
+    return max(2, min(HOT, KEY_PAIRS // (1 + total // BATCH_BYTES + rows // BATCH_ROWS)))
 
 
 def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -56,8 +71,11 @@ def from_planes(data: bytes) -> np.ndarray:
 
 
 def pack(batch: int, keys: np.ndarray, numbers: np.ndarray, extra: np.ndarray | None, docs: bytes, buckets: int,
-         hot: int = HOT) -> pa.RecordBatch:
-    """The rows of one batch; ``numbers`` are documents of the batch (below ``MARK``), ``extra`` any array beside them."""
+         hot: int = HOT, summed: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None) -> pa.RecordBatch:
+    """The rows of one batch; ``numbers`` are documents of the batch (below ``MARK``), ``extra`` any array beside them.
+
+    ``summed`` makes the extra values of marks, from those of all pairs by key and the places at which each key
+    begins; without it a mark has its key's first one."""
     order = np.argsort(keys, kind="stable")
     keys, numbers = keys[order], numbers[order].astype("<u2")
     extra = extra[order] if extra is not None else None
@@ -71,8 +89,9 @@ def pack(batch: int, keys: np.ndarray, numbers: np.ndarray, extra: np.ndarray |
         rows.append((buckets + batch % buckets, to_planes(keys[is_hot]), numbers[is_hot].tobytes(),
                      extra[is_hot].tobytes() if extra is not None else None, None, True))
         marks = keys[first[count >= hot]]
+        beside = (extra[first] if summed is None else summed(extra, first))[count >= hot] if extra is not None else None
         keys, numbers = np.concatenate([keys[~is_hot], marks]), np.concatenate([numbers[~is_hot], np.full(len(marks), MARK, "<u2")])
-        extra = np.concatenate([extra[~is_hot], extra[first[count >= hot]]]) if extra is not None else None
+        extra = np.concatenate([extra[~is_hot], beside]) if extra is not None else None
         order = np.argsort(keys, kind="stable")
         keys, numbers, extra = keys[order], numbers[order], extra[order] if extra is not None else None
     home = batch % buckets

@@ -90,7 +90,7 @@ def _signatures(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Rec
                                          names=[*rest.schema.names, "__node", "__n"])
 
 
-def _pairs(batches: Iterator[pa.RecordBatch], size: int, buckets: int) -> Iterator[pa.RecordBatch]:
+def _pairs(batches: Iterator[pa.RecordBatch], size: int, buckets: int, hot: int) -> Iterator[pa.RecordBatch]:
     """Every node's n-grams, by bucket; a node met again in this task is not sent again."""
     serial = TaskContext.get().partitionId() << 32
     seen: set[int] = set()
@@ -100,7 +100,7 @@ def _pairs(batches: Iterator[pa.RecordBatch], size: int, buckets: int) -> Iterat
         nonlocal serial, pairs
         docs = np.zeros(len(nodes), _DOCS)
         docs["node"], docs["n"] = nodes, [len(s) for s in sets]
-        out = exchange.pack(serial, np.concatenate(sets), np.repeat(np.arange(len(sets)), docs["n"]), None, docs.tobytes(), buckets)
+        out = exchange.pack(serial, np.concatenate(sets), np.repeat(np.arange(len(sets)), docs["n"]), None, docs.tobytes(), buckets, hot)
         serial += 1
         pairs = 0
         nodes.clear()
@@ -181,8 +181,8 @@ def _rows_left(table: pa.Table, threshold: int) -> pa.Table:
 def candidate_rows(docs: DataFrame, text: str, size: int, threshold: int) -> DataFrame:
     """``(node, n, grams)``: the nodes that steps 2 and 3 leave, each once."""
     texts = docs.select(F.col(f"`{text}`").cast("string").alias("t"))
-    buckets = exchange.bucket_count(texts, "t", bytes_per_byte=1.3)
-    pairs = texts.mapInArrow(lambda it: _pairs(it, size, buckets), exchange.SCHEMA)
+    buckets, hot = exchange.dealing(texts, "t", bytes_per_byte=1.3)
+    pairs = texts.mapInArrow(lambda it: _pairs(it, size, buckets, hot), exchange.SCHEMA)
     shared = pairs.groupBy("bucket").applyInArrow(_shared, _SHARED)
     rows = shared.groupBy("batch").applyInArrow(lambda t: _rows_left(t, threshold), "node long, n long, grams array<long>")
     return stored(rows.dropDuplicates(["node"]), "candidate-rows")

@@ -86,7 +86,7 @@ def find_regions(words: np.ndarray, first_word: np.ndarray, size: int) -> tuple[
     return starts[begin], starts[end], key[begin], hash_spans(words, starts[begin], starts[end] + size), own
 
 
-def _emit(batches: Iterator[pa.RecordBatch], size: int, buckets: int) -> Iterator[pa.RecordBatch]:
+def _emit(batches: Iterator[pa.RecordBatch], size: int, buckets: int, hot: int) -> Iterator[pa.RecordBatch]:
     """Regions packed by bucket of their key; copies of a text in one batch are sent once, with their number.
 
     Regions of a key with many places in the batch stay together in a bucket of the batch's own, and
@@ -106,8 +106,8 @@ def _emit(batches: Iterator[pa.RecordBatch], size: int, buckets: int) -> Iterato
         regions = np.concatenate(parts) if parts else np.zeros(0, _REGION)
         regions = regions[np.argsort(regions["key"], kind="stable")]
         _, first, size_of = np.unique(regions["key"], return_index=True, return_counts=True)
-        often = np.repeat(size_of >= exchange.HOT, size_of)
-        marks = regions[first[size_of >= exchange.HOT]].copy()
+        often = np.repeat(size_of >= hot, size_of)
+        marks = regions[first[size_of >= hot]].copy()
         marks["windows"], marks["copies"] = 0, 2
         stay, regions = regions[often], np.concatenate([regions[~often], marks])
         regions = regions[np.argsort(regions["key"], kind="stable")]
@@ -252,7 +252,7 @@ _WINDOW = np.dtype([("at", "<u4"), ("places", "<u4")])
 _OWNER = np.dtype([("content", "<i8"), ("key", "<i8")])
 
 
-def _single_windows(batches: Iterator[pa.RecordBatch], size: int, buckets: int) -> Iterator[pa.RecordBatch]:
+def _single_windows(batches: Iterator[pa.RecordBatch], size: int, buckets: int, hot: int) -> Iterator[pa.RecordBatch]:
     """All windows of the regions, packed by bucket of their content."""
     serial = TaskContext.get().partitionId() << 32
     for batch in batches:
@@ -267,7 +267,7 @@ def _single_windows(batches: Iterator[pa.RecordBatch], size: int, buckets: int)
             extra, docs = np.zeros(len(at), _WINDOW), np.zeros(hi - lo, _OWNER)
             extra["at"], extra["places"] = at - first[number], batch.column("places").to_numpy()[lo:hi][number]
             docs["content"], docs["key"] = batch.column("content").to_numpy()[lo:hi], batch.column("key").to_numpy()[lo:hi]
-            yield exchange.pack(serial, hash_windows(words, at, size), number, extra, docs.tobytes(), buckets)
+            yield exchange.pack(serial, hash_windows(words, at, size), number, extra, docs.tobytes(), buckets, hot)
             serial += 1
             lo = hi
 
@@ -310,8 +310,8 @@ def repeated_spans(docs: DataFrame, size: int, text: str = "text", shard_words:
     """``(text_hash, spans)``: for each text with a repeated window, the word spans ``[a, b)`` of its repeated windows."""
     col = F.col
     texts = docs.select(F.xxhash64(text).alias("text"), col(f"`{text}`").cast("string").alias("body")).where("body is not null")
-    buckets = exchange.bucket_count(texts, "body", bytes_per_byte=0.4)
-    packed = texts.mapInArrow(lambda it: _emit(it, size, buckets), "bucket int, regions binary")
+    buckets, often = exchange.dealing(texts, "body", bytes_per_byte=0.4)
+    packed = texts.mapInArrow(lambda it: _emit(it, size, buckets, often), "bucket int, regions binary")
     entries = stored(packed.groupBy("bucket").applyInArrow(lambda t: _repeated(t, buckets), _ENTRY), "regions")
     # Places of one content; the same text met in several tasks adds up.
     contents = stored(entries.groupBy("key", "content").agg(
@@ -329,12 +329,13 @@ def repeated_spans(docs: DataFrame, size: int, text: str = "text", shard_words:
     shards = max(1, -(-total // shard_words))
     asked = asked.groupBy(col("one.text").alias("text")).agg(
         F.collect_list(F.struct("key", "content", "places", "key_words", col("one.at").alias("at"), col("one.windows").alias("windows"))).alias("asked"))
-    words = asked.join(texts, "text").mapInArrow(lambda it: _extract(it, size), "key long, content long, places long, key_words long, words binary")
+    # Stored, so that the rows of a text with many copies can be split.
+    words = stored(asked, "asked").join(texts, "text").mapInArrow(lambda it: _extract(it, size), "key long, content long, places long, key_words long, words binary")
     words = stored(words.dropDuplicates(["key", "content"]), "region-words")
     cold = words.where(col("key_words") <= hot_words).withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
     found = cold.groupBy("shard").applyInArrow(lambda t: _search_shard(t, size), "content long, key long, runs array<struct<a:long,b:long>>")
     hot = words.where(col("key_words") > hot_words).select("key", "content", "places", "words")
-    windows = hot.mapInArrow(lambda it: _single_windows(it, size, buckets), exchange.SCHEMA)
+    windows = hot.mapInArrow(lambda it: _single_windows(it, size, buckets, often), exchange.SCHEMA)
     hot_found = windows.groupBy("bucket").applyInArrow(_repeated_in_bucket, "batch long, numbers binary, at binary, docs binary") \
         .groupBy("batch").applyInArrow(_runs_of_batch, "content long, key long, runs array<struct<a:long,b:long>>")
     single = contents.where("places = 1").select("key", "content")
