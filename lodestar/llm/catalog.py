@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -106,7 +108,91 @@ _WORDS4 = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcd
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+
+def _repair_moves() -> str:
+    """Every way past one message, with at most one message inserted before it: state before and after, letters, cost, the initial that
+    it asks for, the one that it rules out, and whether the message stays.  States: start, after the system's, assistant's turn, user's turn."""
+    turn, follow = {0: "u", 1: "u", 2: "a", 3: "u"}, {0: 2, 1: 2, 2: 3, 3: 2}
+    rows = []
+    for state in turn:
+        for at, letters, cost in ((state, "", 0), (follow[state], "I", 5)):
+            rows.append((state, at, letters + "D", cost + 2, "", "", 0))
+            rows.append((state, follow[at], letters + "K", cost, turn[at], "", 1))
+            rows.append((state, follow[at], letters + "R", cost + 1, "", turn[at], 1))
+            if at == 0:
+                rows.append((state, 1, letters + "K", cost, "s", "", 1))
+    return ", ".join(map(str, rows))
+
+
+_REPAIR_ORACLE = f"""
+WITH RECURSIVE crc AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN (c & 1) = 1
+                              THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i))),
+k AS (SELECT *, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+d AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+             xor(list_reduce([4294967295] || list_transform(string_split(key, ''), lambda x: CAST(ascii(x) AS BIGINT)),
+                             lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 20 AS r FROM k, crc),
+x AS (SELECT conv_id, turn, CASE WHEN r = 4 THEN 'user' ELSE role END AS role, CASE WHEN r = 1 THEN '' WHEN r = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+             unnest(range(CASE WHEN r = 3 THEN 2 ELSE 1 END)) AS copy FROM d WHERE r <> 0),
+o AS (SELECT conv_id, turn, role, text, substr(role, 1, 1) AS ini, regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g') AS solid,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i FROM x),
+f AS MATERIALIZED (SELECT *, solid = '' AS blank, solid <> '' AND again AS dup, solid <> '' AND NOT again AND right(solid, 1) NOT IN ('.', '!', '?') AS cut
+      FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+                   coalesce(lag(ini) OVER (PARTITION BY conv_id ORDER BY i) || ini NOT IN ('su', 'ua', 'au'), false) AS bad FROM o)),
+g AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (dup) AS duplicate,
+             count(*) FILTER (cut) AS truncated, count(*) FILTER (bad) AS illegal, max(i) AS n FROM f GROUP BY conv_id),
+m(s, after, letters, cost, want, avoid, stays) AS (VALUES {_repair_moves()}),
+w(conv_id, i, s, best) AS (SELECT conv_id, CAST(0 AS BIGINT), 0, '00000000' FROM g UNION ALL
+      SELECT w.conv_id, f.i, m.after, min(printf('%08d', CAST(substr(w.best, 1, 8) AS INTEGER) + m.cost + CASE WHEN m.stays = 1 AND f.cut THEN 5 ELSE 0 END) || substr(w.best, 9) || m.letters)
+      FROM w JOIN f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1
+      JOIN m ON m.s = w.s AND (m.stays = 0 OR NOT (f.blank OR f.dup)) AND (m.want = '' OR m.want = f.ini) AND (m.avoid = '' OR m.avoid <> f.ini) GROUP BY w.conv_id, f.i, m.after),
+e AS (SELECT g.conv_id, min(CASE WHEN s = 2 THEN printf('%08d', CAST(substr(best, 1, 8) AS INTEGER) + 5) || substr(best, 9) || 'I' ELSE best END) AS best
+      FROM g JOIN w ON g.conv_id IS NOT DISTINCT FROM w.conv_id AND w.i = g.n WHERE s <> 1 GROUP BY g.conv_id),
+l AS (SELECT conv_id, p, substr(best, 8 + p, 1) AS letter FROM (SELECT conv_id, best, unnest(range(1, length(best) - 7)) AS p FROM e)),
+a AS (SELECT *, count(*) FILTER (letter <> 'I') OVER (PARTITION BY conv_id ORDER BY p) AS i FROM l),
+b AS (SELECT a.conv_id, a.p, a.letter, CASE WHEN a.letter <> 'I' THEN f.role END AS role, CASE WHEN a.letter = 'I' THEN '' ELSE f.text END AS text,
+             row_number() OVER (PARTITION BY a.conv_id ORDER BY a.p) - 1 AS q FROM a LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM a.conv_id AND f.i = a.i WHERE a.letter <> 'D'),
+c AS (SELECT *, max(CASE WHEN q = 0 AND letter = 'K' AND substr(role, 1, 1) = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id) AS system FROM b),
+t AS (SELECT conv_id, string_agg(CASE WHEN letter = 'K' THEN role WHEN (q - system) % 2 = 0 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY p) AS body FROM c GROUP BY conv_id)
+SELECT ids.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       CAST(coalesce(substr(e.best, 1, 8), '0') AS BIGINT) AS cost, coalesce(substr(e.best, 9), '') AS audit, sha256(coalesce(body, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) ids LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM ids.conv_id LEFT JOIN e ON e.conv_id IS NOT DISTINCT FROM ids.conv_id
+LEFT JOIN t ON t.conv_id IS NOT DISTINCT FROM ids.conv_id"""
+
+_EITHER_CASE = "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in "password|passwd|secret|token|api_?key")
+#: The texts that the patterns of a scan match, and for runs of a class those of a window's length or more.
+_SECRET_PATTERNS = {"assign": f"(?:{_EITHER_CASE})[\"'']?\\x20*[:=]\\x20*[\"'']?[A-Za-z0-9+/_.=-]+", "access": "AKIA[A-Z0-9]+", "hex": "[0-9a-f]{24,}",
+                    **{c.kind: f"[{re.escape(c.characters.decode())}]{{{c.window},}}" for c in secret_scan.CLASSES}}
+
+
+def _secret_oracle() -> str:
+    kinds = list(_SECRET_PATTERNS)
+    found = " UNION ALL ".join(f"SELECT rid, {i} AS kind, regexp_extract_all(t, '{p}') AS hits, string_split_regex(t, '{p}') AS gaps FROM d" for i, p in enumerate(_SECRET_PATTERNS.values()))
+    value = f"regexp_extract(hit, '^(?:{_EITHER_CASE})[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)$', 1)"
+    parts = " OR ".join(f"contains(lower(hit), '{p.lower()}')" for p in secret_scan.ALLOWED_PARTS)
+    forms = " OR ".join(f"regexp_full_match(hit, '{f}')" for f in secret_scan.ALLOWED_FORMS)
+    classes = " UNION ALL ".join(
+        f"SELECT rid, kind, a, {c.window} AS w, unnest(list_filter(range(0, length(hit) - {c.window - 1}), lambda i: list_sum(list_transform("
+        f"map_values(list_aggregate(string_split(hit[i + 1:i + {c.window}], ''), 'histogram')), lambda n: ([{', '.join(map(str, secret_scan.entropy_units(c.window)[1:]))}])[CAST(n AS BIGINT)])) "
+        f"<= {secret_scan.most_units(c.window, c.bits)})) AS i FROM s WHERE kind = {len(secret_scan.KINDS) + j} AND NOT ({parts} OR {forms})" for j, c in enumerate(secret_scan.CLASSES))
+    shown = lambda where: f"coalesce(string_agg(name || ':' || a || ':' || b, ',' ORDER BY a, kind) {where}, '')"
+    base = len(secret_scan.KINDS)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+p AS (SELECT rid, kind, hit, k, length(gap) AS g FROM (SELECT rid, kind, unnest(hits) AS hit, unnest(gaps[1:len(hits)]) AS gap, unnest(range(len(hits))) AS k FROM ({found}))),
+s AS MATERIALIZED (SELECT rid, kind, hit, CAST(sum(g + length(hit)) OVER (PARTITION BY rid, kind ORDER BY k) AS BIGINT) - length(hit) AS a FROM p),
+b AS (SELECT rid, kind, a, a + length(hit) AS b FROM s WHERE (kind = 0 AND length({value}) >= 6) OR (kind = 1 AND length(hit) >= 20) OR kind = 2),
+h AS (SELECT rid, kind, a, a + i AS x, w, lag(a + i) OVER (PARTITION BY rid, kind, a ORDER BY i) AS before FROM ({classes})),
+e AS (SELECT rid, kind, min(x) AS a, max(x) + any_value(w) AS b FROM (SELECT *, sum(CASE WHEN before IS NULL OR x > before + w THEN 1 ELSE 0 END) OVER (PARTITION BY rid, kind, a ORDER BY x) AS part FROM h)
+      GROUP BY rid, kind, a, part),
+z AS (SELECT *, ({kinds})[kind + 1] AS name FROM (SELECT * FROM b UNION ALL
+      SELECT * FROM e WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.rid = e.rid AND b.a <= e.a AND e.b <= b.b)))
+SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+       sha256({shown(f"FILTER (kind < {base})")}) AS base_sha256, {shown("")} AS spans FROM d LEFT JOIN z USING (rid) GROUP BY rid, doc_id"""
+
+
 ORACLES = {
+    "op11_conversation_repair": _REPAIR_ORACLE,
+    "op12_secret_scan": _secret_oracle(),
     "op2_substring_dedup": f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
 h AS (SELECT rid, i, md5(array_to_string(w[i:i + 34], ' ')) AS key
