@@ -10,20 +10,12 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def scaler_stages(cols: Sequence[str], with_mean: bool = False, handle_invalid: str = "error"):
-    """Assembler + scaler (sample std; ``with_mean`` off by default, the
-    forest workload's setting)."""
-    return [VectorAssembler(inputCols=list(cols), outputCol="raw_features", handleInvalid=handle_invalid),
-            StandardScaler(inputCol="raw_features", outputCol="features", withMean=with_mean, withStd=True)]
-
-
 def forest_estimator(label: str = "label", num_trees: int = 4, max_depth: int = 3, seed: int = 42,
                      subsampling_rate: float = 1.0, feature_subset: str = "auto",
                      max_bins: int = 32) -> RandomForestClassifier:
@@ -43,8 +35,9 @@ def fit_forest(train: DataFrame, cols: Sequence[str], label: str = "label",
     all rows before the split, as the original workload does).  The forest
     is fitted on ``train`` either way.
     """
+    from lodestar.operators.features import scaler_pipeline
     from lodestar.session import persisted
-    stages = scaler_stages(cols, with_mean, handle_invalid)
+    stages = scaler_pipeline(cols, with_mean, handle_invalid=handle_invalid).getStages()  # sample std; without the mean by default
     rf = forest_estimator(label=label, **forest)
     # The fit reads its input several times (scaler statistics, forest
     # metadata, split candidates, the binned training set): persist the few
