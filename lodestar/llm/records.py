@@ -117,7 +117,8 @@ def write_records(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
     from tokenizers import Tokenizer
     width = 2 if Tokenizer.from_file(tokenizer_path).get_vocab_size() <= 1 << 16 and end_id < 1 << 16 else 4
     rows = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
-    rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # The start of the text too, so that rows of one id (or without one) are not one task's; it orders them as the text does.
+    rows = rows.repartitionByRange("doc_id", F.substring("text", 1, 64)).sortWithinPartitions("doc_id", "text")
     index = rows.mapInArrow(lambda it: _write_partition(it, f"{folder}/data", tokenizer_path, end_id, width), INDEX)
     index.write.parquet(f"{folder}/index")
     return docs.sparkSession.read.schema(INDEX).parquet(f"{folder}/index")
