@@ -40,6 +40,8 @@ Where vertices are hot, an adjacency list is also cut into blocks of
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -148,19 +150,19 @@ def oriented_edges(canon: DataFrame, order: str = "degree", hot_degree: int = HO
     return _orient(canon, order, hot_degree, max_hot)[0].select("u", "v")
 
 
-def adjacency(oriented: DataFrame) -> DataFrame:
+def adjacency(oriented: DataFrame, beside: Sequence[str] = ()) -> DataFrame:
     """``(u, nbrs)``: out-neighbours of every vertex with an out-edge, in
-    increasing rank (``rh``, ``rd`` when given, then ``v``).
+    increasing rank (``rh``, ``rd`` when given, then ``v``); with ``beside`` they are structs of ``v`` and those columns.
 
     The not-null filter is explicit so that both consumers of ``adj`` in
     :func:`closing_corners` see the same plan and share one computation."""
     o = oriented.filter(F.col("u").isNotNull())
     rank = [c for c in ("rh", "rd") if c in oriented.columns]
-    if not rank:
+    if not rank and not beside:
         return o.groupBy("u").agg(F.array_sort(F.collect_list("v")).alias("nbrs"))
-    key = F.struct(*rank, "v")  # flat: arrays of flat structs sort fast
-    return (o.groupBy("u").agg(F.array_sort(F.collect_list(key)).alias("nb"))
-            .select("u", F.transform("nb", lambda x: x["v"]).alias("nbrs")))
+    key = F.struct(*rank, "v", *beside)  # flat: arrays of flat structs sort fast
+    kept = (lambda x: F.struct(x["v"].alias("v"), *[x[c].alias(c) for c in beside])) if beside else (lambda x: x["v"])
+    return o.groupBy("u").agg(F.array_sort(F.collect_list(key)).alias("nb")).select("u", F.transform("nb", kept).alias("nbrs"))
 
 
 def closing_corners(edges: DataFrame, src: str = "src", dst: str = "dst",
@@ -173,33 +175,57 @@ def closing_corners(edges: DataFrame, src: str = "src", dst: str = "dst",
     with ``a < b``, distinct.  ``store_input``: the edges are read several
     times; set it false if they are a stored table already.
     """
-    return _corners(_stored(edges, "edges", store_input), src, dst, order, canonical, hot_degree, max_hot)
+    return _corners(_stored(edges, "edges", store_input), src, dst, order, canonical, hot_degree, max_hot, every=True)
 
 
 def _corners(edges: DataFrame, src: str, dst: str, order: str, canonical: bool,
-             hot_degree: int, max_hot: int) -> DataFrame:
+             hot_degree: int, max_hot: int, every: bool = False, wanted: DataFrame | None = None) -> DataFrame:
+    """See :func:`closing_corners`; without ``every``, edges that no third corner can follow are left out.
+
+    ``wanted`` (``id``): only triangles with a wanted corner.  Where neither end of an edge is wanted
+    it carries only the wanted ids of its suffix, so what is shuffled follows the subset."""
     canon = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")) if canonical \
         else canonical_edges(edges, src, dst)
     oriented, hot, t = _orient(canon, order, hot_degree, max_hot)
-    adj = adjacency(oriented)
+    if wanted is None:
+        adj = ids = adjacency(oriented)
+    else:
+        mark = lambda end, name: wanted.select(F.col("id").alias(end), F.lit(True).alias(name))
+        oriented = oriented.join(_small(wanted, mark("v", "wv"), max_hot), "v", "left").withColumn("wv", F.coalesce("wv", F.lit(False)))
+        adj = _stored(adjacency(oriented, ["wv"]), "adjacency")
+        ids = adj.select("u", F.transform("nbrs", lambda x: x["v"]).alias("nbrs"))
+        adj = adj.join(_small(wanted, mark("u", "wu"), max_hot), "u", "left").withColumn("wu", F.coalesce("wu", F.lit(False)))
+    own = [] if wanted is None else ["wu"]
     # A triangle u < v < w (by rank) is found at its lowest edge u -> v, and
     # w ranks above v: only the part of adj(u) after v can hold it.  With
     # adj(u) in rank order each edge carries that suffix, not the whole list.
     block = min(BLOCK, max(t, 1))
     tails, split = adj, None
     if hot is not None:
-        tails = adj.select("u", F.explode(F.sequence(F.lit(1), F.size("nbrs"), F.lit(block))).alias("at"), "nbrs") \
-            .select("u", "at", F.slice("nbrs", F.col("at"), F.size("nbrs") - F.col("at") + 1).alias("nbrs")) \
+        tails = adj.select("u", *own, F.explode(F.sequence(F.lit(1), F.size("nbrs"), F.lit(block))).alias("at"), "nbrs") \
+            .select("u", *own, "at", F.slice("nbrs", F.col("at"), F.size("nbrs") - F.col("at") + 1).alias("nbrs")) \
             .repartition("u", "at")
         split = hotkeys.salts(hot, "id", "deg", t, "v")
     starts = F.col("nbrs") if hot is None else F.slice("nbrs", 1, block)
-    fwd = tails.select("u", F.posexplode(starts).alias("i", "v"), "nbrs") \
-        .select("u", "v", F.slice("nbrs", F.col("i") + 2, F.size("nbrs") - F.col("i") - 1).alias("nu"))
-    back = adj.select(F.col("u").alias("v"), F.col("nbrs").alias("nv"))
+    suffix = F.slice("nbrs", F.col("i") + 2, F.size("nbrs") - F.col("i") - 1)
+    fwd = tails.select("u", *own, F.posexplode(starts).alias("i", "v"), "nbrs")
+    if wanted is None:
+        fwd = fwd.select("u", "v", suffix.alias("nu"))
+    else:
+        some = F.when(F.col("wu") | F.col("v.wv"), suffix).otherwise(F.filter(suffix, lambda x: x["wv"]))
+        fwd = fwd.select("u", F.col("v.v").alias("v"), F.transform(some, lambda x: x["v"]).alias("nu"))
+    if not every:
+        fwd = fwd.where(F.size("nu") > 0)
+    back = ids.select(F.col("u").alias("v"), F.col("nbrs").alias("nv"))
     j = hotkeys.salted_join(fwd, back, "v", "u", split)
     return j.select("u", "v", F.array_intersect("nu", "nv").alias("c"))
 
 
+def _small(table: DataFrame, same: DataFrame, max_hot: int) -> DataFrame:
+    """``same`` (a form of ``table``) marked for broadcast if the stored ``table`` has at most ``max_hot`` rows."""
+    return F.broadcast(same) if table.limit(max_hot + 1).count() <= max_hot else same
+
+
 def neighbourhood(canon: DataFrame, nodes: DataFrame, max_hot: int = MAX_HOT) -> DataFrame:
     """The edges of ``canon`` that triangles through ``nodes`` (``id``) can have: both ends are wanted or next to a wanted vertex.
 
@@ -209,7 +235,7 @@ def neighbourhood(canon: DataFrame, nodes: DataFrame, max_hot: int = MAX_HOT) ->
     """
     def within(ids: DataFrame, name: str) -> DataFrame:
         ids = _stored(ids, name)
-        return F.broadcast(ids) if ids.limit(max_hot + 1).count() <= max_hot else ids
+        return _small(ids, ids, max_hot)
 
     wanted = within(nodes.select("id").where("id is not null").distinct(), "wanted")
     next_to = [canon.join(wanted, F.col(end) == F.col("id"), "left_semi").select(F.explode(F.array("a", "b")).alias("id")) for end in ("a", "b")]
@@ -234,8 +260,9 @@ def triangle_counts(edges: DataFrame, src: str = "src", dst: str = "dst",
     count once.
 
     ``nodes``: optional DataFrame with an ``id`` column; only those vertices
-    (that are in the graph) are returned, and only the edges of their
-    :func:`neighbourhood` are oriented and intersected.
+    (that are in the graph) are returned, only the edges of their
+    :func:`neighbourhood` are oriented, and edges carry only ids that may close a
+    triangle with a wanted corner.
 
     ``method``: ``"adjacency"`` (above; ``order``, ``hot_degree`` and ``max_hot`` are its parameters) or
     ``"colours"`` (:mod:`lodestar.operators.colours`, tasks of about ``task_edges`` edges).
@@ -253,7 +280,8 @@ def triangle_counts(edges: DataFrame, src: str = "src", dst: str = "dst",
     if method == "colours":
         contrib = _by_colours(counted, *ends, is_canonical, False, task_edges).counts()
     else:
-        t = _corners(counted, *ends, order, is_canonical, hot_degree, max_hot).filter(F.size("c") > 0)
+        wanted = None if nodes is None else _stored(nodes.select("id").where("id is not null").distinct(), "wanted")
+        t = _corners(counted, *ends, order, is_canonical, hot_degree, max_hot, wanted=wanted).filter(F.size("c") > 0)
         n = F.size("c").cast("bigint")
         # u and v are in |c| triangles each; every w in c is in one more.
         contrib = t.select(F.inline(F.concat(
@@ -280,7 +308,7 @@ def triangle_total(edges: DataFrame, src: str = "src", dst: str = "dst",
         raise ValueError("method must be 'adjacency' or 'colours'")
     if method == "colours":
         return _by_colours(edges, src, dst, canonical, store_input, task_edges).total()
-    t = closing_corners(edges, src, dst, order, canonical, hot_degree, max_hot, store_input)
+    t = _corners(_stored(edges, "edges", store_input), src, dst, order, canonical, hot_degree, max_hot)
     return t.agg(F.coalesce(F.sum(F.size("c").cast("bigint")), F.lit(0).cast("bigint")).alias("total"))
 
 

@@ -93,3 +93,33 @@ def test_neighbourhood_keeps_what_a_subset_needs_and_no_more(spark):
     nodes = spark.createDataFrame([(1,)], "id BIGINT")
     assert rows(G.neighbourhood(canon, nodes)) == [(0, 1), (0, 2), (1, 2)]
     assert rows(G.neighbourhood(canon, nodes, max_hot=0)) == [(0, 1), (0, 2), (1, 2)]
+
+
+@pytest.mark.parametrize("order", ["degree", "id"])
+@pytest.mark.parametrize("hot_degree", [10_000, 15])
+def test_subset_of_every_size(spark, order, hot_degree):
+    pairs = random_graph(4, n=70, m=400, hubs=2)
+    expect = brute(pairs)
+    for k in (1, 5, 35):
+        nodes = spark.createDataFrame([(i * 2,) for i in range(k)], "id BIGINT")
+        got = G.triangle_counts(edges(spark, pairs), nodes=nodes, order=order, hot_degree=hot_degree)
+        assert dict(rows(got)) == {i: n for i, n in expect.items() if i in range(0, 2 * k, 2)}
+
+
+def test_what_a_subset_shuffles_follows_it(spark):
+    """Ids that edges carry to their second corner: all of the graph's, and those of a few vertices."""
+    import random as r
+    gen = r.Random(6)
+    e = G._stored(edges(spark, [(gen.randrange(400), gen.randrange(400)) for _ in range(12_000)]), "edges")
+    carried = []
+    for k in (400, 4):
+        wanted = G._stored(spark.range(k), "wanted")
+        seen = []
+        real = G.hotkeys.salted_join
+        try:
+            G.hotkeys.salted_join = lambda big, *rest: (seen.append(big) or real(big, *rest))
+            G._corners(e, "src", "dst", "id", False, 10_000, 1000, wanted=wanted)
+        finally:
+            G.hotkeys.salted_join = real
+        carried.append(seen[-1].agg(F.sum(F.size("nu"))).first()[0])
+    assert carried[1] < carried[0] / 10
