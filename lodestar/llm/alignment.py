@@ -16,7 +16,7 @@ so the pairs possible are bounded by the vocabularies (``possible_pairs``: every
 some hundred thousand), however large the corpus is; so the counts are collected and broadcast.
 
 Every text is encoded once; the ids are written to the shared folder and read for the counts and for
-the result.  Documents are never shuffled.  Texts are worked off in slices of a few megabytes.
+the result.  Documents are never shuffled.  Texts are worked off in slices of half a megabyte, longer texts by themselves.
 
 Texts that the tokens of either side do not spell byte by byte (such as those that hold U+2581, which
 stands for a space in pieces) have no tokens.  Strings of special tokens are ordinary text.
@@ -38,11 +38,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.llm.bytescan import SLICE_BYTES, ragged_arange, string_buffers, text_slices
+from lodestar.llm.bytescan import ragged_arange, string_buffers, text_slices
 from lodestar.llm.components import stored
 from lodestar.llm.encoding import ChunkEncoder, encoder
 
 SPACE = "▁"
+SLICE = 1 << 19       # bytes of text, or of the first side's ids, worked off at a time
 
 
 # ---- sparse matrices ------------------------------------------------------------------------------------------------
@@ -250,42 +251,41 @@ def _wide(column) -> pa.Array:
     return pc.if_else(pc.equal(pc.binary_length(text), 0), "", pc.binary_join_element_wise(" ", text, ""))
 
 
+def _id_kind(spelt: Spelling) -> np.dtype:
+    """Ids are written as little-endian numbers of 16 bits where the vocabulary fits, else 32."""
+    return np.dtype("<u2" if len(spelt.length) <= 1 << 16 else "<u4")
+
+
 def _encoded(batches: Iterator[pa.RecordBatch], files: Files, spelling) -> Iterator[pa.RecordBatch]:
-    """Ids of both sides of each text, as little-endian 32-bit numbers; none where either does not spell the text."""
+    """Ids of both sides of each text; none where either does not spell the text."""
     for batch in batches:
-        text = _wide(batch.column("__text"))
-        found: tuple[list, list] = ([], [])
-        for lo, hi, data, offsets in text_slices(text):
+        text, rest = _wide(batch.column("__text")), batch.drop_columns(["__text"])
+        for lo, hi, data, offsets in text_slices(text, SLICE):
             some = text.slice(lo, hi - lo)
             good = np.diff(offsets) > 0
             sides = []
             for enc, spelt in zip((encoder(files.a), piece_encoder(files.b)), spelling.value):
                 ids, counts = enc.encode(some)
                 good = good & spelt.spells(ids, counts, data, offsets)
-                sides.append((ids, counts))
-            for out, (ids, counts) in zip(found, sides):
-                out.append((ids[np.repeat(good, counts)].astype("<u4"), np.where(good, counts, 0)))
-        rest = batch.drop_columns(["__text"])
-        yield pa.RecordBatch.from_arrays([*rest.columns, *map(_binaries, found)], names=[*rest.schema.names, "__a", "__b"])
-
-
-def _binaries(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.Array:
-    """Runs of ids and how many each text has, as one binary value a text."""
-    counts = np.concatenate([np.zeros(0, np.int64), *(n for _, n in parts)])
-    ends = (4 * np.concatenate([[0], np.cumsum(counts)])).astype("<i8")
-    raw = b"".join(ids.tobytes() for ids, _ in parts)
-    return pa.Array.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(raw)]).cast(pa.binary())
+                sides.append((ids, counts, _id_kind(spelt)))
+            columns = []
+            for ids, counts, kind in sides:
+                ends = kind.itemsize * np.concatenate([[0], np.cumsum(np.where(good, counts, 0))])
+                raw = ids[np.repeat(good, counts)].astype(kind).tobytes()
+                columns.append(pa.Array.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer(ends.astype("<i4").tobytes()), pa.py_buffer(raw)]))
+            yield pa.RecordBatch.from_arrays([*rest.slice(lo, hi - lo).columns, *columns], names=[*rest.schema.names, "__a", "__b"])
 
 
-def _slices(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def _slices(batch: pa.RecordBatch, spelling) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Ids of both sides of runs of texts, and the texts' bounds in each."""
-    (raw_a, at_a), (raw_b, at_b) = (string_buffers(batch.column(c)) for c in ("__a", "__b"))
-    lo, n = 0, batch.num_rows
+    sides = [(*string_buffers(batch.column(c)), _id_kind(spelt)) for c, spelt in zip(("__a", "__b"), spelling.value)]
+    lo, n, at = 0, batch.num_rows, sides[0][1]
     while lo < n:
-        hi = max(lo + 1, int(np.searchsorted(at_a, at_a[lo] + SLICE_BYTES, "right")) - 1)
-        ids = [raw[at[lo]:at[hi]].view("<u4") if (at[lo] - at[0]) % 4 == 0 and raw[at[lo]:at[hi]].ctypes.data % 4 == 0 else np.frombuffer(raw[at[lo]:at[hi]].tobytes(), "<u4")
-               for raw, at in ((raw_a, at_a), (raw_b, at_b))]
-        yield ids[0], (at_a[lo:hi + 1] - at_a[lo]) // 4, ids[1], (at_b[lo:hi + 1] - at_b[lo]) // 4
+        hi = max(lo + 1, int(np.searchsorted(at, at[lo] + SLICE, "right")) - 1)
+        out = []
+        for raw, place, kind in sides:
+            out += [np.frombuffer(raw[place[lo]:place[hi]].tobytes(), kind).astype(np.int64), (place[lo:hi + 1] - place[lo]) // kind.itemsize]
+        yield tuple(out)
         lo = hi
 
 
@@ -298,7 +298,7 @@ def _pair_counts(batches: Iterator[pa.RecordBatch], spelling) -> Iterator[pa.Rec
     length_a, length_b = (s.length for s in spelling.value)
     keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
     for batch in batches:
-        for a, _, b, _ in _slices(batch):
+        for a, _, b, _ in _slices(batch, spelling):
             x, y = align(length_a[a], length_b[b]).end_links()
             found, n = np.unique(_keys(a[x], b[y]), return_counts=True)
             keys, where = np.unique(np.concatenate([keys, found]), return_inverse=True)
@@ -358,7 +358,7 @@ def _results(batches: Iterator[pa.RecordBatch], spelling, shared) -> Iterator[pa
     names = [f"{i}{sign}" for sign in ",|;" for i in range(size)]
     for batch in batches:
         columns: list[list] = [[] for _ in RESULTS]
-        for a, first_a, b, first_b in _slices(batch):
+        for a, first_a, b, first_b in _slices(batch, spelling):
             found = align(length_a[a], length_b[b])
             x, y = found.end_links()
             at = np.searchsorted(pairs.keys, _keys(a[x], b[y]))
@@ -412,7 +412,7 @@ def token_links(docs: DataFrame, files: Files, keep: Sequence[str], text: str =
         for batch in batches:
             rest = batch.drop_columns(["__a", "__b"])
             for i in range(batch.num_rows):
-                for a, _, b, _ in _slices(batch.slice(i, 1)):
+                for a, _, b, _ in _slices(batch.slice(i, 1), spelling):
                     found = align(length_a[a], length_b[b])
                     starts_a, starts_b = found.ends_a - length_a[a], found.ends_b - length_b[b]
                     largest = max(1, int(np.diff(np.searchsorted(found.group_b, np.arange(len(found.cuts) + 1))).max())) if len(b) else 1
