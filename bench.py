@@ -22,7 +22,7 @@ from statistics import median
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from lodestar.operators import classify, clustering, features, graph, split  # noqa: E402
+from lodestar.operators import bagging, classify, clustering, features, graph, split  # noqa: E402
 from lodestar.plans import catalog  # noqa: E402
 from lodestar.plans.report import force  # noqa: E402
 from lodestar.session import get_session, persisted, shared_dir  # noqa: E402
@@ -53,6 +53,10 @@ def q_triangle_total_id_order(spark, sf, ctx):
     graph.triangle_total(ctx["E"], "a", "b", canonical=True, order="id", store_input=False).first()
 
 
+def q_triangle_total_colours(spark, sf, ctx):
+    graph.triangle_total(ctx["E"], "a", "b", canonical=True, store_input=False, method="colours").first()
+
+
 def q_triangle_counts(spark, sf, ctx):
     force(graph.triangle_counts(ctx["E"], "a", "b", canonical=True, store_input=False))
 
@@ -86,6 +90,15 @@ def q_forest(spark, sf, ctx):
         classify.metrics(classify.score(model, valid, keep=POINT_KEY)).collect()
 
 
+def q_bagged_forest(spark, sf, ctx):
+    """Four trees of depth 3 on hashed draws, and the held-out loss after each."""
+    df = features.derive_and_filter(points_view(spark, sf), 11.0, 0.1).select(*POINT_KEY, *catalog.FOREST_FEATURES, "label")
+    with persisted(df) as df:
+        train, valid = split.hash_split(df, POINT_KEY, 0.7)
+        model = bagging.fit_bagged_forest(train, catalog.FOREST_FEATURES, POINT_KEY)
+        bagging.staged_metrics(bagging.staged_scores(model, valid, ["label"])).collect()
+
+
 def q_split_tail(spark, sf, ctx):
     force(split.with_tail_side(points_view(spark, sf).select(*POINT_KEY), POINT_KEY, 0.3))
 
@@ -100,8 +113,8 @@ def q_synth_points(spark, sf, ctx):
 
 
 QUERIES = [q_derive_filter, q_column_stats, q_part_graph_build, q_triangle_total, q_triangle_total_id_order,
-           q_triangle_counts,
-           q_triangle_total_raw, q_lloyd_kmeans, q_mllib_kmeans, q_forest, q_split_tail, q_split_hash,
+           q_triangle_total_colours, q_triangle_counts,
+           q_triangle_total_raw, q_lloyd_kmeans, q_mllib_kmeans, q_forest, q_bagged_forest, q_split_tail, q_split_hash,
            q_synth_points]
 
 

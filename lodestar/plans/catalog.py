@@ -491,7 +491,7 @@ def edge_list_short_lines(spark, sf):
 def synth_points(spark, sf):
     """One generated point for each lineitem row, from the row's key."""
     ids = table(spark, sf, "lineitem").select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("bigint").alias("id"))
-    df = points_for_ids(ids, seed=42)
+    df = points_for_ids(ids, seed=42, partitions=2 * spark.sparkContext.defaultParallelism)
     return df.select("id", *[_r(c) for c in FEATURES], "category_1", "category_2", "label")
 
 

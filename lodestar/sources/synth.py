@@ -38,9 +38,14 @@ def _uniform(digest: Column, j: int) -> Column:
     return (word.cast("double") + F.lit(0.5)) / F.lit(4294967296.0)
 
 
-def points_for_ids(ids: DataFrame, seed: int = 42, id_col: str = "id") -> DataFrame:
-    """Synthetic point for every row of ``ids`` (a DataFrame with a bigint id)."""
+def points_for_ids(ids: DataFrame, seed: int = 42, id_col: str = "id", partitions: int | None = None) -> DataFrame:
+    """Synthetic point for every row of ``ids`` (a DataFrame with a bigint id).
+
+    ``partitions``: spread the ids over so many tasks first; making a point costs far more than
+    moving an id, so a table of few files would leave cores idle."""
     i = F.col(id_col)
+    if partitions:
+        ids = ids.select(i).repartition(partitions)
     d = [_digest(seed, i, s) for s in ("a", "b", "c")]
     u = [_uniform(d[k // 4], k % 4) for k in range(12)]
     base = ids.select(i.alias("id"), *[x.alias(f"_u{k}") for k, x in enumerate(u)])
