@@ -9,11 +9,13 @@
    table form a bucket.  Keys have about ``log2(classes) - 3`` bits, so a bucket
    holds some classes whatever the size of the data.  The tables of one rotation
    share no bits; when its bits are used up, another rotation is learnt.
-4. Within a bucket all pairs are ranked again with the original vectors, by a
-   matrix product in double precision.  A large bucket is cut into blocks
-   of ``BLOCK`` classes and every pair of blocks is a task's group of its own.
-   Pairs do not leave the task: a pair is counted in the first table in which
-   the two keys are equal, and only counts per class and the links of a
+   Only codes are dealt to the tables, not vectors.
+4. A large bucket is cut into blocks of ``BLOCK`` classes and every pair of blocks is a task's group of
+   its own.  Within a group, pairs are dropped that met in an earlier table (the codes tell) or whose
+   whole codes differ in more bits than any probe at the threshold did; the classes that
+   are left in some pair get their vectors, and the group's pairs are ranked again with these, by a
+   matrix product in double precision.  Pairs do not leave the task: a pair is counted in the
+   first table in which the two keys are equal, and only counts per class and the links of a
    spanning forest go out.
 5. The forests make components.
 
@@ -135,23 +137,73 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def _keyed(batches: Iterator[pa.RecordBatch], fitted, dtype: type) -> Iterator[pa.RecordBatch]:
-    """A row for each class and table: its key there, those of all tables before, and the vector."""
-    mean, rotation, positions = fitted.value
+def hamming_limit(sample: np.ndarray, fitted: tuple[np.ndarray, np.ndarray, np.ndarray], threshold: float) -> int:
+    """The most bits in which the codes of a probe's two vectors differ (all bits if there are no probes)."""
+    mean, rotation, _ = fitted
+    most = [int((((a - mean) @ rotation > 0) != ((b - mean) @ rotation > 0)).sum(1).max()) for a, b in probes(sample, threshold)]
+    return max(most) if most else rotation.shape[1]
+
+
+def _keyed(batches: Iterator[pa.RecordBatch], fitted) -> Iterator[pa.RecordBatch]:
+    """A row for each class and table: its key there, and its code (all bits)."""
+    mean, rotation, positions = fitted.value[:3]
     tables = len(positions)
     for whole in batches:
-        step = max(1, KEYED_BYTES // (tables * (4 * tables + 8 * len(mean) + 64)))
+        step = max(1, KEYED_BYTES // (tables * (rotation.shape[1] // 8 + 64)))
         for batch in (whole.slice(s, step) for s in range(0, whole.num_rows, step)):
-            x = _matrix(batch.column("v"))
-            keys = keys_of((_unit(x) - mean) @ rotation > 0, positions)
-            rows = [v.tobytes() for v in x.astype(dtype)]
-            earlier = [k[:8 * t] for k in (k.tobytes() for k in keys) for t in range(tables)]
-            take = np.repeat(np.arange(len(x)), tables)
-            pick = lambda c: batch.column(c).take(pa.array(take))  # noqa: E731, B023
+            codes = (_unit(_matrix(batch.column("v"))) - mean) @ rotation > 0
+            keys = keys_of(codes, positions)
+            take = pa.array(np.repeat(np.arange(len(codes)), tables))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.reshape(-1).view(np.int64)), pa.array(np.tile(np.arange(tables), len(x)), pa.int32()), pick("class"), pick("copies"),
-                 pa.array(earlier, pa.binary()), pa.array(rows, pa.binary()).take(pa.array(take))],
-                names=["key", "table", "class", "copies", "earlier", "v"])
+                [pa.array(keys.reshape(-1).view(np.int64)), pa.array(np.tile(np.arange(tables), len(codes)), pa.int32()), batch.column("class").take(take),
+                 pa.array([c.tobytes() for c in np.packbits(codes, 1)], pa.binary()).take(take)], names=["key", "table", "class", "code"])
+
+
+def _bits(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
+    raw = column.to_pylist()
+    return np.unpackbits(np.frombuffer(b"".join(raw), np.uint8).reshape(len(raw), -1), axis=1, count=width).astype(bool)
+
+
+def _not_met_before(near: np.ndarray, codes: np.ndarray, positions: np.ndarray, table: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of a symmetric boolean matrix whose keys differ in all tables before ``table``."""
+    i, j = np.nonzero(np.triu(near))
+    if table and len(i):
+        for column in keys_of(codes, positions[:table]).T:
+            apart = column[i] != column[j]
+            i, j = i[apart], j[apart]
+    return i, j
+
+
+def _groups(table: pa.Table) -> Iterator[tuple[slice, bool, int]]:
+    """Rows, whether of two blocks, and the hash table of each group of two rows or more."""
+    group = np.stack([table[c].to_numpy() for c in ("key", "b1", "b2")], 1)
+    bounds = np.append(np.flatnonzero(np.append(True, (group[1:] != group[:-1]).any(1))), len(group))
+    tables = table["table"].to_numpy()
+    for g in np.flatnonzero(np.diff(bounds) > 1).tolist():
+        yield slice(bounds[g], bounds[g + 1]), bool(group[bounds[g]][1] != group[bounds[g]][2]), int(tables[bounds[g]])
+
+
+_MEMBER = ["key", "table", "b1", "b2", "own", "class", "code"]
+
+
+def _survivors(batches: Iterator[pa.RecordBatch], fitted) -> Iterator[pa.RecordBatch]:
+    """The members of each group that are in a pair not met before with codes near enough."""
+    _, rotation, positions, limit = fitted.value
+    for table in whole_groups(batches, ["key", "b1", "b2"]):
+        if not table.num_rows:
+            continue
+        codes, own, keep = _bits(table["code"], rotation.shape[1]), table["own"].to_numpy(), np.zeros(table.num_rows, bool)
+        for s, across, t in _groups(table):
+            x = codes[s].astype(np.float32)
+            ones = x.sum(1)
+            near = ones[:, None] + ones[None, :] - 2 * x @ x.T <= limit
+            np.fill_diagonal(near, False)
+            if across:
+                near &= own[s][:, None] != own[s][None, :]  # two blocks: only pairs across
+            for side in _not_met_before(near, codes[s], positions, t):
+                keep[s.start + side] = True
+        if keep.any():
+            yield from table.filter(pa.array(keep)).select(_MEMBER).combine_chunks().to_batches()
 
 
 def _forest(linked: np.ndarray) -> list[tuple[int, int]]:
@@ -190,31 +242,23 @@ def whole_groups(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Itera
         yield pa.Table.from_batches(held)
 
 
-def _link_groups(batches: Iterator[pa.RecordBatch], threshold: float, dtype: type) -> Iterator[pa.RecordBatch]:
+def _link_groups(batches: Iterator[pa.RecordBatch], threshold: float, fitted) -> Iterator[pa.RecordBatch]:
     """Per class its number of links found here, and links that keep the components."""
+    _, rotation, positions = fitted.value[:3]
     for table in whole_groups(batches, ["key", "b1", "b2"]):
         if not table.num_rows:
             continue
-        group = np.stack([table[c].to_numpy() for c in ("key", "b1", "b2")], 1)
-        new = np.append(True, (group[1:] != group[:-1]).any(1))
-        bounds = np.append(np.flatnonzero(new), len(group))
-        many = np.flatnonzero(np.diff(bounds) > 1)
-        names, copies, own = table["class"].to_numpy(), table["copies"].to_numpy(), table["own"].to_numpy()
-        v, keys = table["v"].to_pylist(), table["earlier"].to_pylist()
+        names, copies, own = (table[c].to_numpy() for c in ("class", "copies", "own"))
+        v, codes = _matrix(table["v"].combine_chunks()), _bits(table["code"], rotation.shape[1])
         counted: dict[int, int] = {}
         edges: list[tuple[int, int]] = []
-        for g in many.tolist():
-            s = slice(bounds[g], bounds[g + 1])
-            x = _unit(np.frombuffer(b"".join(v[s]), dtype).reshape(bounds[g + 1] - bounds[g], -1).astype(np.float64))
-            k = np.frombuffer(b"".join(keys[s]), np.uint64).reshape(len(x), len(keys[s.start]) // 8)
+        for s, across, t in _groups(table):
+            x = _unit(v[s])
             near = x @ x.T >= threshold
             np.fill_diagonal(near, False)
-            if group[s.start][1] != group[s.start][2]:
-                near &= own[s][:, None] != own[s][None, :]  # two blocks: only pairs across
-            i, j = np.nonzero(np.triu(near))
-            for column in k.T:  # met in an earlier table
-                apart = column[i] != column[j]
-                i, j = i[apart], j[apart]
+            if across:
+                near &= own[s][:, None] != own[s][None, :]
+            i, j = _not_met_before(near, codes[s], positions, t)
             if not len(i):
                 continue
             n, c = names[s], copies[s]
@@ -229,24 +273,24 @@ def _link_groups(batches: Iterator[pa.RecordBatch], threshold: float, dtype: typ
              pa.array([*counted.values(), *[0] * len(edges)], pa.int64())], names=["a", "b", "links"])
 
 
-def _links_of_length(classes: DataFrame, n: int, threshold: float, tables: int, sample: int, block: int, dtype: type) -> DataFrame:
+def _links_of_length(classes: DataFrame, n: int, threshold: float, tables: int, sample: int, block: int, kind: str) -> DataFrame:
     """``(a, b, links)`` rows for classes of one vector length."""
     spark = classes.sparkSession
     rows = classes.orderBy("class").limit(sample).select("v").collect()
     x = _unit(np.array([r["v"] for r in rows], np.float64))
     bits = int(min(x.shape[1], KEY_BITS, max(0, np.ceil(np.log2(n)) - 3)))
-    fitted = spark.sparkContext.broadcast(fit_tables(x, bits, threshold, tables))
-    keyed = classes.select("class", "copies", "v").mapInArrow(
-        lambda it: _keyed(it, fitted, dtype), "key long, table int, class long, copies long, earlier binary, v binary")
-    keyed = stored(keyed, "keyed")
+    found = fit_tables(x, bits, threshold, tables)
+    fitted = spark.sparkContext.broadcast((*found, hamming_limit(x, found, threshold)))
+    keyed = stored(classes.select("class", "v").mapInArrow(lambda it: _keyed(it, fitted), "key long, table int, class long, code binary"), "keyed")
     sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     parts = keyed.join(sizes, "key").withColumn("blocks", F.ceil(F.col("n") / block).cast("int")) \
         .withColumn("own", F.pmod(F.xxhash64("class", "table"), "blocks").cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    parts = parts.withColumn("other", other).withColumns({"b1": F.least("own", "other"), "b2": F.greatest("own", "other")})
-    parts = parts.select("key", "b1", "b2", "own", "class", "copies", "earlier", "v")
-    parts = parts.repartition("key", "b1", "b2").sortWithinPartitions("key", "b1", "b2")
-    return parts.mapInArrow(lambda it: _link_groups(it, threshold, dtype), "a long, b long, links long")
+    parts = parts.withColumn("other", other).withColumns({"b1": F.least("own", "other"), "b2": F.greatest("own", "other")}).select(*_MEMBER)
+    in_groups = lambda df: df.repartition("key", "b1", "b2").sortWithinPartitions("key", "b1", "b2")
+    members = stored(in_groups(parts).mapInArrow(lambda it: _survivors(it, fitted), "key long, table int, b1 int, b2 int, own int, class long, code binary"), "members")
+    vectors = classes.select("class", "copies", F.col("v").cast(kind).alias("v"))  # as many bytes as the input has
+    return in_groups(members.join(vectors, "class")).mapInArrow(lambda it: _link_groups(it, threshold, fitted), "a long, b long, links long")
 
 
 def near_vectors(vectors: DataFrame, threshold: float = 0.9, vec_id: str = "vec_id", vector: str = "embedding",
@@ -261,10 +305,10 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, vec_id: str = "vec_
     classes = stored(base.where("__v is not null").groupBy(F.col("__class").alias("class")).agg(
         F.count("*").alias("copies"), F.first("__v").alias("v")), "vector-classes")
     kind = vectors.schema[vector].dataType
-    dtype = np.float32 if isinstance(kind, ArrayType) and isinstance(kind.elementType, FloatType) else np.float64  # as many bytes as the input has
+    width = "array<float>" if isinstance(kind, ArrayType) and isinstance(kind.elementType, FloatType) else "array<double>"
     links = None
     for length, n in sorted(classes.groupBy(F.size("v")).count().collect()):
-        found = _links_of_length(classes.where(F.size("v") == length), n, threshold, tables, sample, block, dtype)
+        found = _links_of_length(classes.where(F.size("v") == length), n, threshold, tables, sample, block, width)
         links = found if links is None else links.unionByName(found)
     if links is None:
         links = vectors.sparkSession.createDataFrame([], "a long, b long, links long")
