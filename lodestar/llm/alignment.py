@@ -43,6 +43,7 @@ from lodestar.llm.components import stored
 from lodestar.llm.encoding import ChunkEncoder, encoder
 
 SPACE = "▁"
+REMEMBERED = 400_000  # chunks for each side
 SLICE = 1 << 19       # bytes of text, or of the first side's ids, worked off at a time
 
 
@@ -184,14 +185,17 @@ class PieceEncoder(ChunkEncoder):
         return bounds[:-1], bounds[1:], np.zeros(len(bounds) - 1, bool)
 
 
-_pieces: dict[str, PieceEncoder] = {}
+_encoders: dict[tuple[str, str], tuple[ChunkEncoder, PieceEncoder]] = {}
 
 
-def piece_encoder(path: str) -> PieceEncoder:
-    """This worker's encoder for a sentencepiece file."""
-    if path not in _pieces:
-        _pieces[path] = PieceEncoder(path)
-    return _pieces[path]
+def encoders(file_a: str, file_b: str) -> tuple[ChunkEncoder, PieceEncoder]:
+    """This worker's encoders for the two files; there are two, so each remembers fewer chunks."""
+    if (file_a, file_b) not in _encoders:
+        both = ChunkEncoder(file_a), PieceEncoder(file_b)
+        for e in both:
+            e.most = REMEMBERED
+        _encoders[file_a, file_b] = both
+    return _encoders[file_a, file_b]
 
 
 class Spelling:
@@ -264,7 +268,7 @@ def _encoded(batches: Iterator[pa.RecordBatch], files: Files, spelling) -> Itera
             some = text.slice(lo, hi - lo)
             good = np.diff(offsets) > 0
             sides = []
-            for enc, spelt in zip((encoder(files.a), piece_encoder(files.b)), spelling.value):
+            for enc, spelt in zip(encoders(files.a, files.b), spelling.value):
                 ids, counts = enc.encode(some)
                 good = good & spelt.spells(ids, counts, data, offsets)
                 sides.append((ids, counts, _id_kind(spelt)))
@@ -295,6 +299,7 @@ def _keys(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _pair_counts(batches: Iterator[pa.RecordBatch], spelling) -> Iterator[pa.RecordBatch]:
     """How many links hold each pair of ids linked, in one task."""
+    _encoders.clear()  # a worker that encoded before needs its memory now
     length_a, length_b = (s.length for s in spelling.value)
     keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
     for batch in batches:

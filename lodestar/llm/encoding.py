@@ -61,6 +61,8 @@ def _kind(path: str) -> str:
 
 
 class ChunkEncoder:
+    most = CACHE_CHUNKS  # chunks that this one remembers, if that is less
+
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
@@ -161,7 +163,7 @@ class ChunkEncoder:
             uniq, first, inverse = np.unique(hash_spans(data, starts, ends)[short], return_index=True, return_inverse=True)
             raw, s, e, o = data.tobytes(), starts[short][first], ends[short][first], one[short][first]
             new = np.flatnonzero(self._is_new(uniq))
-            if self.n_chunks + len(new) > CACHE_CHUNKS:
+            if self.n_chunks + len(new) > min(CACHE_CHUNKS, self.most):
                 self._clear()
                 new = np.arange(len(uniq))
             if len(new):
