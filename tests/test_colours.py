@@ -4,6 +4,7 @@ import random
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -123,3 +124,34 @@ def test_what_a_subset_shuffles_follows_it(spark):
             G.hotkeys.salted_join = real
         carried.append(seen[-1].agg(F.sum(F.size("nu"))).first()[0])
     assert carried[1] < carried[0] / 10
+
+
+def test_copies_of_edges_travel_packed(spark):
+    """What is shuffled for the tasks is some bytes an edge, and comes out as it went in."""
+    rng = random.Random(4)
+    canon = G._stored(G.canonical_edges(edges(spark, [(rng.randrange(20_000), rng.randrange(20_000)) for _ in range(60_000)])), "canon")
+    c = 3
+    packed = colours.packed_edges(canon.coalesce(1), c, chunk=25_000).collect()
+    plain = colours.coloured_edges(canon, c)
+    assert sum(r["n"] for r in packed) == plain.count()
+    assert sum(len(r["data"]) for r in packed) < 5 * plain.count()
+    kind = pa.int64()
+    out = [(r["triple"], *e, r["ca"], r["cb"]) for r in packed for e in zip(*(x.tolist() for x in colours.unpack_block(r["data"], r["n"], kind)))]
+    low_first = [(t, *((a, b, x, y) if x <= y else (b, a, y, x))) for t, a, b, x, y in rows(plain)]
+    assert sorted(out) == sorted(low_first)
+
+
+@pytest.mark.parametrize("kind, of", [("BIGINT", lambda x: (-1) ** x * (x << 57) + x), ("INT", lambda x: 2 ** 31 - 1 - x), ("STRING", lambda x: f"v{x}")])
+def test_ids_of_any_type_and_size(spark, kind, of):
+    pairs = random_graph(6, n=40, m=200)
+    e = spark.createDataFrame([(of(a), of(b)) for a, b in pairs], f"src {kind}, dst {kind}")
+    got = G.triangle_counts(e, method="colours", task_edges=60)
+    assert got.schema["id"].dataType == e.schema["src"].dataType
+    assert dict(rows(got)) == {of(x): n for x, n in brute(pairs).items()}
+
+
+def test_small_tasks_do_not_copy_edges_without_end(spark):
+    canon = G._stored(G.canonical_edges(edges(spark, random_graph(7, n=200, m=3000))), "canon")
+    parts = colours.Parts(canon, G.degrees(canon), G._stored, task_edges=20)
+    assert colours.colour_count(canon.count(), 20, 4) > parts.colours == colours.COPIES
+    assert parts.total().first()["total"] == sum(brute(random_graph(7, n=200, m=3000)).values()) // 3
