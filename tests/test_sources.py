@@ -72,3 +72,25 @@ def test_edge_list_with_short_and_long_lines(spark):
     assert rows(E.read_edge_list(spark, d, header=False, on_bad="drop")) == [(1, 2), (4, 5)]
     kept = E.read_edge_list(spark, d, header=False, on_bad="null").collect()
     assert sorted((r["src"] or 0, r["dst"] or 0) for r in kept) == [(0, 7), (1, 2), (3, 0), (4, 5)]
+
+
+def test_part_graph_tasks_follow_the_rows(spark, tmp_path, monkeypatch):
+    """Lines are shuffled once by order, and neither they nor the pairs make a task larger than set."""
+    import itertools
+    from lodestar.sources import tables
+    lines = [(o, (o * 7 + i * i) % 50) for o in range(200) for i in range(6)] + [(None, 1), (3, None), (3, 4), (3, 4)]
+    spark.createDataFrame(lines, "l_orderkey BIGINT, l_partkey BIGINT").write.parquet(str(tmp_path / "lineitem.parquet"))
+    by_order = {}
+    for o, p in lines:
+        if o is not None and p is not None:
+            by_order.setdefault(o, set()).add(p)
+    expect = {(a, b) for s in by_order.values() for a, b in itertools.combinations(sorted(s), 2)}
+    monkeypatch.setattr(tables, "TASK_ROWS", 100)
+    for hot in (5000, 4):
+        e = tables.part_graph(spark, str(tmp_path), hot_parts=hot)
+        assert sorted(map(tuple, e.collect())) == sorted(expect)
+        pairs = sum(n * (n - 1) // 2 for n in (len([1 for o, _ in lines if o == k]) for k in by_order))
+        assert e.rdd.getNumPartitions() == -(-pairs // 100)
+    plan = tables.part_graph(spark, str(tmp_path))._jdf.queryExecution().toString()
+    physical = plan[plan.index("== Physical Plan =="):]
+    assert physical.count("Exchange hashpartitioning(l_orderkey") <= 2 and "REPARTITION_BY_NUM" in physical
