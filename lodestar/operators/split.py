@@ -22,21 +22,32 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from lodestar.functions.hashing import hash_bucket, key_string, uniform  # noqa: F401  (re-exported)
-from lodestar.session import persisted
+from lodestar.session import persisted, shared_dir
 
 SKETCH = 4096           # size of the quantile sketch: some ten thousand numbers
 SKETCH_ERROR = 0.002    # of its ranks, with room to spare (a bound that misses costs a round, no more)
 DRAWN = 4096            # values drawn of a column that no sketch takes
 LOOK = 16_384           # rows whose keys are looked at on the driver
 CHUNK = 10_000          # equal rows that one task writes out again
+SORTED = 500_000        # rows that a task of randomSplit sorts
 
 
 def random_split(df: DataFrame, train_fraction: float = 0.7, seed: int = 42, key: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Bernoulli split.  With ``key`` a row's side is a hash of its key and the seed, so it does
-    not move with the partitioning; without, it is Spark's ``randomSplit``, which does."""
+    not move with the partitioning; without, it is Spark's ``randomSplit``, which does.
+
+    ``randomSplit`` sorts each partition by all columns, for either side anew.  So ``df`` is written once to the shared
+    folder, and if a partition could be long its rows are dealt by a hash to tasks of about ``SORTED`` rows."""
     if key:
         train = uniform(key, seed, "split") < F.lit(float(train_fraction))
         return df.filter(train), df.filter(~train)
+    path = shared_dir(df.sparkSession, "random-split")
+    df.write.parquet(path)
+    df = df.sparkSession.read.schema(df.schema).parquet(path)
+    tasks = math.ceil(df.count() / SORTED)
+    if tasks > 1:
+        hashed = [F.col(f"`{f.name}`") for f in df.schema if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+        df = df.repartition(tasks, *hashed)
     train, valid = df.randomSplit([train_fraction, 1.0 - train_fraction], seed=seed)
     return train, valid
 

@@ -143,3 +143,15 @@ def test_a_few_rounds_find_a_cut_in_many_rows(spark):
     finally:
         S._Column = real
     assert (before, copies) == (209_999, 1) and len(seen) == 1
+
+
+def test_random_split_sorts_bounded_tasks(spark, monkeypatch):
+    """Both sides read the rows from one stored table, in tasks of a bounded number of rows, and lose none."""
+    monkeypatch.setattr(S, "SORTED", 100)
+    df = spark.range(0, 1000, 1, 2).selectExpr("id", "if(id % 3 = 0, null, id % 7) AS k", "map('a', id) AS m")
+    train, valid = S.random_split(df, 0.7, seed=5)
+    assert train.rdd.getNumPartitions() == valid.rdd.getNumPartitions() == 10
+    assert "Range" not in train._jdf.queryExecution().toString()
+    ids = [[r["id"] for r in side.collect()] for side in (train, valid)]
+    assert sorted(ids[0] + ids[1]) == list(range(1000)) and 600 < len(ids[0]) < 800
+    assert ids[0] == [r["id"] for r in train.collect()]
