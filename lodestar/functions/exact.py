@@ -1,8 +1,9 @@
 """Sums of doubles that do not hang on the order of the rows.
 
 Every finite double is a whole number times a power of two.  Values are put into bins by their exponent;
-within a bin all are whole multiples of one power of two, below 2^56, so Spark adds them as
-decimals without rounding, in any order and partly within each task.  Squares are added as three sums of
+within a bin all are whole multiples of one power of two, below 2^56.  Spark adds their upper and lower
+halves as two whole numbers of 64 bits, which the rows of one partition cannot overflow, and the sums of the
+partitions as decimals, so nothing is rounded, in any order.  Squares are added as three sums of
 products of the values' upper and lower halves.  A column has at most some two thousand
 bins, so the sums of the bins come to the driver, where mean and deviations are worked
 out in rational numbers and rounded once.
@@ -78,9 +79,13 @@ def exact_sums(df: DataFrame, cols: Sequence[str]) -> dict[str, ExactSums]:
     binned = values.select("c", "x", F.when(finite, _bin(F.col("x"))).alias("bin"))
     units = F.when(F.col("bin").isNotNull(), _scale_down(F.col("x"), F.col("bin")).cast("bigint"))
     halves = binned.select("c", "bin", units.alias("q")).withColumns({"hi": F.shiftright("q", HALF), "lo": F.col("q").bitwiseAND(_UNITS - 1)})
-    whole = lambda x: F.sum(x.cast("decimal(20,0)"))
     q, hi, lo = F.col("q"), F.col("hi"), F.col("lo")
-    rows = halves.groupBy("c", "bin").agg(F.count(F.lit(1)).alias("n"), whole(q).alias("q"), whole(hi * hi).alias("hh"), whole(hi * lo).alias("hl"), whole(lo * lo).alias("ll")).collect()
+    sums = {"q": q, "hh": hi * hi, "hl": hi * lo, "ll": lo * lo}
+    limbs = [F.sum(part).alias(f"{k}{i}") for k, x in sums.items() for i, part in enumerate((F.shiftright(x, HALF), x.bitwiseAND(_UNITS - 1)))]
+    parts = halves.groupBy("c", "bin", F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)).alias("n"), *limbs)
+    whole = [F.sum(F.col(f"{k}{i}").cast("decimal(20,0)")).alias(f"{k}{i}") for k in sums for i in (0, 1)]
+    rows = parts.groupBy("c", "bin").agg(F.sum("n").alias("n"), *whole).collect()
+    of = lambda r, k: int(r[f"{k}0"]) * _UNITS + int(r[f"{k}1"])
     out = {c: ExactSums() for c in cols}
     for r in rows:
         s = out[cols[r["c"]]]
@@ -89,6 +94,6 @@ def exact_sums(df: DataFrame, cols: Sequence[str]) -> dict[str, ExactSums]:
             s.others += r["n"]
             continue
         unit = Fraction(2) ** r["bin"]
-        s.total += int(r["q"]) * unit
-        s.squares += (int(r["hh"]) * _UNITS * _UNITS + 2 * int(r["hl"]) * _UNITS + int(r["ll"])) * unit * unit
+        s.total += of(r, "q") * unit
+        s.squares += (of(r, "hh") * _UNITS * _UNITS + 2 * of(r, "hl") * _UNITS + of(r, "ll")) * unit * unit
     return out

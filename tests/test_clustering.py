@@ -69,3 +69,10 @@ def test_lloyd_of_tiny_values_is_not_flattened(spark):
     df = spark.range(100).select("id", ((F.col("id") % 10) * 1e-6).alias("x"))
     _, sizes, stats = CL.lloyd_standardized(df, ["x"], ["id"], max_iters=20)
     assert stats[0][1] > 2e-6 and [n for _, n in sizes] == [50, 50]
+
+
+def test_seeded_points_are_joined_once(spark):
+    """The passes of the seeded k-means read stored points instead of joining lines and orders again."""
+    from lodestar.plans import catalog
+    pts, _ = catalog._seeded(spark, SF_SMALL)
+    assert "Join" not in pts._jdf.queryExecution().toString()
