@@ -169,3 +169,24 @@ def test_empty_and_self_loop_only_graphs(spark, order):
     loops = edges(spark, [(1, 1), (2, 2)])
     assert G.triangle_total(loops, order=order).first()["total"] == 0
     assert rows(G.triangle_counts(loops, order=order)) == [(1, 0), (2, 0)]
+
+
+def test_zero_rows_come_from_the_degrees(spark):
+    """Vertices without a triangle are kept without a pass over all raw edges: only what the simple graph leaves out is read again."""
+    pairs = [(1, 2), (2, 3), (3, 1), (1, 2), (2, 1), (4, 4), (5, None), (None, 6), (None, None), (7, 8), (8, 8)]
+    e = spark.createDataFrame(pairs, "src BIGINT, dst BIGINT")
+    for kw in ({}, {"order": "id"}, {"method": "colours"}):
+        counts = G.triangle_counts(e, **kw)
+        assert rows(counts) == [(1, 1), (2, 1), (3, 1), (4, 0), (5, 0), (6, 0), (7, 0), (8, 0)]
+        plan = counts._jdf.queryExecution().toString()
+        logical = plan[plan.index("== Optimized Logical Plan =="):plan.index("== Physical Plan ==")]
+        assert "(src" in logical and "NOT coalesce" in logical  # the raw edges only by this filter
+    wanted = spark.createDataFrame([(1,), (4,), (7,), (99,)], "id BIGINT")
+    assert rows(G.triangle_counts(e, nodes=wanted)) == [(1, 1), (4, 0), (7, 0)]
+
+
+def test_raw_edges_are_made_in_one_pass(spark):
+    from conftest import SF_SMALL
+    from lodestar.sources.tables import messy_part_edges
+    plan = messy_part_edges(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan
