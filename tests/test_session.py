@@ -4,7 +4,7 @@ import pytest
 
 from conftest import SF_SMALL
 from lodestar.operators import graph as G
-from lodestar.session import _configured_checkpoint_dir, persisted, scratch, shared_dir
+from lodestar.session import _configured_checkpoint_dir, freed_shuffles, persisted, scratch, shared_dir
 from lodestar.sources.tables import part_graph
 
 
@@ -50,3 +50,29 @@ def test_persisted_releases(spark):
     with persisted(df) as p:
         assert p.count() == 100 and p.storageLevel.useMemory
     assert not df.storageLevel.useMemory and not df.storageLevel.useDisk
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+    seen = set()
+    while files.hasNext():
+        name = files.next().getName()
+        if name.startswith("shuffle_"):
+            seen.add(name)
+    return seen
+
+
+def test_shuffles_of_stored_tables_leave_the_disks(spark):
+    before, key = shuffle_files(spark), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    e = part_graph(spark, SF_SMALL)
+    stored = G._stored(e, "t")
+    counts = G.triangle_counts(stored, "a", "b", canonical=True, store_input=False)
+    assert not shuffle_files(spark) - before and spark.conf.get(key, None) is None
+    assert counts.count() == 200 and e.count() == stored.count() == 8899  # what is lazy makes its shuffles as ever
+    spark.conf.set(key, "false")
+    try:
+        with freed_shuffles(spark):
+            assert spark.conf.get(key) == "true"
+        assert spark.conf.get(key) == "false"
+    finally:
+        spark.conf.unset(key)
