@@ -155,3 +155,17 @@ def test_small_tasks_do_not_copy_edges_without_end(spark):
     parts = colours.Parts(canon, G.degrees(canon), G._stored, task_edges=20)
     assert colours.colour_count(canon.count(), 20, 4) > parts.colours == colours.COPIES
     assert parts.total().first()["total"] == sum(brute(random_graph(7, n=200, m=3000)).values()) // 3
+
+
+def test_copies_are_shuffled_in_rounds(spark, monkeypatch):
+    """Each triple is one round's, and all rounds together count every triangle."""
+    pairs = random_graph(8, n=80, m=600)
+    canon = G._stored(G.canonical_edges(edges(spark, pairs)), "canon")
+    whole = {r["triple"]: r["n"] for r in colours.coloured_edges(canon, 5).groupBy("triple").agg(F.count("a").alias("n")).collect()}
+    blocks = colours._colour_blocks(canon, 5)
+    parts = [{r["triple"]: r["n"] for r in blocks.select(*colours._triples(5, i, 3), "n").groupBy("triple").agg(F.sum("n").alias("n")).collect()} for i in range(3)]
+    assert all(parts) and sum(map(len, parts)) == len(whole) and {k: n for p in parts for k, n in p.items()} == whole
+    monkeypatch.setattr(colours, "ROUND_COPIES", 2)
+    expect = brute(pairs)
+    assert dict(rows(G.triangle_counts(edges(spark, pairs), method="colours", task_edges=60))) == expect
+    assert G.triangle_total(edges(spark, pairs), method="colours", task_edges=60).first()["total"] == sum(expect.values()) // 3
